@@ -5,22 +5,37 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StringType, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    DataType,
+    MapType,
+    NumericType,
+    StringType,
+    StructType,
+)
 
 BROADCAST_BYTES = 64 << 20
 _ROW_BYTES = 32
 
 
+def _bytes(c: Column, kind: DataType) -> Column | int:
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.octet_length(c)
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, NumericType):
+        return F.size(c) * 8
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, ArrayType):
+        return _bytes(F.flatten(c), kind.elementType)
+    if isinstance(kind, (ArrayType, MapType, StructType)):
+        return F.octet_length(F.to_json(F.struct(c)))
+    return 16
+
+
 def _width(df: DataFrame) -> Column:
     size = F.lit(_ROW_BYTES)
     for field in df.schema.fields:
-        c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
-            c = F.to_json(F.struct(c))
-        elif not isinstance(field.dataType, StringType):
-            size = size + F.lit(16)
-            continue
-        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+        part = _bytes(F.col(f"`{field.name}`"), field.dataType)
+        size = size + (F.coalesce(part, F.lit(0)) if isinstance(part, Column) else F.lit(part))
     return size
 
 

@@ -26,7 +26,7 @@ from reelgauge.functions.fixed import (
 )
 from reelgauge.operators.joins import join_lookup, kept
 from reelgauge.operators.tokens import vocabulary
-from reelgauge.session import use_checkpoints
+from reelgauge.session import stored
 
 KEY, SEQ = "video_key", "arrival_seq"
 
@@ -253,17 +253,16 @@ def fit_video_topics(
     seed: int = 7,
 ) -> VideoTopics:
     """Fit one model per video over rows with clean tokens."""
-    use_checkpoints(rows.sparkSession)
     vocab = kept(vocabulary(rows, KEY, tokens, vocab_size, min_df))
     vectors = kept(term_vectors(rows, vocab, tokens))
     sizes = vocab.groupBy(KEY).agg(F.count("*").cast("int").alias("terms"))
     comments = rows.groupBy(KEY).agg(F.count("*").alias("comments"))
     models = _first_models(sizes.join(comments, KEY).select(KEY, "terms", "comments"), k, seed)
-    models = models.checkpoint()
+    models = stored(models, "topics")
     for step in range(max_iter):
         sampled = vectors.where(_chance(seed, step) < rate)
         stats = _statistics(_with_model(sampled, models), k)
-        models = _updated(models, stats, k, rate).checkpoint()
+        models = stored(_updated(models, stats, k, rate), "topics")
     return VideoTopics(models, vocab, vectors, k)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -51,7 +51,12 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def use_checkpoints(spark: SparkSession) -> None:
-    """Make ``DataFrame.checkpoint`` usable."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows to a table in the shared folder and read them back.
+
+    Cuts the plan's lineage once, survives lost executors, and computes the rows one time.
+    """
+    spark = df.sparkSession
+    folder = scratch_dir(spark, label)
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
