@@ -41,7 +41,12 @@ def _width(df: DataFrame) -> Column:
 
 def measured_bytes(df: DataFrame) -> int:
     """Size of the rows as counted from the data itself, by one aggregate."""
-    return df.agg(F.coalesce(F.sum(_width(df).cast("bigint")), F.lit(0)).alias("b")).first()["b"]
+    return df.agg(total_width(df)).first()[0]
+
+
+def total_width(df: DataFrame) -> Column:
+    """The same as an aggregate column."""
+    return F.coalesce(F.sum(_width(df).cast("bigint")), F.lit(0))
 
 
 def kept(df: DataFrame) -> DataFrame:
@@ -55,12 +60,14 @@ def join_lookup(
     on: str | list[str],
     how: str = "inner",
     limit_bytes: int = BROADCAST_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Join ``big`` to a lookup, broadcast only where its measured size is below the limit.
 
     Beyond the limit this is a shuffle join with ``big`` on the left, where adaptive execution
-    can split the partitions of a hot key for inner, left, semi and anti joins.
+    can split the partitions of a hot key for inner, left, semi and anti joins. ``size`` is the
+    measured size where the caller has it.
     """
-    if measured_bytes(lookup) <= limit_bytes:
+    if (measured_bytes(lookup) if size is None else size) <= limit_bytes:
         lookup = F.broadcast(lookup)
     return big.join(lookup, on, how)

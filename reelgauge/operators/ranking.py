@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelgauge.operators.joins import join_lookup, kept
+from reelgauge.operators.joins import join_lookup, kept, total_width
 
 # Most rows one task ranks. Sequence numbers are unique inside a video, so a block of this
 # many consecutive numbers cannot hold more rows than that.
@@ -80,12 +80,12 @@ def newest_per_key(
                 (F.col("_upto") >= F.col("_need")) & (F.col("_upto") - F.col("_n") < F.col("_need"))
             ).select("_k", "_g", "_n", (F.col("_need") - F.col("_upto") + F.col("_n")).alias("_need"))
         )
-        largest = edge.agg(F.max("_n")).first()[0]
+        largest, size = edge.agg(F.max("_n"), total_width(edge)).first()
         if largest is None:
             return df
         rows = kept(
             join_lookup(
-                rows.drop("_need").withColumn("_g", grain), edge.drop("_n"), ["_k", "_g"]
+                rows.drop("_need").withColumn("_g", grain), edge.drop("_n"), ["_k", "_g"], size=size
             ).drop("_g")
         )
         if largest <= block:

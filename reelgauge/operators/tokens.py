@@ -18,9 +18,13 @@ def with_tokens(
     lower: bool = False,
     name: str = "tokens",
 ) -> DataFrame:
-    """Add the clean token array; rows without any token are dropped."""
-    tokens = T.clean_tokens(text, stop_words, lower)
-    return df.withColumn(name, tokens).where(F.size(name) > 0)
+    """Add the clean token array; rows without any token are dropped.
+
+    A filter on a plain column would be pushed below it and clean each text twice; it is not
+    pushed below a generator, hence the explode of a one-element array.
+    """
+    tokens = F.explode(F.array(T.clean_tokens(text, stop_words, lower)))
+    return df.select("*", tokens.alias(name)).where(F.size(name) > 0)
 
 
 def term_counts(df: DataFrame, key: str | None = None, tokens: str = "tokens") -> DataFrame:
@@ -29,17 +33,15 @@ def term_counts(df: DataFrame, key: str | None = None, tokens: str = "tokens") -
     Every row emits its tokens, and its distinct tokens once more for the document count, so
     one aggregate with map-side partial sums gives both.
     """
-    every = F.transform(tokens, lambda t: F.struct(t.alias("term"), F.lit(0).alias("df")))
-    once = F.transform(
-        F.array_distinct(tokens), lambda t: F.struct(t.alias("term"), F.lit(1).alias("df"))
-    )
     group = [key] if key else []
+    both = F.array(F.col(tokens), F.array_distinct(tokens))
+    listed = df.select(*group, F.posexplode(both).alias("once", "terms"))
     return (
-        df.select(*group, F.inline(F.concat(every, once)))
+        listed.select(*group, "once", F.explode("terms").alias("term"))
         .groupBy(*group, "term")
         .agg(
-            F.sum(1 - F.col("df")).cast("bigint").alias("frequency"),
-            F.sum("df").cast("bigint").alias("documents"),
+            F.count_if(F.col("once") == 0).alias("frequency"),
+            F.count_if(F.col("once") == 1).alias("documents"),
         )
     )
 

@@ -27,7 +27,7 @@ from reelgauge.operators import videos as V
 from reelgauge.operators.joins import kept
 from reelgauge.plans import reports
 from reelgauge.schemas import VIDEO_PAGE
-from reelgauge.session import scratch_dir
+from reelgauge.session import scratch_dir, spread
 from reelgauge.sources import comments as C
 from reelgauge.sources import landing as L
 from reelgauge.sources.reports import report_lines
@@ -57,18 +57,20 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def document_comments(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    rows = table(spark, sf, "documents").select(
         F.col("source").alias("video_key"), F.col("doc_id").alias("arrival_seq"), "text"
     )
+    return spread(rows, "arrival_seq")
 
 
 def conversation_comments(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "conversations").select(
+    rows = table(spark, sf, "conversations").select(
         F.col("conv_id").cast("string").alias("video_key"),
         F.col("turn").alias("arrival_seq"),
         F.col("role").alias("author"),
         "text",
     )
+    return spread(rows, "video_key", "arrival_seq")
 
 
 def event_comments(spark: SparkSession, sf: str) -> DataFrame:
@@ -578,8 +580,8 @@ def topic_report_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def video_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return document_comments(spark, sf).agg(
-        F.count("*").alias("total_comments"), F.countDistinct("video_key").alias("total_videos")
+    return table(spark, sf, "documents").agg(
+        F.count("*").alias("total_comments"), F.countDistinct("source").alias("total_videos")
     )
 
 

@@ -60,3 +60,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     folder = scratch_dir(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Re-partition a scan that has fewer splits than the cluster has cores.
+
+    For CPU-heavy text work on few or unsplittable files. A scan with enough splits, as any large
+    one has, is returned as it is and costs no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
