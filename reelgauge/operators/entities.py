@@ -118,17 +118,14 @@ def tag_entities(
 def entity_counts(mentions: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
     """Count, first appearance and last-seen type of each entity text per video.
 
-    The first step sums per text and type with partial sums before the shuffle, so a common
-    entity of a large video travels once per task; the second works on that reduced set.
+    One aggregate with partial results before the shuffle, so a common entity of a large video
+    travels once per task.
     """
     place = F.struct(F.col(seq).alias("seq"), F.col("pos"))
-    by_type = mentions.groupBy(key, "text", "type").agg(
-        F.count("*").alias("n"), F.min(place).alias("first"), F.max(place).alias("last")
-    )
-    return by_type.groupBy(key, "text").agg(
-        F.sum("n").alias("count"),
-        F.max_by("type", "last").alias("type"),
-        F.min("first").alias("first_seen"),
+    return mentions.groupBy(key, "text").agg(
+        F.count("*").alias("count"),
+        F.max_by("type", place).alias("type"),
+        F.min(place).alias("first_seen"),
     )
 
 

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from reelgauge.operators.joins import join_lookup, kept, total_width
 
-# Most rows one task ranks. Sequence numbers are unique inside a video, so a block of this
-# many consecutive numbers cannot hold more rows than that.
-BLOCK = 250_000
+# Sequence numbers are unique inside a video, so a block of 2**18 consecutive numbers holds at
+# most that many rows. This bounds what one task ranks.
+BLOCK_BITS = 18
 
 
 def with_row_index(
@@ -17,14 +17,14 @@ def with_row_index(
     key: str = "video_key",
     seq: str = "arrival_seq",
     name: str = "row_index",
-    block: int = BLOCK,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Row index 0..n-1 inside each video, in ``seq`` order (unique inside a video).
 
     Rows are numbered inside blocks of the sequence and shifted by the row count of the earlier
-    blocks, so a video of any size is spread over many tasks.
+    blocks, so a video of any size is spread over many tasks. Key and sequence are not NULL.
     """
-    blocks = df.withColumn("_block", F.floor(F.col(seq) / F.lit(block)).cast("bigint"))
+    blocks = df.withColumn("_block", F.shiftright(seq, block_bits))
     earlier = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
         blocks.groupBy(key, "_block")
@@ -51,7 +51,7 @@ def newest_per_key(
     key: str = "video_key",
     time: str = "published_at",
     seq: str = "arrival_seq",
-    block: int = BLOCK,
+    block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """The newest ``cap`` rows of each video; equal times go by arrival.
 
@@ -65,7 +65,7 @@ def newest_per_key(
         F.substring("_t", 1, 13),
         F.substring("_t", 1, 19),
         F.col("_t"),
-        -F.floor(F.col("_s") / F.lit(block)).cast("bigint"),
+        -F.shiftright("_s", block_bits),
     ]
     newest_first = Window.partitionBy("_k").orderBy(F.desc("_g"))
     rows = narrow.withColumn("_need", F.lit(cap).cast("bigint"))
@@ -88,7 +88,7 @@ def newest_per_key(
                 rows.drop("_need").withColumn("_g", grain), edge.drop("_n"), ["_k", "_g"], size=size
             ).drop("_g")
         )
-        if largest <= block:
+        if largest <= 1 << block_bits:
             break
     last = Window.partitionBy("_k").orderBy(F.desc("_t"), "_s")
     cut = kept(

@@ -24,7 +24,7 @@ from reelgauge.functions.fixed import (
     TOPIC_ITERATIONS,
     VOCABULARY_SIZE,
 )
-from reelgauge.operators.joins import join_lookup, kept
+from reelgauge.operators.joins import join_lookup
 from reelgauge.operators.tokens import vocabulary
 from reelgauge.session import stored
 
@@ -253,8 +253,8 @@ def fit_video_topics(
     seed: int = 7,
 ) -> VideoTopics:
     """Fit one model per video over rows with clean tokens."""
-    vocab = kept(vocabulary(rows, KEY, tokens, vocab_size, min_df))
-    vectors = kept(term_vectors(rows, vocab, tokens))
+    vocab = stored(vocabulary(rows, KEY, tokens, vocab_size, min_df), "vocabulary")
+    vectors = stored(term_vectors(rows, vocab, tokens), "vectors")
     sizes = vocab.groupBy(KEY).agg(F.count("*").cast("int").alias("terms"))
     comments = rows.groupBy(KEY).agg(F.count("*").alias("comments"))
     models = _first_models(sizes.join(comments, KEY).select(KEY, "terms", "comments"), k, seed)

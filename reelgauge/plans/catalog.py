@@ -24,10 +24,9 @@ from reelgauge.operators import tokens as K
 from reelgauge.operators import topics as G
 from reelgauge.operators import video_topics as VT
 from reelgauge.operators import videos as V
-from reelgauge.operators.joins import kept
 from reelgauge.plans import reports
 from reelgauge.schemas import VIDEO_PAGE
-from reelgauge.session import scratch_dir, spread
+from reelgauge.session import scratch_dir, spread, stored
 from reelgauge.sources import comments as C
 from reelgauge.sources import landing as L
 from reelgauge.sources.reports import report_lines
@@ -529,7 +528,7 @@ def entity_hook(spark: SparkSession, sf: str) -> DataFrame:
 
 def _token_rows(spark: SparkSession, sf: str) -> DataFrame:
     rows = K.with_tokens(document_comments(spark, sf), lower=True)
-    return kept(rows.select("video_key", "arrival_seq", "tokens"))
+    return stored(rows.select("video_key", "arrival_seq", "tokens"), "tokens")
 
 
 def topics_by_key(spark: SparkSession, sf: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelgauge.functions.fixed import NEW_COMMENT_CAP
 from reelgauge.operators.merge import high_water_marks, newer_than_mark
@@ -14,6 +15,14 @@ from reelgauge.operators.ranking import newest_per_key, with_row_index
 from reelgauge.schemas import COMMENT, COMMENT_ROW, CORRUPT, with_corrupt
 from reelgauge.sources.comments import KEY_IN_JSON, good_comments, key_from_path, source_file
 
+MARKS = StructType(
+    [
+        StructField("video_key", StringType()),
+        StructField("mark", StringType()),
+        StructField("last_seq", LongType()),
+        StructField("batch_id", LongType()),
+    ]
+)
 STORED = StructType([*COMMENT_ROW.fields, StructField("batch_id", LongType())])
 
 
@@ -40,17 +49,32 @@ def landing_stream(
     )
 
 
-def stored_comments(spark: SparkSession, target: str, before_batch: int | None = None) -> DataFrame:
-    """Comments ingested so far; an empty frame before the first batch."""
+def _read_batches(
+    spark: SparkSession, folder: str, schema: StructType, before_batch: int | None
+) -> DataFrame:
     try:
-        rows = spark.read.schema(STORED).parquet(target)
-    except Exception as error:  # the folder does not exist yet
-        if "PATH_NOT_FOUND" not in str(error):
+        rows = spark.read.schema(schema).parquet(folder)
+    except AnalysisException as error:  # the folder does not exist before the first batch
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], STORED)
+        rows = spark.createDataFrame([], schema)
     return rows if before_batch is None else rows.where(F.col("batch_id") < before_batch)
 
 
+def stored_comments(spark: SparkSession, target: str) -> DataFrame:
+    """Comments ingested so far; an empty frame before the first batch."""
+    return _read_batches(spark, f"{target}/comments", STORED, None)
+
+
+def _write_batch(rows: DataFrame, folder: str) -> None:
+    (
+        rows.write.partitionBy("batch_id")
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .parquet(folder)
+    )
+
+
 def ingest_stream(
     spark: SparkSession,
     landing: str,
@@ -64,32 +88,40 @@ def ingest_stream(
 ) -> StreamingQuery:
     """Append comments newer than each video's mark; every file is read once.
 
-    Each micro-batch writes its own ``batch_id`` partition and computes marks from the earlier
-    ones only, so a batch that is run again after a failure replaces itself. Arrival numbers go
-    on where the video's stored comments end.
+    Each micro-batch writes its own ``batch_id`` partition of the comments and of the marks, and
+    reads the earlier marks only: the stored comments are not scanned again, and a batch that is
+    run again after a failure replaces itself. Arrival numbers go on where the video's stored
+    comments end.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         new = good_comments(batch).withColumns(
             {"snapshot": F.lit(snapshot), "arrival_seq": F.monotonically_increasing_id()}
         )
-        before = stored_comments(spark, target, batch_id)
-        fresh = newest_per_key(newer_than_mark(new, high_water_marks(before)), cap)
-        last = kept(before.groupBy("video_key").agg(F.max("arrival_seq").alias("_last")))
-        numbered = join_lookup(with_row_index(fresh, name="_index"), last, "video_key", "left")
-        (
-            numbered.withColumns(
-                {
-                    "arrival_seq": F.coalesce(F.col("_last") + 1, F.lit(0)) + F.col("_index"),
-                    "batch_id": F.lit(batch_id).cast("bigint"),
-                }
-            )
-            .select(*STORED.names)
-            .write.partitionBy("batch_id")
-            .mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .parquet(target)
+        marks = kept(
+            _read_batches(spark, f"{target}/marks", MARKS, batch_id)
+            .groupBy("video_key")
+            .agg(F.max("mark").alias("mark"), F.max("last_seq").alias("last_seq"))
+        )
+        fresh = newest_per_key(newer_than_mark(new, marks.drop("last_seq")), cap)
+        ends = marks.select("video_key", "last_seq")
+        numbered = join_lookup(with_row_index(fresh, name="_index"), ends, "video_key", "left")
+        rows = numbered.withColumns(
+            {
+                "arrival_seq": F.coalesce(F.col("last_seq") + 1, F.lit(0)) + F.col("_index"),
+                "batch_id": F.lit(batch_id).cast("bigint"),
+            }
+        ).select(*STORED.names)
+        _write_batch(rows, f"{target}/comments")
+        written = stored_comments(spark, target).where(F.col("batch_id") == batch_id)
+        _write_batch(
+            high_water_marks(written)
+            .join(written.groupBy("video_key").agg(F.max("arrival_seq").alias("last_seq")), "video_key")
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            .select(*MARKS.names),
+            f"{target}/marks",
         )
+        marks.unpersist()
 
     stream = landing_stream(spark, landing, multiline, pattern, files_per_batch)
     return (
