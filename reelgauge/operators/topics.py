@@ -82,11 +82,14 @@ def topic_metrics(model: TopicModel) -> DataFrame:
 
 
 def topic_mixture(model: TopicModel, key: str = "video_key") -> DataFrame:
-    """Mean topic weights of each video's comments under the shared model."""
-    weights = vector_to_array("topicDistribution")
+    """Mean topic weights of each video's comments under the shared model, over the comments
+    that have a term of the vocabulary."""
+    weights = model.lda.transform(model.vectors).select(
+        key, vector_to_array("topicDistribution").alias("_weights")
+    )
     return (
-        model.lda.transform(model.vectors)
-        .select(key, F.posexplode(weights).alias("topic", "weight"))
+        weights.where(F.exists("_weights", lambda w: w > 0))
+        .select(key, F.posexplode("_weights").alias("topic", "weight"))
         .groupBy(key, "topic")
         .agg(F.avg("weight").alias("weight"), F.count("*").alias("comments"))
     )

@@ -55,7 +55,7 @@ def _helpers():
         for _ in range(8):
             shift, x = shift + np.log(x), x + 1.0
         r = 1.0 / (x * x)
-        series = (1 / 12 - r * (1 / 360 - r / 1260)) / x
+        series = (1 / 12 - r * (1 / 360 - r * (1 / 1260 - r / 1680))) / x
         return (x - 0.5) * np.log(x) - x + 0.5 * np.log(2 * np.pi) + series - shift
 
     def fit_documents(counts, beta, alpha):

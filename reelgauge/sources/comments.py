@@ -95,7 +95,7 @@ def json_to_parquet(
 
 def read_comments(spark: SparkSession, root: str, snapshot: str | None = None) -> DataFrame:
     """Comments of one snapshot; the latest where none is named."""
-    rows = spark.read.schema(COMMENT_ROW).parquet(root)
+    rows = spark.read.schema(COMMENT_ROW).parquet(root).select(*COMMENT_ROW.names)
     if snapshot is None:
         chosen = latest_snapshot(rows)
     else:
