@@ -24,7 +24,7 @@ from reelgauge.functions.fixed import (
     TOPIC_ITERATIONS,
     VOCABULARY_SIZE,
 )
-from reelgauge.operators.joins import join_lookup
+from reelgauge.operators.joins import join_lookup, measured_bytes
 from reelgauge.operators.tokens import vocabulary
 from reelgauge.session import stored
 
@@ -74,12 +74,12 @@ def _helpers():
     def padded(part):
         """Counts, term rows and alpha of a slice of documents as dense arrays."""
         n = max(len(c) for c in part["counts"])
-        alpha = np.stack([np.asarray(a, float) for a in part["alpha"]])
+        alpha = np.stack(list(part["alpha"]))
         counts = np.zeros((len(part), n))
         beta = np.zeros((len(part), n, alpha.shape[1]))
         for i, (c, b) in enumerate(zip(part["counts"], part["beta"])):
             counts[i, : len(c)] = c
-            beta[i, : len(c)] = np.stack(b)
+            beta[i, : len(c)] = b.reshape(len(c), -1)
         return counts, beta, alpha
 
     def slices(batch):
@@ -119,9 +119,10 @@ def term_vectors(rows: DataFrame, vocab: DataFrame, tokens: str = "tokens") -> D
 
 
 def _model_schema() -> str:
+    """``lam`` and ``beta`` hold one row of topic weights per term, one after the other."""
     return (
         f"{KEY} string, terms int, comments bigint, step int, "
-        "lam array<array<double>>, beta array<array<double>>, alpha array<double>"
+        "lam array<double>, beta array<double>, alpha array<double>"
     )
 
 
@@ -138,8 +139,8 @@ def _first_models(sizes: DataFrame, k: int, seed: int) -> DataFrame:
                 lam = np.random.default_rng([seed, *name]).gamma(100.0, 0.01, (row.terms, k))
                 beta = np.exp(digamma(lam) - digamma(lam.sum(0, keepdims=True)))
                 out.append(
-                    (row.video_key, row.terms, row.comments, 0, lam.tolist(), beta.tolist(),
-                     [1.0 / k] * k)
+                    (row.video_key, row.terms, row.comments, 0, lam.ravel(), beta.ravel(),
+                     np.full(k, 1.0 / k))
                 )
             yield pd.DataFrame(out, columns=[
                 "video_key", "terms", "comments", "step", "lam", "beta", "alpha"])
@@ -147,10 +148,11 @@ def _first_models(sizes: DataFrame, k: int, seed: int) -> DataFrame:
     return sizes.mapInPandas(start, _model_schema())
 
 
-def _with_model(vectors: DataFrame, models: DataFrame) -> DataFrame:
-    """Comments with the model rows of their own terms only."""
-    own = F.transform("ids", lambda i: F.element_at("beta", i + 1))
-    return join_lookup(vectors, models.select(KEY, "beta", "alpha"), KEY).select(
+def _with_model(vectors: DataFrame, models: DataFrame, k: int, size: int) -> DataFrame:
+    """Comments with the model rows of their own terms only. ``size`` is that of the models."""
+    own = F.flatten(F.transform("ids", lambda i: F.slice("beta", i * k + 1, k)))
+    lookup = models.select(KEY, "beta", "alpha")
+    return join_lookup(vectors, lookup, KEY, size=size).select(
         KEY, "ids", "counts", own.alias("beta"), "alpha"
     )
 
@@ -161,8 +163,9 @@ def _statistics(sampled: DataFrame, k: int) -> DataFrame:
 
     def expect(batches):
         digamma, _, _, fit_documents, padded, slices = helpers
+        names = [f"s{j}" for j in range(k)]
         for batch in batches:
-            sums: dict = {}
+            found = [pd.DataFrame(columns=["video_key", "term", "n", *names])]
             for part in slices(batch):
                 counts, beta, alpha = padded(part)
                 gamma = fit_documents(counts, beta, alpha)
@@ -170,19 +173,15 @@ def _statistics(sampled: DataFrame, k: int) -> DataFrame:
                 theta = np.exp(log_theta)
                 norm = np.einsum("bnk,bk->bn", beta, theta) + 1e-100
                 share = (counts / norm)[:, :, None] * theta[:, None, :] * beta
-                for i, (key, ids) in enumerate(zip(part["video_key"], part["ids"])):
-                    terms = np.concatenate([[-1], np.asarray(ids)])
-                    values = np.concatenate([log_theta[i : i + 1], share[i, : len(ids)]])
-                    old = sums.setdefault(key, {})
-                    for term, value in zip(terms.tolist(), values):
-                        known = old.get(term)
-                        old[term] = (value, 1) if known is None else (known[0] + value, known[1] + 1)
-            rows = [
-                (key, term, n, *value.tolist())
-                for key, terms in sums.items()
-                for term, (value, n) in terms.items()
-            ]
-            yield pd.DataFrame(rows, columns=["video_key", "term", "n", *[f"s{j}" for j in range(k)]])
+                used = counts > 0
+                keys = part["video_key"].to_numpy()
+                terms = [np.full(len(keys), -1), *part["ids"]]
+                sums = pd.DataFrame(np.vstack([log_theta, share[used]]), columns=names)
+                sums["video_key"] = np.concatenate([keys, np.repeat(keys, used.sum(1))])
+                sums["term"], sums["n"] = np.concatenate(terms), 1
+                found.append(sums)
+            whole = pd.concat(found[1:] or found)
+            yield whole.groupby(["video_key", "term"], as_index=False, sort=False).sum()
 
     fields = ", ".join(f"s{j} double" for j in range(k))
     partial = sampled.mapInPandas(expect, f"{KEY} string, term int, n bigint, {fields}")
@@ -212,9 +211,9 @@ def _updated(models: DataFrame, stats: DataFrame, k: int, rate: float) -> DataFr
         stat = np.zeros((int(row["terms"]), k))
         stat[terms[~documents]] = values[~documents]
         scale = row["comments"] / np.ceil(rate * row["comments"])
-        lam = np.stack([np.asarray(x, float) for x in row["lam"]])
+        lam = row["lam"].reshape(-1, k)
         lam = (1 - weight) * lam + weight * (stat * scale + 1.0 / k)
-        alpha = np.asarray(row["alpha"], float)
+        alpha = row["alpha"]
         n = float(found["n"].to_numpy()[documents][0])
         mean_log = values[documents][0] / n
         gradient = n * (digamma(alpha.sum(keepdims=True)) - digamma(alpha) + mean_log)
@@ -226,8 +225,8 @@ def _updated(models: DataFrame, stats: DataFrame, k: int, rate: float) -> DataFr
             alpha = moved
         beta = np.exp(digamma(lam) - digamma(lam.sum(0, keepdims=True)))
         return pd.DataFrame(
-            [(row["video_key"], row["terms"], row["comments"], step, lam.tolist(), beta.tolist(),
-              alpha.tolist())],
+            [(row["video_key"], row["terms"], row["comments"], step, lam.ravel(), beta.ravel(),
+              alpha)],
             columns=["video_key", "terms", "comments", "step", "lam", "beta", "alpha"],
         )
 
@@ -259,9 +258,10 @@ def fit_video_topics(
     comments = rows.groupBy(KEY).agg(F.count("*").alias("comments"))
     models = _first_models(sizes.join(comments, KEY).select(KEY, "terms", "comments"), k, seed)
     models = stored(models, "topics")
+    size = measured_bytes(models)  # the same in every step
     for step in range(max_iter):
         sampled = vectors.where(_chance(seed, step) < rate)
-        stats = _statistics(_with_model(sampled, models), k)
+        stats = _statistics(_with_model(sampled, models, k, size), k)
         models = stored(_updated(models, stats, k, rate), "topics")
     return VideoTopics(models, vocab, vectors, k)
 
@@ -274,8 +274,13 @@ class VideoTopics:
 
     def topics(self, terms: int = TERMS_PER_TOPIC) -> DataFrame:
         """``video_key, topic, words, weights`` with the heaviest terms of each topic."""
-        per_term = self.models.select(KEY, F.posexplode("lam").alias("id", "row"))
-        flat = per_term.select(KEY, "id", F.posexplode("row").alias("topic", "lam"))
+        cells = self.models.select(KEY, F.posexplode("lam").alias("cell", "lam"))
+        flat = cells.select(
+            KEY,
+            F.floor(F.col("cell") / self.k).cast("int").alias("id"),
+            (F.col("cell") % self.k).alias("topic"),
+            "lam",
+        )
         order = Window.partitionBy(KEY, "topic").orderBy(F.desc("lam"), F.asc("id"))
         total = F.sum("lam").over(Window.partitionBy(KEY, "topic"))
         heavy = flat.withColumns(
@@ -294,7 +299,7 @@ class VideoTopics:
 
     def metrics(self) -> DataFrame:
         """Vocabulary size and the variational bound on all comments of each video."""
-        helpers = _helpers()
+        helpers, k = _helpers(), self.k
 
         def score(batches):
             digamma, _, lgamma, fit_documents, padded, slices = helpers
@@ -313,14 +318,12 @@ class VideoTopics:
                     out += zip(part["video_key"], bound.tolist(), counts.sum(1).tolist())
                 yield pd.DataFrame(out, columns=["video_key", "bound", "tokens"])
 
-        k = self.k
-
         def score_topics(batches):
             digamma, _, lgamma = helpers[:3]
             for batch in batches:
                 out = []
-                for key, rows in zip(batch["video_key"], batch["lam"]):
-                    lam = np.stack([np.asarray(x, float) for x in rows])
+                for key, flat in zip(batch["video_key"], batch["lam"]):
+                    lam = flat.reshape(-1, k)
                     eta, total = 1.0 / k, lam.sum(0)
                     log_beta = digamma(lam) - digamma(total)[None, :]
                     bound = ((eta - lam) * log_beta).sum() + lgamma(lam).sum()
@@ -330,7 +333,7 @@ class VideoTopics:
                 yield pd.DataFrame(out, columns=["video_key", "vocabulary_size", "topic_bound"])
 
         documents = (
-            _with_model(self.vectors, self.models)
+            _with_model(self.vectors, self.models, k, measured_bytes(self.models))
             .mapInPandas(score, f"{KEY} string, bound double, tokens double")
             .groupBy(KEY)
             .agg(F.sum("bound").alias("bound"), F.sum("tokens").alias("tokens"))

@@ -54,7 +54,7 @@ def test_numeric_helpers():
 
 
 def test_every_video_gets_its_own_separated_topics(token_rows):
-    model = VT.fit_video_topics(token_rows, k=2, max_iter=30, rate=0.5)
+    model = VT.fit_video_topics(token_rows, k=2, max_iter=12, rate=1.0)
     topics = model.topics(4).collect()
     assert {(r["video_key"], r["topic"]) for r in topics} == {
         ("hot", 0), ("hot", 1), ("v", 0), ("v", 1),
@@ -88,7 +88,7 @@ def test_bound_equals_mllibs_on_the_same_model(spark, token_rows):
     digamma = VT._helpers()[0]
     beta = np.exp(digamma(lam) - digamma(lam.sum(0, keepdims=True)))
     alpha = [float(a) for a in theirs.lda.estimatedDocConcentration()]
-    row = ("hot", len(lam), 200, 0, lam.tolist(), beta.tolist(), alpha)
+    row = ("hot", len(lam), 200, 0, lam.ravel().tolist(), beta.ravel().tolist(), alpha)
     assert [r["term"] for r in ours.vocab.orderBy("rank").collect()] == theirs.words
     same = VT.VideoTopics(
         spark.createDataFrame([row], VT._model_schema()), ours.vocab, ours.vectors, 2
