@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions.fixed import NEW_COMMENT_CAP
 from reelgauge.operators.joins import join_lookup, kept
-from reelgauge.operators.ranking import newest_per_key
+from reelgauge.operators.ranking import newest_per_key, with_row_index
 
-KEY = "video_key"
+KEY, SEQ = "video_key", "arrival_seq"
 
 
 def high_water_marks(previous: DataFrame, key: str = KEY) -> DataFrame:
@@ -18,13 +18,29 @@ def high_water_marks(previous: DataFrame, key: str = KEY) -> DataFrame:
     return previous.groupBy(key).agg(F.max(time).alias("mark"))
 
 
+def video_ends(previous: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFrame:
+    """Mark and last arrival number per video."""
+    time = F.coalesce(F.col("published_at"), F.lit(""))
+    return previous.groupBy(key).agg(F.max(time).alias("mark"), F.max(seq).alias("last_seq"))
+
+
 def newer_than_mark(new: DataFrame, marks: DataFrame, key: str = KEY) -> DataFrame:
     """Comments strictly newer than their video's mark; all where there is none."""
-    marked = join_lookup(new, kept(marks), key, "left")
+    marked = join_lookup(new, marks, key, "left")
     fresh = F.col("mark").isNull() | (F.col("mark") == "") | (F.col("published_at") > F.col("mark"))
     return marked.where(fresh).drop("mark")
 
 
+def arrive_after(
+    fresh: DataFrame, ends: DataFrame, key: str = KEY, seq: str = SEQ
+) -> DataFrame:
+    """Number the new comments on from the last stored one of their video, in their own order,
+    so that arrival numbers stay unique inside a video."""
+    numbered = join_lookup(with_row_index(fresh, key, seq, "_index"), ends, key, "left")
+    number = F.coalesce(F.col("last_seq") + 1, F.lit(0)) + F.col("_index")
+    return numbered.withColumn(seq, number).drop("last_seq", "_index")
+
+
 def of_listed_videos(comments: DataFrame, videos: DataFrame, key: str = KEY) -> DataFrame:
     return join_lookup(comments, kept(videos.select(key).distinct()), key, "left_semi")
 
@@ -45,8 +61,8 @@ def merge_comments(
 ) -> DataFrame:
     """Previous comments, then the newest ``cap`` comments newer than each video's mark.
 
-    Nothing is de-duplicated. ``videos`` limits the snapshot to listed videos. Videos in
-    ``failed`` could not be fetched: their history is carried, or dropped on request.
+    New comments get arrival numbers after the stored ones. Nothing is de-duplicated. ``videos``
+    limits the snapshot to listed videos. Videos in ``failed`` could not be fetched: their history is carried, or dropped on request.
     """
     if on_missing not in ("carry", "drop"):
         raise ValueError("on_missing is 'carry' or 'drop'")
@@ -55,7 +71,9 @@ def merge_comments(
         new = of_listed_videos(new, videos, key)
     if failed is not None and on_missing == "drop":
         previous = of_unlisted_videos(previous, failed, key)
-    fresh = newest_per_key(newer_than_mark(new, high_water_marks(previous, key), key), cap, key)
+    ends = kept(video_ends(previous, key))
+    fresh = newest_per_key(newer_than_mark(new, ends.select(key, "mark"), key), cap, key)
+    fresh = arrive_after(fresh, ends.select(key, "last_seq"), key)
     return previous.withColumn("is_new", F.lit(False)).unionByName(
         fresh.withColumn("is_new", F.lit(True))
     )

@@ -69,6 +69,8 @@ EVENTS = f"""SELECT user_id::VARCHAR AS video_key, event_id AS arrival_seq, even
   props AS text, floor(value)::INTEGER AS like_count, strftime(ts, '{ISO}') AS published_at,
   strftime(ts, '%Y%m%d') AS snapshot FROM events"""
 
+MERGED = "video_key, arrival_seq, author, published_at, like_count"
+
 MERGE_CTES = f"""e AS ({EVENTS}),
 listed AS (SELECT DISTINCT video_key FROM e WHERE like_count >= 200),
 old_rows AS (SELECT * FROM e WHERE published_at < '{OLD_END}'),
@@ -80,7 +82,18 @@ fresh AS (
   FROM new_rows n LEFT JOIN marks m USING (video_key)
   WHERE m.mark IS NULL OR n.published_at > m.mark)"""
 
-MERGED = "video_key, arrival_seq, author, published_at, like_count"
+
+def _merged(old: str, new: str) -> str:
+    """History, then the new rows numbered on from each video's last arrival number."""
+    return f"""old_part AS ({old}), new_part AS ({new}),
+ends AS (SELECT video_key, max(arrival_seq) AS last_seq FROM old_part GROUP BY 1),
+merged AS (
+  SELECT {MERGED}, false AS is_new FROM old_part UNION ALL
+  SELECT video_key, coalesce(last_seq + 1, 0) + row_number() OVER (
+      PARTITION BY video_key ORDER BY arrival_seq) - 1,
+    author, published_at, like_count, true
+  FROM new_part LEFT JOIN ends USING (video_key))"""
+
 
 TOKENS = f"""tokens AS (
   SELECT source AS video_key, doc_id AS arrival_seq, list_filter(
@@ -229,25 +242,27 @@ SELECT conv_id::VARCHAR AS video_id, role AS author, text, length(text)::INTEGER
     "failed_fetches": """SELECT DISTINCT conv_id::VARCHAR AS video_id FROM (
   SELECT conv_id, turn // 100, count(*) AS n FROM conversations GROUP BY ALL) WHERE n <= 1""",
     "high_water_mark": f"WITH {MERGE_CTES} SELECT * FROM marks",
-    "incremental_merge": f"""WITH {MERGE_CTES}
-SELECT {MERGED}, false AS is_new FROM old_rows UNION ALL
-SELECT {MERGED}, true FROM fresh WHERE r <= {MERGE_CAP}""",
+    "incremental_merge": f"""WITH {MERGE_CTES},
+{_merged("SELECT * FROM old_rows", f"SELECT * FROM fresh WHERE r <= {MERGE_CAP}")}
+SELECT * FROM merged""",
     "merge_counts": f"""WITH {MERGE_CTES}, m AS (
   SELECT video_key, 0 AS is_new FROM old_rows UNION ALL
   SELECT video_key, 1 FROM fresh WHERE r <= {MERGE_CAP})
 SELECT video_key, count(*) AS total_comments, sum(is_new)::BIGINT AS new_comments
 FROM m GROUP BY video_key""",
-    "merge_current_only": f"""WITH {MERGE_CTES}
-SELECT {MERGED}, false AS is_new FROM old_rows SEMI JOIN listed USING (video_key) UNION ALL
-SELECT {MERGED}, true FROM fresh SEMI JOIN listed USING (video_key)""",
+    "merge_current_only": f"""WITH {MERGE_CTES},
+{_merged("SELECT * FROM old_rows SEMI JOIN listed USING (video_key)",
+         "SELECT * FROM fresh SEMI JOIN listed USING (video_key)")}
+SELECT * FROM merged""",
     "merge_dropped": f"""WITH {MERGE_CTES}
 SELECT {MERGED} FROM old_rows ANTI JOIN listed USING (video_key)""",
     "merge_failed_dropped": f"""WITH {MERGE_CTES},
 carried AS (SELECT * FROM old_rows ANTI JOIN listed USING (video_key)),
-carried_marks AS (SELECT video_key, max(published_at) AS mark FROM carried GROUP BY 1)
-SELECT {MERGED}, false AS is_new FROM carried UNION ALL
-SELECT {MERGED}, true FROM new_rows LEFT JOIN carried_marks USING (video_key)
-WHERE mark IS NULL OR published_at > mark""",
+carried_marks AS (SELECT video_key, max(published_at) AS mark FROM carried GROUP BY 1),
+{_merged("SELECT * FROM carried",
+         "SELECT * FROM new_rows LEFT JOIN carried_marks USING (video_key) "
+         "WHERE mark IS NULL OR published_at > mark")}
+SELECT * FROM merged""",
     "newest_cap": f"""WITH e AS ({EVENTS})
 SELECT {MERGED} FROM e QUALIFY row_number() OVER (
   PARTITION BY video_key ORDER BY published_at DESC, arrival_seq) <= {NEWEST_CAP}""",

@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelgauge.functions.fixed import NEW_COMMENT_CAP
-from reelgauge.operators.merge import high_water_marks, newer_than_mark
-from reelgauge.operators.joins import join_lookup, kept
-from reelgauge.operators.ranking import newest_per_key, with_row_index
+from reelgauge.operators.merge import arrive_after, newer_than_mark, video_ends
+from reelgauge.operators.joins import kept
+from reelgauge.operators.ranking import newest_per_key
 from reelgauge.schemas import COMMENT, COMMENT_ROW, CORRUPT, with_corrupt
 from reelgauge.sources.comments import KEY_IN_JSON, good_comments, key_from_path, source_file
 
@@ -98,30 +98,19 @@ def ingest_stream(
         new = good_comments(batch).withColumns(
             {"snapshot": F.lit(snapshot), "arrival_seq": F.monotonically_increasing_id()}
         )
-        marks = kept(
+        ends = kept(
             _read_batches(spark, f"{target}/marks", MARKS, batch_id)
             .groupBy("video_key")
             .agg(F.max("mark").alias("mark"), F.max("last_seq").alias("last_seq"))
         )
-        fresh = newest_per_key(newer_than_mark(new, marks.drop("last_seq")), cap)
-        ends = marks.select("video_key", "last_seq")
-        numbered = join_lookup(with_row_index(fresh, name="_index"), ends, "video_key", "left")
-        rows = numbered.withColumns(
-            {
-                "arrival_seq": F.coalesce(F.col("last_seq") + 1, F.lit(0)) + F.col("_index"),
-                "batch_id": F.lit(batch_id).cast("bigint"),
-            }
-        ).select(*STORED.names)
-        _write_batch(rows, f"{target}/comments")
+        fresh = newest_per_key(newer_than_mark(new, ends.drop("last_seq")), cap)
+        rows = arrive_after(fresh, ends.drop("mark"))
+        number = F.lit(batch_id).cast("bigint")
+        _write_batch(rows.withColumn("batch_id", number).select(*STORED.names), f"{target}/comments")
         written = stored_comments(spark, target).where(F.col("batch_id") == batch_id)
-        _write_batch(
-            high_water_marks(written)
-            .join(written.groupBy("video_key").agg(F.max("arrival_seq").alias("last_seq")), "video_key")
-            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            .select(*MARKS.names),
-            f"{target}/marks",
-        )
-        marks.unpersist()
+        marks = video_ends(written).withColumn("batch_id", number)
+        _write_batch(marks.select(*MARKS.names), f"{target}/marks")
+        ends.unpersist()
 
     stream = landing_stream(spark, landing, multiline, pattern, files_per_batch)
     return (

@@ -37,7 +37,7 @@ def new(spark):
 def test_only_strictly_newer_rows_are_added_and_nothing_is_deduplicated(previous, new, rows):
     merged = M.merge_comments(previous, new)
     assert rows(merged, "video_key", "arrival_seq", "is_new") == [
-        ("a", 0, False), ("a", 1, False), ("a", 12, True), ("b", 13, True),
+        ("a", 0, False), ("a", 1, False), ("a", 2, True), ("b", 0, True),
         ("fail", 0, False), ("gone", 0, False),
     ]
     assert rows(M.merge_counts(merged)) == [
