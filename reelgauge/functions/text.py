@@ -73,6 +73,8 @@ def clean_tokens(
     stop = sorted({w.lower() for w in stop_words})
     if not stop:
         return F.array_remove(tokens, "")
+    if lower:
+        return F.filter(tokens, lambda t: (t != "") & ~t.isin(stop))
     return F.filter(tokens, lambda t: (t != "") & ~F.lower(t).isin(stop))
 
 

@@ -48,7 +48,8 @@ class Lexicon:
 
     @staticmethod
     def _inline_score(head: list, text: str) -> Column:
-        """The score inside the row: hash-set lookups, no join and no shuffle."""
+        """The score inside the row: hash-set lookups, no join and no shuffle. Words outside the
+        lexicon go first, so the sum runs over the hits only."""
         by_polarity: dict[int, set[str]] = {}
         for term, polarity in head:
             by_polarity.setdefault(polarity, set()).add(term)
@@ -59,7 +60,9 @@ class Lexicon:
                 total = total + hit
             return total
 
-        return F.aggregate(T.words(text), F.lit(0), add)
+        known = sorted(set().union(*by_polarity.values()))
+        hits = F.filter(T.words(text), lambda word: word.isin(known))
+        return F.aggregate(hits, F.lit(0), add)
 
     def _joined(self, df: DataFrame, text: str) -> DataFrame:
         """For a lexicon too large for the row form; shuffles narrow rows only."""
