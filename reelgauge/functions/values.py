@@ -25,6 +25,10 @@ def one_decimal(value: Column) -> Column:
     return F.format_number(value, 1)
 
 
+def two_decimals(value: Column) -> Column:
+    return F.format_number(value, 2)
+
+
 def with_thousands(value: Column) -> Column:
     return F.format_number(value, 0)
 

@@ -65,7 +65,7 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
         previous = C.read_comments(spark, a.comments, a.previous)
     else:
         previous = spark.createDataFrame([], COMMENT_ROW)
-    videos = D.read_videos(spark, a.selected, multiline=False)
+    videos = D.read_videos(spark, a.selected)
     merged = collect_comments(previous, pages(spark, a.threads, THREAD_PAGE), videos, a.run_id)
     C.write_comments(merged, a.comments)
 
@@ -107,7 +107,7 @@ def topics(spark: SparkSession, a: argparse.Namespace) -> None:
 def board(spark: SparkSession, a: argparse.Namespace) -> None:
     comments = C.read_comments(spark, a.comments, a.snapshot)
     labelled = S.label_sentiment(comments, lexicon(spark, a.lexicon))
-    videos = D.read_videos(spark, a.selected, multiline=False)
+    videos = D.read_videos(spark, a.selected)
     rows = B.leaderboard(
         videos.withColumn("video_key", F.col("video_id")),
         S.dominant_sentiment(S.sentiment_counts(labelled)), a.query,

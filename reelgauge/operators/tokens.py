@@ -71,3 +71,15 @@ def vocabulary(
 
 def vocabulary_size(vocab: DataFrame, key: str | None = None) -> DataFrame:
     return vocab.groupBy(*([key] if key else [])).agg(F.count("*").alias("vocabulary_size"))
+
+
+def skipped_videos(
+    comments: DataFrame, rows: DataFrame, vocab: DataFrame, key: str = "video_key"
+) -> DataFrame:
+    """Videos that get no topic model and why; ``rows`` are the comments with tokens and
+    ``vocab`` their vocabulary by video."""
+    left = comments.select(key).distinct()
+    left = left.join(vocab.select(key).distinct(), key, "left_anti")
+    with_tokens = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    reason = F.when(F.col("_n").isNull(), "no tokens").otherwise("no frequent term")
+    return left.join(with_tokens, key, "left").select(key, reason.alias("reason"))

@@ -25,7 +25,7 @@ from reelgauge.functions.fixed import (
     VOCABULARY_SIZE,
 )
 from reelgauge.operators.joins import join_lookup, measured_bytes
-from reelgauge.operators.tokens import vocabulary
+from reelgauge.operators.tokens import skipped_videos, vocabulary
 from reelgauge.session import stored
 
 KEY, SEQ = "video_key", "arrival_seq"
@@ -351,8 +351,4 @@ class VideoTopics:
 
     def skipped(self, comments: DataFrame, rows: DataFrame) -> DataFrame:
         """Videos without a model and why; ``rows`` are the comments with tokens."""
-        done = self.models.select(KEY)
-        left = comments.select(KEY).distinct().join(done, KEY, "left_anti")
-        with_tokens = rows.groupBy(KEY).agg(F.count("*").alias("_n"))
-        reason = F.when(F.col("_n").isNull(), "no tokens").otherwise("no frequent term")
-        return left.join(with_tokens, KEY, "left").select(KEY, reason.alias("reason"))
+        return skipped_videos(comments, rows, self.vocab)

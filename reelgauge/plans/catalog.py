@@ -434,6 +434,11 @@ def keep_latest(spark: SparkSession, sf: str) -> DataFrame:
     return P.keep_latest(event_comments(spark, sf), 3).select("snapshot", *MERGED)
 
 
+def single_video(spark: SparkSession, sf: str) -> DataFrame:
+    videos = table(spark, sf, "documents").withColumnRenamed("source", "video_key")
+    return C.of_video(videos, "src7").select("video_key", "doc_id", "lang", "n_chars")
+
+
 # Tokens and vocabularies
 
 
@@ -551,6 +556,13 @@ def topic_words(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def topics_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations as videos: most are too short for a term in five comments."""
+    comments = conversation_comments(spark, sf)
+    rows = K.with_tokens(comments).select("video_key", "arrival_seq", "tokens")
+    return K.skipped_videos(comments, rows, K.vocabulary(rows, "video_key"))
+
+
 # Leaderboard and reports
 
 
@@ -649,7 +661,7 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         clean_tokens, shrunk_text, vocabulary, vocabulary_by_video, vocabulary_size,
         entity_pattern, entity_gazetteer, bio_flatten, entity_frequency, top_entities,
         entities_by_type, entity_totals, entity_hook,
-        topics_by_key, topics_global, topic_words,
+        topics_by_key, topics_global, topic_words, topics_skipped, single_video,
         leaderboard, leaderboard_search, report_json, entity_report_json, topic_report_json,
         video_totals, time_labels, json_roundtrip, ingest_in_two_runs,
     ]

@@ -95,13 +95,18 @@ merged AS (
   FROM new_part LEFT JOIN ends USING (video_key))"""
 
 
-TOKENS = f"""tokens AS (
-  SELECT source AS video_key, doc_id AS arrival_seq, list_filter(
+def _tokens(source: str) -> str:
+    return f"""comments AS ({source}),
+tokens AS (
+  SELECT video_key, arrival_seq, list_filter(
     string_split_regex(regexp_replace(text, '[^\\p{{L}}+\\s\\x0b\\x85\\p{{Z}}]+', '', 'g'),
       '{SPACE}+'),
     lambda t: t <> '' AND NOT list_contains([{", ".join(_quoted(w) for w in STOP_WORDS)}],
       lower(t))) AS tokens
-  FROM documents)"""
+  FROM comments)"""
+
+
+TOKENS = _tokens(DOCUMENTS)
 
 
 def _vocabulary(key: str) -> str:
@@ -323,6 +328,47 @@ n AS (
   SELECT video_key, arrival_seq, unnest(t) AS text, unnest(range(len(t))) AS pos FROM s)
 SELECT video_key, arrival_seq, pos, text, 'NUM' AS type FROM n
 WHERE regexp_full_match(text, '[0-9]+')""",
+    "topics_skipped": f"""WITH {_tokens(CONVERSATIONS)},
+flat AS (SELECT video_key, arrival_seq, unnest(tokens) AS term FROM tokens),
+frequent AS (
+  SELECT video_key, term FROM flat GROUP BY ALL HAVING count(DISTINCT arrival_seq) >= 5),
+sizes AS (SELECT video_key, count_if(len(tokens) > 0) AS n FROM tokens GROUP BY 1)
+SELECT video_key, CASE WHEN n = 0 THEN 'no tokens' ELSE 'no frequent term' END AS reason
+FROM sizes ANTI JOIN frequent USING (video_key)""",
+    "single_video": """SELECT source AS video_key, doc_id, lang, n_chars FROM documents
+WHERE source = 'src7'""",
+    "report_json": f"""WITH {_labelled(DOCUMENTS)}, d AS ({DISTRIBUTION}),
+shares AS (
+  SELECT video_key, any_value(total_comments) AS total,
+    MAP(list(sentiment ORDER BY sentiment),
+        list({{'count': count, 'percentage': percentage}} ORDER BY sentiment)) AS m
+  FROM d GROUP BY video_key),
+examples AS (
+  SELECT video_key, arg_min(text, arrival_seq) FILTER (sentiment = 'positive') AS positive,
+    arg_min(text, arrival_seq) FILTER (sentiment = 'negative') AS negative,
+    arg_min(text, arrival_seq) FILTER (sentiment = 'neutral') AS neutral
+  FROM labelled GROUP BY video_key)
+SELECT video_key, to_json({{'total_comments': total, 'sentiment_stats': {{
+    'total_analyzed': total, 'sentiment_distribution': m, 'average_confidence': 1.0::DOUBLE}},
+  'sentiment_examples': {{
+    'positive': positive, 'negative': negative, 'neutral': neutral}}}})::VARCHAR AS report
+FROM shares JOIN examples USING (video_key)""",
+    "entity_report_json": f"""WITH {GAZETTEER_MENTIONS}, {ENTITY_COUNTS}, {TOP},
+per_type AS (
+  SELECT video_key, type, list({{'text': text, 'count': count}} ORDER BY rank) AS items
+  FROM top_rows GROUP BY ALL),
+typed AS (
+  SELECT video_key, MAP(list(type ORDER BY type), list(items ORDER BY type)) AS m
+  FROM per_type GROUP BY 1),
+listed AS (
+  SELECT video_key, list({{'text': text, 'type': type, 'count': count}} ORDER BY rank) AS l
+  FROM top_rows GROUP BY 1),
+totals AS (SELECT video_key, sum(count)::BIGINT AS n FROM counts GROUP BY 1),
+sizes AS (SELECT source AS video_key, count(*) AS total FROM documents GROUP BY 1)
+SELECT video_key, to_json({{'total_comments': total, 'processed_comments': total,
+  'total_entities': n, 'top_entities': l, 'entities_by_type': m}})::VARCHAR AS report
+FROM sizes JOIN totals USING (video_key) JOIN typed USING (video_key)
+JOIN listed USING (video_key)""",
     "leaderboard": f"""WITH {_labelled(DOCUMENTS)},
 counts AS (SELECT video_key, sentiment, count(*) AS n FROM labelled GROUP BY ALL),
 dominant AS (

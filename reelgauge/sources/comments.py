@@ -93,18 +93,24 @@ def json_to_parquet(
         rejected_files(spark, src, multiline).write.mode("overwrite").json(rejects)
 
 
-def read_comments(spark: SparkSession, root: str, snapshot: str | None = None) -> DataFrame:
-    """Comments of one snapshot; the latest where none is named."""
+def read_comments(
+    spark: SparkSession, root: str, snapshot: str | None = None, video: str | None = None
+) -> DataFrame:
+    """Comments of one snapshot, the latest where none is named, and of one video if given."""
     rows = spark.read.schema(COMMENT_ROW).parquet(root).select(*COMMENT_ROW.names)
-    if snapshot is None:
-        chosen = latest_snapshot(rows)
-    else:
-        chosen = pinned_snapshot(rows, snapshot)
-        if chosen.isEmpty():
-            raise ValueError(f"no snapshot {snapshot} below {root}")
+    chosen = latest_snapshot(rows) if snapshot is None else pinned_snapshot(rows, snapshot)
+    if chosen.isEmpty():
+        raise ValueError(f"no snapshot {snapshot or ''} below {root}")
+    if video is not None:
+        return of_video(chosen, video)
     return chosen.where(F.col("video_key").isNotNull() & (F.col("video_key") != ""))
 
 
+def of_video(comments: DataFrame, video: str) -> DataFrame:
+    """One video; the filter reaches the Parquet scan."""
+    return comments.where(F.col("video_key") == video)
+
+
 def read_comment_folders(spark: SparkSession, path: str) -> DataFrame:
     """The layout of one Parquet dataset per video, ``<video>_comments.parquet``.
 

@@ -15,19 +15,25 @@ PAGE_STRIDE = 1 << 20
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: StructType, multiline: bool = True, glob: str = "*.json"
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    multiline: bool = True,
+    glob: str = "*.json",
+    partitions: bool = False,
 ) -> DataFrame:
     """JSON files with a fixed schema plus the corrupt-record column; other suffixes are skipped.
 
     ``multiline`` reads one JSON document per file. Files of one document or array per line can be
-    split over tasks, which is the form to land large data in.
+    split over tasks, which is the form to land large data in. ``partitions`` takes columns from
+    ``name=value`` folders instead of looking into all folders.
     """
     return (
         spark.read.schema(with_corrupt(schema))
         .option("multiLine", multiline)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", not partitions)
         .json(path)
     )
 

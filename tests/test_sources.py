@@ -82,9 +82,16 @@ def test_snapshots_are_kept_apart(spark, tmp_path, by_video, rows):
         C.read_comments(spark, dst, "19990101_000000")
     plan = old._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(snapshot" in plan
+    one = C.read_comments(spark, dst, video="a b%é")
+    assert rows(one, "video_key", "text") == [("a b%é", "new")]
+    filters = one._jdf.queryExecution().executedPlan().toString()
+    assert ("EqualTo(video_key,a b%é)" in filters) != by_video
 
 
-def test_missing_root_fails_early(spark, tmp_path):
+def test_missing_snapshots_fail_early(spark, tmp_path):
+    C.write_comments(spark.createDataFrame([], COMMENT_ROW), str(tmp_path / "empty"))
+    with pytest.raises(ValueError, match="no snapshot"):
+        C.read_comments(spark, str(tmp_path / "empty"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         C.read_comments(spark, str(tmp_path / "none"))
 
@@ -138,9 +145,12 @@ def test_collection_from_landed_pages(spark, tmp_path, rows):
     assert rows(L.flatten_videos(videos).where("video_id = 'e'"), "title", "channel_title", "view_count") == [("", "", 0)]
     out = str(tmp_path / "metadata")
     D.write_videos(got, out, "20250125_000000", "last_90_days")
-    assert rows(D.read_videos(spark, out, multiline=False), "video_id", "video_url") == [
-        ("b", "https://www.youtube.com/watch?v=b")
-    ]
+    stored = ("b", "https://www.youtube.com/watch?v=b")
+    assert rows(D.read_videos(spark, out), "video_id", "video_url") == [stored]
+    D.write_videos(got.limit(0), out, "20250126_000000", "last_90_days")
+    D.write_videos(got.withColumn("video_id", F.lit("n")), out, "20250127_000000", "last_90_days")
+    assert rows(D.read_videos(spark, out), "video_id") == [("n",)]
+    assert rows(D.read_videos(spark, out, "20250125_000000"), "video_id", "video_url") == [stored]
 
 
 def thread(author, at):
