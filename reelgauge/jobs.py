@@ -9,7 +9,8 @@
     jobs.py topics    --comments DIR --out DIR --run-id ID
     jobs.py board     --selected DIR --comments DIR --out DIR --run-id ID [--query TEXT]
 
-The run id is a time, and names the snapshot or report that the job writes.
+The run id is a time, and names the snapshot or report that the job writes. The analysing jobs take
+the latest snapshot unless --snapshot names one; --folders reads one Parquet dataset per video.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from reelgauge.functions.fixed import PERIOD_DAYS, TOP_VIDEOS
 from reelgauge.operators import entities as E
 from reelgauge.operators import leaderboard as B
 from reelgauge.operators import sentiment as S
+from reelgauge.operators.snapshots import latest_snapshot, pinned_snapshot
 from reelgauge.operators.tokens import with_tokens
 from reelgauge.operators.video_topics import fit_video_topics
 from reelgauge.plans import reports
@@ -48,6 +50,14 @@ def lexicon(spark: SparkSession, path: str | None) -> S.Lexicon:
     return S.Lexicon(spark.createDataFrame(terms, "term string, polarity int"))
 
 
+def comments_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """One snapshot, the latest by default, of the partitioned table or of per-video folders."""
+    if not a.folders:
+        return C.read_comments(spark, a.comments, a.snapshot)
+    rows = C.read_comment_folders(spark, a.comments).where("video_key <> ''")
+    return pinned_snapshot(rows, a.snapshot) if a.snapshot else latest_snapshot(rows)
+
+
 def pages(spark: SparkSession, path: str, schema) -> DataFrame:
     return L.readable(L.read_json(spark, path, schema))
 
@@ -86,26 +96,26 @@ def _write(report: DataFrame, a: argparse.Namespace, kind: str, **header) -> Non
 
 
 def sentiment(spark: SparkSession, a: argparse.Namespace) -> None:
-    comments = C.read_comments(spark, a.comments, a.snapshot)
+    comments = comments_of(spark, a)
     _write(reports.sentiment_report(comments, lexicon(spark, a.lexicon)), a, "sentiment")
 
 
 def entities(spark: SparkSession, a: argparse.Namespace) -> None:
-    comments = C.read_comments(spark, a.comments, a.snapshot)
+    comments = comments_of(spark, a)
     tagger = E.Gazetteer(spark.read.parquet(a.gazetteer)) if a.gazetteer else E.Patterns()
     report = reports.entity_report(comments, tagger, a.top)
     _write(report, a, "entity", counted_as="total_movies_analyzed", parameters={"top": a.top})
 
 
 def topics(spark: SparkSession, a: argparse.Namespace) -> None:
-    comments = C.read_comments(spark, a.comments, a.snapshot)
+    comments = comments_of(spark, a)
     tokens = with_tokens(comments).select("video_key", "arrival_seq", "tokens")
     model = fit_video_topics(stored(tokens, "tokens"), seed=a.seed)
     _write(reports.topic_report(comments, model.topics(), model.metrics()), a, "topic")
 
 
 def board(spark: SparkSession, a: argparse.Namespace) -> None:
-    comments = C.read_comments(spark, a.comments, a.snapshot)
+    comments = comments_of(spark, a)
     labelled = S.label_sentiment(comments, lexicon(spark, a.lexicon))
     videos = D.read_videos(spark, a.selected)
     rows = B.leaderboard(
@@ -142,6 +152,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--previous")
         elif name in ("sentiment", "entities", "topics", "board"):
             job.add_argument("--snapshot")
+            job.add_argument("--folders", action="store_true")
             job.add_argument("--lexicon")
             job.add_argument("--gazetteer")
             job.add_argument("--query")

@@ -39,11 +39,12 @@ def entity_mentions(tagged: DataFrame, key: str = KEY, seq: str = SEQ) -> DataFr
 
 
 class Gazetteer:
-    """Dictionary of ``term, type``; a token is matched as written, or lower-cased."""
+    """Dictionary of ``term, type``; a token is matched as written, or lower-cased. A term with
+    several types takes the first by name, so that a token is one mention."""
 
     def __init__(self, terms: DataFrame, case_sensitive: bool = False):
         name = F.col("term") if case_sensitive else F.lower("term")
-        self.terms = terms.select(name.alias("_name"), F.col("type"))
+        self.terms = terms.groupBy(name.alias("_name")).agg(F.min("type").alias("type"))
         self.case_sensitive = case_sensitive
 
     def mentions(self, df: DataFrame, text: str) -> DataFrame:

@@ -31,14 +31,15 @@ def _label_of_score(score: Column) -> Column:
 
 
 class Lexicon:
-    """Sign of the summed polarity of a comment's words; ``terms`` has ``term, polarity``."""
+    """Sign of the summed polarity of a comment's words; ``terms`` has ``term, polarity``.
+    Equal entries count once, different polarities of one term add up."""
 
     INLINE_TERMS = 20_000
 
     def __init__(self, terms: DataFrame):
         self.terms = terms.select(
             F.lower("term").alias("term"), F.col("polarity").cast("int").alias("polarity")
-        )
+        ).distinct()
 
     def label(self, df: DataFrame, text: str) -> DataFrame:
         head = self.terms.limit(self.INLINE_TERMS + 1).collect()

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from reelgauge.operators.joins import join_lookup, kept
 from reelgauge.operators.snapshots import latest_snapshot, pinned_snapshot
 from reelgauge.schemas import COMMENT, COMMENT_ROW, CORRUPT
 from reelgauge.sources.landing import read_json, unreadable
@@ -112,15 +113,30 @@ def of_video(comments: DataFrame, video: str) -> DataFrame:
 
 
 def read_comment_folders(spark: SparkSession, path: str) -> DataFrame:
-    """The layout of one Parquet dataset per video, ``<video>_comments.parquet``.
+    """The layout ``<snapshot>/<video>_comments.parquet`` with one Parquet dataset per video.
 
-    Order inside a file is ``row_index``; ``input_file`` and ``row_index`` order a video.
+    Key and snapshot come from the path. Arrival numbers count the files of a video by name, then
+    the rows of a file; finding the files reads no data columns.
     """
     rows = spark.read.schema(COMMENT).option("recursiveFileLookup", True).parquet(path)
     located = rows.select(
-        "*", source_file().alias("input_file"), F.col("_metadata.row_index").alias("row_index")
+        *COMMENT.names, source_file().alias("input_file"), F.col("_metadata.row_index").alias("_row")
+    ).withColumns(
+        {
+            "video_key": key_from_path(F.col("input_file"), KEY_IN_PARQUET),
+            "snapshot": key_from_path(F.col("input_file"), r"([^/]+)/[^/]+_comments\.parquet"),
+        }
+    )
+    by_name = Window.partitionBy("snapshot", "video_key").orderBy("input_file")
+    files = (
+        located.select("snapshot", "video_key", "input_file")
+        .distinct()
+        .select("input_file", (F.row_number().over(by_name) - 1).cast("bigint").alias("_file"))
+    )
+    numbered = join_lookup(located, kept(files), "input_file")
+    return numbered.withColumn("arrival_seq", F.shiftleft("_file", 40) + F.col("_row")).select(
+        *COMMENT_ROW.names, "input_file"
     )
-    return located.withColumn("video_key", key_from_path(F.col("input_file"), KEY_IN_PARQUET))
 
 
 def key_counts(rows: DataFrame) -> DataFrame:

@@ -60,7 +60,7 @@ def comments(spark):
 
 
 def test_gazetteer(spark, comments, rows, monkeypatch):
-    terms = spark.createDataFrame([("Rome", "LOC"), ("paris", "LOC")], "term string, type string")
+    terms = spark.createDataFrame([("Rome", "LOC"), ("paris", "LOC"), ("ROME", "ORG"), ("Rome", "LOC")], "term string, type string")
     want = [("v", 0, 0, "rome", "LOC"), ("v", 0, 1, "rome", "LOC"), ("v", 0, 3, "paris", "LOC")]
     assert rows(E.tag_entities(comments, E.Gazetteer(terms))) == want
     exact = E.tag_entities(comments, E.Gazetteer(terms, case_sensitive=True))

@@ -72,6 +72,23 @@ def test_convert_and_ingest(spark, tmp_path, monkeypatch):
     assert spark.read.parquet(f"{target}/comments").count() == 1
 
 
+def test_sentiment_over_a_folder_per_video(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "get_session", lambda name: spark)
+    data = spark.createDataFrame(
+        [("a", "great", 1, "p"), ("b", "bad", 1, "p"), ("c", "great", 1, "p")],
+        "author string, text string, like_count int, published_at string",
+    )
+    root = str(tmp_path / "parquet")
+    data.limit(1).write.parquet(f"{root}/20250101_000000/kong_a_comments.parquet")
+    data.write.parquet(f"{root}/20250102_000000/kong_a_comments.parquet")
+    base = ["sentiment", "--folders", "--comments", root, "--out", str(tmp_path / "out")]
+    jobs.main([*base, "--run-id", "20250103_000000"])
+    jobs.main([*base, "--run-id", "20250104_000000", "--snapshot", "20250101_000000"])
+    for run, count in (("20250103_000000", 3), ("20250104_000000", 1)):
+        table = spark.read.parquet(f"{tmp_path}/out/sentiment_analysis_{run}/table")
+        assert [(r[0], r[1]) for r in table.collect()] == [("kong_a", count)]
+
+
 def test_arguments_are_checked():
     with pytest.raises(SystemExit):
         jobs.parse(["sentiment", "--out", "x"])

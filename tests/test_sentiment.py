@@ -18,7 +18,7 @@ def comments(spark):
 @pytest.fixture
 def lexicon(spark):
     return S.Lexicon(
-        spark.createDataFrame([("great", 2), ("good", 1), ("bad", -1)], "term string, polarity int")
+        spark.createDataFrame([("great", 2), ("good", 1), ("Good", 1), ("bad", -1)], "term string, polarity int")
     )
 
 

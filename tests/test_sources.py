@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelgauge.operators import sentiment as S
+from reelgauge.operators.snapshots import latest_snapshot
 from reelgauge.plans.collection import collect_comments, collect_videos
 from reelgauge.plans.reports import sentiment_report
 from reelgauge.schemas import COMMENT_ROW, SEARCH_PAGE, THREAD_PAGE, VIDEO_PAGE
@@ -97,12 +98,25 @@ def test_missing_snapshots_fail_early(spark, tmp_path):
 
 
 def test_folder_per_video_layout(spark, tmp_path, rows):
-    data = spark.createDataFrame([("a", "t", 1, "p")], "author string, text string, like_count int, published_at string")
-    for name in ("a b%ü+_1_comments.parquet", "plain.parquet"):
-        data.write.parquet(str(tmp_path / "root" / name))
-    got = C.read_comment_folders(spark, str(tmp_path / "root"))
-    assert rows(got, "video_key", "row_index", "text") == [("", 0, "t"), ("a b%ü+_1", 0, "t")]
-    assert rows(C.key_counts(got)) == [("", 1, False), ("a b%ü+_1", 1, True)]
+    root = tmp_path / "root"
+
+    def write(snapshot, name, texts, files=1):
+        data = [("a", t, 1, "p") for t in texts]
+        frame = spark.createDataFrame(data, "author string, text string, like_count int, published_at string")
+        frame.repartitionByRange(files, "text").sortWithinPartitions("text").write.parquet(
+            str(root / snapshot / name)
+        )
+
+    write("20250101_000000", "a b%ü+_1_comments.parquet", ["old"])
+    write("20250102_000000", "a b%ü+_1_comments.parquet", list("tuvwxyz"), 3)
+    write("20250102_000000", "plain.parquet", ["lost"])
+    every = C.read_comment_folders(spark, str(root))
+    assert rows(C.key_counts(every)) == [("", 1, False), ("a b%ü+_1", 8, True)]
+    got = latest_snapshot(every).where("video_key <> ''")
+    ordered = [r[0] for r in got.orderBy("arrival_seq").select("text").collect()]
+    assert ordered == list("tuvwxyz")
+    assert got.select("arrival_seq").distinct().count() == 7
+    assert len(rows(got.select("input_file").distinct())) == 3
 
 
 def raw_video(video_id, title, channel, **counts):
