@@ -30,6 +30,10 @@ class TopicModel:
     words: list[str]
     vectors: DataFrame
 
+    def release(self) -> None:
+        """Drop the cached vectors once the results are written."""
+        self.vectors.unpersist()
+
 
 def fit_topics(
     rows: DataFrame,

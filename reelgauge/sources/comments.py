@@ -59,17 +59,17 @@ def write_comments(
 ) -> None:
     """Write ``COMMENT_ROW`` partitioned by snapshot.
 
-    By default rows are range-partitioned on video and arrival, so that a video of any size
-    spreads over many files, small videos share files, and row-group statistics prune a
-    single-video read. ``by_video`` makes one folder per video instead.
+    By default rows are rebalanced on the video and sorted: adaptive execution sizes the output
+    tasks, splits a hot video over many files and lets small videos share one, and row-group
+    statistics prune a single-video read. ``by_video`` makes one folder per video instead.
     """
     rows = rows.select(*COMMENT_ROW.names)
     if by_video:
         writer = rows.write.partitionBy("snapshot", "video_key")
     else:
+        balanced = rows.hint("rebalance", F.col("video_key"))
         order = ["snapshot", "video_key", "arrival_seq"]
-        writer = rows.repartitionByRange(*order).sortWithinPartitions(*order).write
-        writer = writer.partitionBy("snapshot")
+        writer = balanced.sortWithinPartitions(*order).write.partitionBy("snapshot")
     writer.mode(mode).option("partitionOverwriteMode", "dynamic").parquet(dst)
 
 
