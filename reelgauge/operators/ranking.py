@@ -45,6 +45,11 @@ def index_page(df: DataFrame, start: int, size: int, name: str = "row_index") ->
     return df.where((F.col(name) >= start) & (F.col(name) < start + size))
 
 
+def newest_first(df: DataFrame, time: str = "published_at", seq: str = "arrival_seq") -> DataFrame:
+    """Comments by publish time, newest first; equal times go by arrival."""
+    return df.orderBy(F.desc_nulls_last(time), F.asc(seq))
+
+
 def newest_per_key(
     df: DataFrame,
     cap: int,

@@ -412,6 +412,11 @@ def newest_cap(spark: SparkSession, sf: str) -> DataFrame:
     return R.newest_per_key(event_comments(spark, sf), NEWEST_CAP).select(*MERGED)
 
 
+def newest_comments(spark: SparkSession, sf: str) -> DataFrame:
+    """The first page of all comments, newest first."""
+    return R.newest_first(event_comments(spark, sf)).limit(100).select(*MERGED)
+
+
 def row_index(spark: SparkSession, sf: str) -> DataFrame:
     return R.with_row_index(
         event_comments(spark, sf).select("video_key", "arrival_seq")
@@ -656,7 +661,7 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         flatten_props, flatten_video_response, search_then_details, flatten_thread_response,
         failed_fetches,
         high_water_mark, incremental_merge, merge_counts, merge_current_only, merge_dropped,
-        merge_failed_dropped, newest_cap, row_index, row_index_page, latest_snapshot,
+        merge_failed_dropped, newest_cap, newest_comments, row_index, row_index_page, latest_snapshot,
         pinned_snapshot, keep_latest,
         clean_tokens, shrunk_text, vocabulary, vocabulary_by_video, vocabulary_size,
         entity_pattern, entity_gazetteer, bio_flatten, entity_frequency, top_entities,

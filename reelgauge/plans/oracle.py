@@ -271,6 +271,8 @@ SELECT * FROM merged""",
     "newest_cap": f"""WITH e AS ({EVENTS})
 SELECT {MERGED} FROM e QUALIFY row_number() OVER (
   PARTITION BY video_key ORDER BY published_at DESC, arrival_seq) <= {NEWEST_CAP}""",
+    "newest_comments": f"""WITH e AS ({EVENTS})
+SELECT {MERGED} FROM e ORDER BY published_at DESC, arrival_seq LIMIT 100""",
     "row_index": f"""WITH e AS ({EVENTS})
 SELECT video_key, arrival_seq,
   row_number() OVER (PARTITION BY video_key ORDER BY arrival_seq) - 1 AS row_index FROM e""",

@@ -1,3 +1,6 @@
+import random
+from collections import Counter, defaultdict
+
 import pytest
 
 from reelgauge.operators import entities as E
@@ -92,3 +95,21 @@ def test_report_keeps_videos_without_mentions(comments):
     assert set(report["v"]["entities_by_type"]) == {"EMAIL", "IP"}
     assert report["w"]["total_entities"] == 0
     assert report["w"]["top_entities"] == [] and report["w"]["entities_by_type"] == {}
+
+
+def test_random_mentions_equal_a_counter(spark):
+    pick = random.Random(5)
+    data = []
+    for i in range(3000):
+        key = "hot" if pick.random() < 0.34 else f"v{pick.randrange(30)}"
+        text = f"e{int(pick.expovariate(0.15))}"
+        data.append((key, i // 3, i % 3, text, pick.choice(["A", "B"])))
+    got = defaultdict(list)
+    ranked = E.top_entities(E.entity_counts(spark.createDataFrame(data, MENTION)))
+    for r in ranked.orderBy("video_key", "rank").collect():
+        got[r["video_key"]].append((r["rank"], r["text"], r["type"], r["count"]))
+    for key in {d[0] for d in data}:
+        own = [d for d in data if d[0] == key]
+        types = {d[3]: d[4] for d in own}
+        top = Counter(d[3] for d in own).most_common(10)
+        assert got[key] == [(i + 1, t, types[t], n) for i, (t, n) in enumerate(top)]

@@ -1,3 +1,6 @@
+import random
+from collections import defaultdict
+
 import pytest
 
 from reelgauge.functions.fixed import LABELS
@@ -124,3 +127,33 @@ def test_embeddings_are_mean_vectors_of_one_width(spark):
     )
     got = S.sentence_embeddings(frame, size=8).collect()
     assert len(got) == 21 and {len(r["embedding"]) for r in got} == {8}
+
+
+def test_shares_of_random_comments(spark, lexicon):
+    pick = random.Random(3)
+    words = ["great", "good", "bad", "film", ""]
+    data = []
+    for i in range(3000):
+        key = "hot" if pick.random() < 0.34 else f"v{pick.randrange(50)}"
+        text = " ".join(pick.choices(words, k=pick.randrange(4)))
+        data.append((key, i, None if pick.random() < 0.1 else text))
+    frame = spark.createDataFrame(data, "video_key string, arrival_seq bigint, text string")
+    counts = S.sentiment_counts(S.label_sentiment(frame, lexicon))
+    totals = {r["video_key"]: r for r in S.sentiment_totals(counts).collect()}
+    shares, analysed = defaultdict(float), defaultdict(int)
+    for r in S.sentiment_distribution(counts).collect():
+        shares[r["video_key"]] += r["percentage"]
+        analysed[r["video_key"]] += r["count"]
+        assert r["total_comments"] == totals[r["video_key"]]["total_comments"]
+    assert all(abs(s - 100) < 1e-9 for s in shares.values())
+    for key, row in totals.items():
+        usable = [t for k, _, t in data if k == key and t]
+        assert analysed[key] == row["total_analyzed"] == len(usable) <= row["total_comments"]
+    first = {r["video_key"]: r for r in S.sentiment_examples(S.label_sentiment(frame, lexicon)).collect()}
+    score = {"great": 2, "good": 1, "bad": -1}
+    for label, wanted in (("positive", 1), ("negative", -1), ("neutral", 0)):
+        for key in totals:
+            texts = [t for k, _, t in data if k == key and t]
+            sums = [sum(score.get(w, 0) for w in t.split()) for t in texts]
+            found = [t for t, s in zip(texts, sums) if (s > 0) - (s < 0) == wanted]
+            assert first[key][label] == (found[0] if found else None)

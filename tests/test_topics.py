@@ -1,5 +1,6 @@
 import math
 import random
+from functools import partial
 
 import numpy as np
 import pytest
@@ -80,6 +81,17 @@ def test_fits_repeat_for_any_partitioning(token_rows):
     assert fit(token_rows) == fit(token_rows.repartition(3)) == fit(token_rows.coalesce(1))
 
 
+def test_models_beyond_the_broadcast_limit(token_rows, monkeypatch):
+    def fit():
+        model = VT.fit_video_topics(token_rows, k=2, max_iter=3, rate=0.5)
+        topics = sorted((r[0], r[1], tuple(r[2])) for r in model.topics().collect())
+        return topics, sorted((r[0], round(r[2], 6)) for r in model.metrics().collect())
+
+    near = fit()
+    monkeypatch.setattr(VT, "join_lookup", partial(VT.join_lookup, limit_bytes=-1))
+    assert fit() == near
+
+
 def test_bound_equals_mllibs_on_the_same_model(spark, token_rows):
     one = token_rows.where("video_key = 'hot'")
     theirs = G.fit_topics(one, k=2, max_iter=5)
