@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,11 +53,30 @@ def total_width(df: DataFrame) -> Column:
     return F.coalesce(F.sum(_width(df).cast("bigint")), F.lit(0))
 
 
+_scope: ContextVar[list[DataFrame] | None] = ContextVar("kept", default=None)
+
+
 def kept(df: DataFrame) -> DataFrame:
     """Keep a derived lookup for its second use. Lost blocks are recomputed from its plan."""
+    held = _scope.get()
+    if held is not None:
+        held.append(df)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+@contextmanager
+def release_after() -> Iterator[None]:
+    """Drop what the operators kept inside the block when it ends; write the results inside."""
+    held: list[DataFrame] = []
+    token = _scope.set(held)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for df in held:
+            df.unpersist()
+
+
 def join_lookup(
     big: DataFrame,
     lookup: DataFrame,

@@ -42,12 +42,14 @@ def arrive_after(
 
 
 def of_listed_videos(comments: DataFrame, videos: DataFrame, key: str = KEY) -> DataFrame:
-    return join_lookup(comments, kept(videos.select(key).distinct()), key, "left_semi")
+    listed = kept(videos.select(key).distinct())
+    return join_lookup(comments, listed, key, "left_semi")
 
 
 def of_unlisted_videos(comments: DataFrame, videos: DataFrame, key: str = KEY) -> DataFrame:
     """What a new snapshot leaves out."""
-    return join_lookup(comments, kept(videos.select(key).distinct()), key, "left_anti")
+    listed = kept(videos.select(key).distinct())
+    return join_lookup(comments, listed, key, "left_anti")
 
 
 def merge_comments(
@@ -62,7 +64,8 @@ def merge_comments(
     """Previous comments, then the newest ``cap`` comments newer than each video's mark.
 
     New comments get arrival numbers after the stored ones. Nothing is de-duplicated. ``videos``
-    limits the snapshot to listed videos. Videos in ``failed`` could not be fetched: their history is carried, or dropped on request.
+    limits the snapshot to listed videos. Videos in ``failed`` could not be fetched: their history
+    is carried, or dropped on request.
     """
     if on_missing not in ("carry", "drop"):
         raise ValueError("on_missing is 'carry' or 'drop'")

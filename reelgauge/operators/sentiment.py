@@ -142,7 +142,9 @@ class VectorHook:
         )
 
 
-def label_sentiment(df: DataFrame, scorer: Lexicon | Trained | Hook | VectorHook, text: str = "text") -> DataFrame:
+def label_sentiment(
+    df: DataFrame, scorer: Lexicon | Trained | Hook | VectorHook, text: str = "text"
+) -> DataFrame:
     """Add ``sentiment`` and ``confidence``; both NULL where the text is NULL or empty.
 
     A missing label becomes ``neutral``; confidence is 1.0 where the scorer has none.

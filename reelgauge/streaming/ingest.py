@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from reelgauge.functions.fixed import NEW_COMMENT_CAP
 from reelgauge.operators.merge import arrive_after, newer_than_mark, video_ends
-from reelgauge.operators.joins import kept
+from reelgauge.operators.joins import kept, release_after
 from reelgauge.operators.ranking import newest_per_key
 from reelgauge.schemas import COMMENT, COMMENT_ROW, CORRUPT, with_corrupt
 from reelgauge.sources.comments import KEY_IN_JSON, good_comments, key_from_path, source_file
@@ -95,6 +95,10 @@ def ingest_stream(
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        with release_after():
+            merge_batch(batch, batch_id)
+
+    def merge_batch(batch: DataFrame, batch_id: int) -> None:
         new = good_comments(batch).withColumns(
             {"snapshot": F.lit(snapshot), "arrival_seq": F.monotonically_increasing_id()}
         )
@@ -110,7 +114,6 @@ def ingest_stream(
         written = stored_comments(spark, target).where(F.col("batch_id") == batch_id)
         marks = video_ends(written).withColumn("batch_id", number)
         _write_batch(marks.select(*MARKS.names), f"{target}/marks")
-        ends.unpersist()
 
     stream = landing_stream(spark, landing, multiline, pattern, files_per_batch)
     return (

@@ -4,7 +4,6 @@ import random
 from collections import defaultdict
 
 import pytest
-from pyspark.sql import functions as F
 
 from reelgauge.operators import joins
 from reelgauge.operators import merge as M
@@ -120,6 +119,14 @@ def test_lookup_join_is_the_same_beyond_the_broadcast_limit(spark, rows):
         assert rows(near) == rows(far)
 
 
+def test_kept_lookups_are_released(spark, previous, new):
+    spark.catalog.clearCache()
+    with joins.release_after():
+        M.merge_comments(previous, new, cap=1).count()
+        assert spark.sparkContext._jsc.getPersistentRDDs().size() > 0
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
 def test_measured_bytes_counts_contents(spark):
     one = spark.createDataFrame([("ab", [1.0, 2.0], [[1.0], [2.0, 3.0]])], "s string, a array<double>, n array<array<double>>")
     size = joins.measured_bytes(one)

@@ -241,7 +241,9 @@ def test_stream_reads_each_file_once_and_adds_only_newer(spark, tmp_path, rows):
     assert run() == first
     land_file("film_2_comments.json", [comment("late", "x", at="2025-01-02"), comment("c", "x", at="2025-01-03")])
     land_file("other_1_comments.json", [comment("d", "x", at="2020-01-01")])
+    spark.catalog.clearCache()
     assert run() == [*first, ("film", "c", 2, 1), ("other", "d", 0, 1)]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_shared_folder_follows_the_session(spark):
