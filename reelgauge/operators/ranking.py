@@ -88,13 +88,12 @@ def newest_per_key(
         largest, size = edge.agg(F.max("_n"), total_width(edge)).first()
         if largest is None:
             return df
-        rows = kept(
-            join_lookup(
-                rows.drop("_need").withColumn("_g", grain), edge.drop("_n"), ["_k", "_g"], size=size
-            ).drop("_g")
-        )
+        rows = join_lookup(
+            rows.drop("_need").withColumn("_g", grain), edge.drop("_n"), ["_k", "_g"], size=size
+        ).drop("_g")
         if largest <= 1 << block_bits:
             break
+        rows = kept(rows)
     last = Window.partitionBy("_k").orderBy(F.desc("_t"), "_s")
     cut = kept(
         rows.withColumn("_r", F.row_number().over(last))
