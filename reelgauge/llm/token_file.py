@@ -133,8 +133,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
             yield block()
 
     (
-        encoded.repartitionByRange("doc_id", "ids")
-        .sortWithinPartitions("doc_id", "ids")
+        encoded.withColumn("tie", F.xxhash64("ids"))  # boundaries are sampled keys, and should be small
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "ids")
         .select("doc_id", "ids")
         .mapInArrow(per_shard, "shard int, first long, doc_ids array<long>, counts array<long>, control binary, data binary")
         .write.option("compression", "zstd")
