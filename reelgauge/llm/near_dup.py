@@ -1,16 +1,22 @@
 """Near-duplicate documents by bottom-k sketches of word shingles.
 
 One hash function orders all shingles; a sketch is the k smallest of a document's set. Documents with
-equal sets form a class and go on as one. Sketch values that two classes share make inverted lists. A
-class with fewer shared values than a link needs has no partner and leaves; of the others only the
-rarest values, of which any partner must hold one, stay in the lists. Each list pairs its first
-members with the rest, where both are not yet in one component; the union sketch's estimate filters
-the pairs, and the full sets confirm them. Rounds go on with the next members of a list until the list
-is one component or used up, so that a large group of near copies costs a few pairs for each member
-and no pair of different texts that matters is left out.
+equal sets form a class and go on as one. Sketch values that two classes share
+make inverted lists. A class with fewer shared values than a link needs has no partner and leaves; of
+the others only the rarest values, of which any partner must hold one, stay in the lists. The first
+members of each list meet all others that are not yet in their component; the union sketch's estimate
+filters the pairs, and the full sets confirm them. So a large group of near copies costs a few pairs
+for each member.
+
+Members of lists that are not one component by then get sketches of WIDE values, which hold most of
+their sets whole: their lists hold what a link needs at least, by exact bounds, and a passage that many
+documents share stays out of them; parity bits of the sets bound how far two of them differ. The first members meet all others again, eight times as many in
+each round, until every list is one component or used up. No pair of different texts that matters
+is left out.
 
 A link needs a Jaccard similarity of 0.75. Its overlap of two sketches has a mean of 48 of k = 64 and a
-standard deviation of 3.5; the lists and the estimate ask for half of k, 4.6 deviations below.
+standard deviation of 3.5 (768 and 14 for 1024); lists and estimates ask for 32 (704), more than 4.5
+deviations below.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; fewer than five words
 make one shingle; rows that repeat a doc_id count as one document; rows without doc_id get no component
@@ -20,6 +26,8 @@ and are kept; an empty table gives no rows. Columns besides doc_id and text are
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -39,8 +47,12 @@ K = 64
 SHARE, OF = 75, 100
 #: The part of k that a link's sketches must share.
 OVERLAP = 0.5
-#: Members of a list that meet all others in the first round; eight times as many in each next one.
-FIRST_HUBS = 2
+#: The size of the sketches of the classes that one round leaves open, and their part.
+WIDE, WIDE_OVERLAP = 1024, 0.6875
+#: Parity bits of a set.
+BITS = 1024
+#: Members of a list that meet all others in a first round.
+HUBS = 2
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -121,25 +133,52 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(per_batch, "doc_id long, shingles binary")
 
 
-def _need(n: str = "n", k: int = K):
-    return F.ceil(F.least(F.col(n), F.lit(k)) * OVERLAP).cast("int")
+def _needs(k: int, exact: bool) -> tuple[str, str]:
+    """How many values of its sketch a class shares with any partner, and with a larger one.
+
+    Sketches that hold whole sets, also those of all possible partners, allow exact bounds: a link
+    shares 3/4 of either set, and 6/7 of the smaller one. Others leave room for chance.
+    """
+    if not exact:
+        half = f"ceil({OVERLAP} * least(n, {k}))"
+        return half, half
+    chance = f"ceil({WIDE_OVERLAP} * least(n, {k}))"
+    return f"if(4 * n <= 3 * {k}, (3 * n + 3) div 4, {chance})", f"if(4 * n <= 3 * {k}, (6 * n + 6) div 7, {chance})"
 
 
-def inverted_lists(classes: DataFrame, k: int = K, rounds: int = 3) -> DataFrame:
-    """value, node, n: the values by which a class must meet any partner. ``classes``: node, n,
-    sketch.
+def inverted_lists(classes: DataFrame, k: int = K, exact: bool = False, rounds: int = 3) -> DataFrame:
+    """value, node, n, first: the rarest values of each class, one of which any partner holds too;
+    ``first`` marks those that a larger partner holds one of. ``classes``: node, n, sketch.
 
     Every round drops the values of one class and the classes that then share too few.
     """
+    need, need_larger = _needs(k, exact)
     rows = classes.select("node", "n", F.explode("sketch").alias("value"))
     for _ in range(rounds):
         often = saved(rows.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
         shared = join_lookup(rows, often, "value")
-        enough = shared.groupBy("node", "n").agg(F.collect_list(F.struct("df", "value")).alias("held")).where(F.size("held") >= _need(k=k))  # at most k values
+        enough = shared.groupBy("node", "n").agg(F.collect_list(F.struct("df", "value")).alias("held")).where(f"size(held) >= {need}")  # at most k values
         held = saved(enough, "sharing-classes")
         rows = held.select("node", "n", F.explode("held.value").alias("value"))
-    prefix = F.slice(F.array_sort("held"), F.lit(1), F.size("held") - _need(k=k) + 1)
-    return held.select("node", "n", F.explode(prefix).alias("one")).select(F.col("one.value").alias("value"), "node", "n")
+    return (
+        held.select("node", "n", F.size("held").alias("size"), F.posexplode(F.array_sort("held")).alias("at", "one"))
+        .where(f"at <= size - {need}")
+        .select(F.col("one.value").alias("value"), "node", "n", F.expr(f"at <= size - {need_larger}").alias("first"))
+    )
+
+
+def _wide_sketches(sets: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """node, n, sketch of k values, and parity bits of the full sets of some nodes: bit i tells
+    whether an odd number of hashes falls on i, so that two sets differ in more hashes than bits."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
+            signed = [(x[:k] ^ np.uint64(1 << 63)).view(np.int64) for x in held]
+            bits = [np.packbits(np.bincount((x >> np.uint64(20)) % np.uint64(BITS), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for x in held]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, held)), pa.int64()), pa.array(signed, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["node", "n", "sketch", "bits"])
+
+    return join_lookup(sets, nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(per_batch, "node long, n long, sketch array<long>, bits array<long>")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -177,32 +216,53 @@ def links(docs: DataFrame, classes: DataFrame, k: int = K) -> DataFrame | None:
         return None
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = saved(full_sets(join_lookup(chosen, active.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")), "full-sets")
-    lists = lists.withColumn("component", F.col("node"))
-    edges, found, hubs = None, None, FIRST_HUBS
-    while True:
-        mixed = lists.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("value")
-        lists = saved(lists.join(mixed, "value", "left_semi"), "open-lists")
-        if lists.limit(1).count() == 0:
-            return found
-        nth = F.row_number().over(Window.partitionBy("value").orderBy("node"))
-        hub = lists.withColumn("nth", nth).where(F.col("nth") <= hubs).select("value", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("component_a"), "nth")
-        hub = saved(hub, "hubs")
-        met = join_lookup(lists.withColumnRenamed("node", "b"), hub, "value")
-        alike = (OF * F.least("n", "n_a") >= SHARE * F.greatest("n", "n_a")) & (F.col("component") != F.col("component_a"))
-        pairs = saved(met.where((F.col("a") < F.col("b")) & alike).select("a", "b").distinct(), "pairs")
-        likely = saved(_estimated(pairs, held, k), "likely-pairs")
-        fresh = saved(_confirmed(likely, sets), "links")
-        edges = fresh if edges is None else saved(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh), "links")
-        if edges.limit(1).count():
-            found = saved(components(edges), "components")
-        else:
-            edges = None
-        # The hubs have met all members of their lists after them.
-        done = hub.groupBy("value").agg(F.max("a").alias("until"))
-        rest = join_lookup(lists.drop("component"), done, "value").where("node > until").drop("until")
-        lists = rest.withColumn("component", F.col("node")) if found is None else rest.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        lists = lists.select("value", "node", "n", "component")
+    lists, found = _met(_labelled(lists, None), None, held, sets, k, HUBS)
+    left = _open(lists).select("node").distinct()
+    wide = saved(_wide_sketches(sets, left, WIDE), "wide-sketches")
+    lists = saved(inverted_lists(wide, WIDE, exact=True), "inverted-lists")
+    lists = _open(_labelled(join_lookup(lists, wide.select("node", "bits"), "node"), found))
+    hubs = HUBS
+    while lists.limit(1).count():
+        lists, found = _met(lists, found, held, sets, k, hubs)
+        lists = _open(lists)
         hubs *= 8
+    return found
+
+
+def _labelled(lists: DataFrame, found: DataFrame | None) -> DataFrame:
+    """The lists with each member's component, so far."""
+    lists = lists.drop("component")
+    if found is None:
+        return lists.withColumn("component", F.col("node"))
+    return lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _open(lists: DataFrame) -> DataFrame:
+    """The lists whose members are not yet in one component."""
+    mixed = lists.groupBy("value").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("value")
+    return saved(lists.join(mixed, "value", "left_semi"), "open-lists")
+
+
+def _met(lists: DataFrame, found: DataFrame | None, held: DataFrame, sets: DataFrame, k: int, hubs: int) -> tuple[DataFrame, DataFrame | None]:
+    """The first members of each list, its hubs, meet all others; the lists without these hubs, and
+    all components."""
+    nth = F.row_number().over(Window.partitionBy("value").orderBy("node"))
+    hub = lists.withColumn("nth", nth).where(F.col("nth") <= hubs).drop("nth")
+    hub = saved(hub.select("value", F.col("node").alias("a"), *[F.col(c).alias(f"{c}_a") for c in hub.columns if c not in ("value", "node")]), "hubs")
+    met = join_lookup(lists.withColumnRenamed("node", "b"), hub, "value")
+    alike = (OF * F.least("n", "n_a") >= SHARE * F.greatest("n", "n_a")) & (F.col("component") != F.col("component_a"))
+    smaller_first = (F.col("first") & (F.col("n") <= F.col("n_a"))) | (F.col("first_a") & (F.col("n_a") <= F.col("n")))
+    alike = (F.col("a") < F.col("b")) & alike & smaller_first
+    if "bits" in lists.columns:  # a link's sets differ in a seventh of their sizes at most
+        differ = reduce(add, (F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])) for i in range(BITS // 64)))
+        alike &= 7 * differ <= F.col("n") + F.col("n_a")
+    pairs = saved(met.where(alike).select("a", "b").distinct(), "pairs")
+    fresh = saved(_confirmed(saved(_estimated(pairs, held, k), "likely-pairs"), sets), "links")
+    if fresh.limit(1).count():
+        known = fresh if found is None else found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
+        found = saved(components(known), "components")
+    done = hub.groupBy("value").agg(F.max("a").alias("until"))
+    return _labelled(join_lookup(lists, done, "value").where("node > until").drop("until"), found), found
 
 
 def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
