@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelgauge.operators.joins import join_lookup
+from reelgauge.operators import joins
 
 from .common import blocks, saved
 from .components import components
@@ -55,6 +55,15 @@ BITS = 1024
 HUBS = 2
 
 
+#: Lookups above this size are shuffled: they grow with the table, and no join should turn from one
+#: way to the other where it costs most.
+BROADCAST_BYTES = 2 << 20
+
+
+def join_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    return joins.join_lookup(big, lookup, on, how, limit_bytes=BROADCAST_BYTES)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     """Scrambled 64-bit numbers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
