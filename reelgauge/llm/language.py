@@ -62,7 +62,7 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     code, text = code[keep], text[keep]
     letters = np.bincount(text[code != 32], minlength=len(texts)) > 0
     # Every text has one gram for each of its characters and order but the last ones.
-    found, owner = [], []
+    found, owner = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
     for n in ORDERS:
         if len(code) < n:
             continue
