@@ -25,6 +25,7 @@ from reelgauge.functions.fixed import PERIOD_DAYS, TOP_VIDEOS
 from reelgauge.operators import entities as E
 from reelgauge.operators import leaderboard as B
 from reelgauge.operators import sentiment as S
+from reelgauge.operators.joins import release_after
 from reelgauge.operators.snapshots import latest_snapshot, pinned_snapshot
 from reelgauge.operators.tokens import with_tokens
 from reelgauge.operators.video_topics import fit_video_topics
@@ -71,10 +72,12 @@ def select(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def merge(spark: SparkSession, a: argparse.Namespace) -> None:
-    if a.previous:
+    if a.fresh:
+        previous = spark.createDataFrame([], COMMENT_ROW)
+    elif a.previous:
         previous = C.read_comments(spark, a.comments, a.previous)
     else:
-        previous = spark.createDataFrame([], COMMENT_ROW)
+        previous = C.earlier_comments(spark, a.comments, a.run_id)
     videos = D.read_videos(spark, a.selected)
     merged = collect_comments(previous, pages(spark, a.threads, THREAD_PAGE), videos, a.run_id)
     C.write_comments(merged, a.comments)
@@ -115,7 +118,8 @@ def topics(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def board(spark: SparkSession, a: argparse.Namespace) -> None:
-    comments = comments_of(spark, a)
+    # Keys are the video id, or a title and the id, whose length is fixed.
+    comments = comments_of(spark, a).withColumn("video_key", F.expr("right(video_key, 11)"))
     labelled = S.label_sentiment(comments, lexicon(spark, a.lexicon))
     videos = D.read_videos(spark, a.selected)
     rows = B.leaderboard(
@@ -150,6 +154,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--top", type=int, default=TOP_VIDEOS)
         elif name == "merge":
             job.add_argument("--previous")
+            job.add_argument("--fresh", action="store_true")
         elif name in ("sentiment", "entities", "topics", "board"):
             job.add_argument("--snapshot")
             job.add_argument("--folders", action="store_true")
@@ -163,7 +168,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
 
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
-    JOBS[options.job][0](get_session(f"reelgauge {options.job}"), options)
+    with release_after():
+        JOBS[options.job][0](get_session(f"reelgauge {options.job}"), options)
 
 
 if __name__ == "__main__":

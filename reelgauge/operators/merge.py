@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelgauge.functions.fixed import NEW_COMMENT_CAP
 from reelgauge.operators.joins import join_lookup, kept
 from reelgauge.operators.ranking import newest_per_key, with_row_index
 
@@ -57,13 +56,14 @@ def merge_comments(
     new: DataFrame,
     videos: DataFrame | None = None,
     failed: DataFrame | None = None,
-    cap: int = NEW_COMMENT_CAP,
+    cap: int | None = None,
     on_missing: str = "carry",
     key: str = KEY,
 ) -> DataFrame:
-    """Previous comments, then the newest ``cap`` comments newer than each video's mark.
+    """Previous comments, then the comments newer than each video's mark.
 
-    New comments get arrival numbers after the stored ones. Nothing is de-duplicated. ``videos``
+    New comments get arrival numbers after the stored ones. With ``cap`` only the newest so many of
+    each video are taken; the mark moves past the others, which no later run brings back. Nothing is de-duplicated. ``videos``
     limits the snapshot to listed videos. Videos in ``failed`` could not be fetched: their history
     is carried, or dropped on request.
     """
@@ -75,7 +75,9 @@ def merge_comments(
     if failed is not None and on_missing == "drop":
         previous = of_unlisted_videos(previous, failed, key)
     ends = kept(video_ends(previous, key))
-    fresh = newest_per_key(newer_than_mark(new, ends.select(key, "mark"), key), cap, key)
+    fresh = newer_than_mark(new, ends.select(key, "mark"), key)
+    if cap is not None:
+        fresh = newest_per_key(fresh, cap, key)
     fresh = arrive_after(fresh, ends.select(key, "last_seq"), key)
     return previous.withColumn("is_new", F.lit(False)).unionByName(
         fresh.withColumn("is_new", F.lit(True))

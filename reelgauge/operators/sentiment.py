@@ -32,14 +32,15 @@ def _label_of_score(score: Column) -> Column:
 
 class Lexicon:
     """Sign of the summed polarity of a comment's words; ``terms`` has ``term, polarity``.
-    Equal entries count once, different polarities of one term add up."""
+    Equal entries count once, different polarities of one term add up, and entries without term or
+    polarity are left out."""
 
     INLINE_TERMS = 20_000
 
     def __init__(self, terms: DataFrame):
         self.terms = terms.select(
             F.lower("term").alias("term"), F.col("polarity").cast("int").alias("polarity")
-        ).distinct()
+        ).where("term is not null and polarity is not null").distinct()
 
     def label(self, df: DataFrame, text: str) -> DataFrame:
         head = self.terms.limit(self.INLINE_TERMS + 1).collect()
@@ -70,10 +71,11 @@ class Lexicon:
         spoken = df.where(T.has_text(text)).select(KEY, SEQ, F.explode(T.words(text)).alias("term"))
         scores = (
             join_lookup(spoken, self.terms, "term")
-            .groupBy(KEY, SEQ)
+            .groupBy(F.col(KEY).alias("_key"), F.col(SEQ).alias("_seq"))
             .agg(F.sum("polarity").alias("_score"))
         )
-        scored = df.join(scores, [KEY, SEQ], "left")
+        same = F.col(KEY).eqNullSafe(F.col("_key")) & F.col(SEQ).eqNullSafe(F.col("_seq"))
+        scored = df.join(scores, same, "left").drop("_key", "_seq")
         label = _label_of_score(F.coalesce(F.col("_score"), F.lit(0)))
         return scored.withColumn("sentiment", label).drop("_score")
 
@@ -244,16 +246,6 @@ def dominant_sentiment(counts: DataFrame, key: str = KEY) -> DataFrame:
     return labels.withColumn("_r", best).where(F.col("_r") == 1).select(key, "sentiment", "count")
 
 
-def vocabulary_floor(df: DataFrame, text: str, max_words: int) -> int:
-    """Least word count that leaves at most ``max_words`` different words."""
-    counts = (
-        df.select(F.explode(T.words(text)).alias("w")).where("w <> ''").groupBy("w").count()
-    )
-    head = counts.orderBy(F.desc("count")).limit(max_words + 1)
-    found = head.agg(F.count("*").alias("n"), F.min("count").alias("low")).first()
-    return 1 if found["n"] <= max_words else found["low"] + 1
-
-
 def _word_stages() -> list:
     return [
         RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"[^\p{L}]+"),
@@ -283,7 +275,7 @@ def train_sentiment(
     for value, n in sizes.items():
         weight = F.when(F.col("_label") == value, total / (len(sizes) * n)).otherwise(weight)
     if embedding_size:
-        vectors = [embedding_stage(embedding_size, vocabulary_floor(rows, "_text", 100_000), seed)]
+        vectors = [embedding_stage(embedding_size, seed, _tasks(rows))]
     else:
         vectors = [
             HashingTF(inputCol="_kept", outputCol="_tf", numFeatures=features),
@@ -297,22 +289,28 @@ def train_sentiment(
     return Trained(pipeline.fit(rows.withColumn("_weight", weight)), labels)
 
 
-def embedding_stage(size: int, min_count: int, seed: int = 7) -> Word2Vec:
+def _tasks(rows: DataFrame) -> int:
+    """Training tasks: one for each split of the input, one for each core at least."""
+    return max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def embedding_stage(size: int, seed: int = 7, tasks: int = 1) -> Word2Vec:
     return Word2Vec(
-        inputCol="_kept", outputCol="_features", vectorSize=size, minCount=min_count, seed=seed
+        inputCol="_kept", outputCol="_features", vectorSize=size, minCount=1, seed=seed,
+        numPartitions=tasks,
     )
 
 
 def sentence_embeddings(
-    df: DataFrame, text: str = "text", size: int = 32, max_words: int = 100_000, seed: int = 7
+    df: DataFrame, text: str = "text", size: int = 32, seed: int = 7
 ) -> DataFrame:
     """Mean word vector of each comment, trained on the comments themselves.
 
-    Word vectors pass through the driver, so their number is bounded by ``max_words``; rarer
-    words add nothing to the mean.
+    Every word counts. Training runs in as many tasks as the input has splits; its word vectors
+    pass through the driver, ``size`` numbers for each different word.
     """
     rows = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    stages = [*_word_stages(), embedding_stage(size, vocabulary_floor(df, text, max_words), seed)]
+    stages = [*_word_stages(), embedding_stage(size, seed, _tasks(rows))]
     model = Pipeline(stages=stages).fit(rows)
     return model.transform(rows).select(
         *df.columns, vector_to_array("_features", "float32").alias("embedding")

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions import text as T
 from reelgauge.functions.fixed import (
-    NEW_COMMENT_CAP,
     PERIOD_DAYS,
     SEARCH_PHRASES,
     STUDIOS,
@@ -49,7 +48,7 @@ def collect_comments(
     thread_pages: DataFrame,
     videos: DataFrame,
     snapshot: str,
-    cap: int = NEW_COMMENT_CAP,
+    cap: int | None = None,
     on_missing: str = "carry",
 ) -> DataFrame:
     """The next snapshot: listed videos' history and their comments newer than the mark.

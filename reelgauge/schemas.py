@@ -56,7 +56,9 @@ THREAD_PAGE = _struct(
     page_seq=_long,
     video_id=_text,
     status=_text,
-    items=ArrayType(_struct(snippet=_struct(topLevelComment=_struct(snippet=_THREAD)))),
+    items=ArrayType(
+        _struct(snippet=_struct(topLevelComment=_struct(snippet=_THREAD), videoId=_text))
+    ),
     nextPageToken=_text,
 )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,19 +30,10 @@ def get_session(app: str = "reelgauge", master: str | None = None, **extra: str)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local run without the setting gets a temporary folder.
-    """
+    """The folder every executor can reach, as the cluster names it, or else one in the warehouse,
+    which executors share too."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix="reelgauge-")
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch").rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

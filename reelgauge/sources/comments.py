@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +108,17 @@ def read_comments(
     return chosen.where(F.col("video_key").isNotNull() & (F.col("video_key") != ""))
 
 
+def earlier_comments(spark: SparkSession, root: str, before: str) -> DataFrame:
+    """The latest snapshot before the named one; no rows where there is none yet."""
+    try:
+        rows = spark.read.schema(COMMENT_ROW).parquet(root).select(*COMMENT_ROW.names)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], COMMENT_ROW)
+    return latest_snapshot(rows.where(F.col("snapshot") < before))
+
+
 def of_video(comments: DataFrame, video: str) -> DataFrame:
     """One video; the filter reaches the Parquet scan."""
     return comments.where(F.col("video_key") == video)

@@ -94,13 +94,18 @@ def searched_videos(found: DataFrame, videos: DataFrame) -> DataFrame:
     return videos.join(found, "video_id", "left_semi")
 
 
+def _usable() -> Column:
+    """Never NULL: a page as the service returns it has items and no status."""
+    return F.coalesce(F.col("status") == "ok", F.col("items").isNotNull())
+
+
 def usable_pages(pages: DataFrame) -> DataFrame:
     """Pages of videos whose fetch succeeded; disabled, missing and failed ones have no output."""
-    return pages.where(F.col("status") == "ok")
+    return pages.where(_usable())
 
 
 def failed_videos(pages: DataFrame) -> DataFrame:
-    return pages.where(F.col("status") != "ok").select("video_id").distinct()
+    return pages.where(~_usable()).select("video_id").distinct()
 
 
 def flatten_threads(pages: DataFrame) -> DataFrame:
@@ -108,7 +113,7 @@ def flatten_threads(pages: DataFrame) -> DataFrame:
     item = _items(usable_pages(pages), "video_id")
     comment = F.col("item.snippet.topLevelComment.snippet")
     return item.select(
-        "video_id",
+        F.coalesce("video_id", F.col("item.snippet.videoId")).alias("video_id"),
         comment["authorDisplayName"].alias("author"),
         comment["textDisplay"].alias("text"),
         comment["likeCount"].alias("like_count"),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from reelgauge.functions.fixed import NEW_COMMENT_CAP
 from reelgauge.operators.merge import arrive_after, newer_than_mark, video_ends
 from reelgauge.operators.joins import kept, release_after
 from reelgauge.operators.ranking import newest_per_key
@@ -81,7 +80,7 @@ def ingest_stream(
     target: str,
     checkpoint: str,
     snapshot: str,
-    cap: int = NEW_COMMENT_CAP,
+    cap: int | None = None,
     multiline: bool = True,
     pattern: str = KEY_IN_JSON,
     files_per_batch: int | None = None,
@@ -107,7 +106,9 @@ def ingest_stream(
             .groupBy("video_key")
             .agg(F.max("mark").alias("mark"), F.max("last_seq").alias("last_seq"))
         )
-        fresh = newest_per_key(newer_than_mark(new, ends.drop("last_seq")), cap)
+        fresh = newer_than_mark(new, ends.drop("last_seq"))
+        if cap is not None:
+            fresh = newest_per_key(fresh, cap)
         rows = arrive_after(fresh, ends.drop("mark"))
         number = F.lit(batch_id).cast("bigint")
         _write_batch(rows.withColumn("batch_id", number).select(*STORED.names), f"{target}/comments")

@@ -33,7 +33,7 @@ def test_from_landing_to_reports(spark, tmp_path, monkeypatch):
     jobs.main(["select", "--search", search, "--videos", videos, "--out", out["selected"], "--run-id", one])
     base = ["--selected", out["selected"], "--comments", out["comments"]]
     jobs.main(["merge", "--threads", first, *base, "--run-id", one])
-    jobs.main(["merge", "--threads", second, *base, "--run-id", two, "--previous", one])
+    jobs.main(["merge", "--threads", second, *base, "--run-id", two])
     assert C.read_comments(spark, out["comments"]).count() == 7
     assert C.read_comments(spark, out["comments"], one).count() == 6
     for job in ("sentiment", "entities", "topics"):

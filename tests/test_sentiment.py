@@ -113,11 +113,18 @@ def test_trained_scorer_learns_a_clear_split(spark):
     assert scorer.label(known.limit(0), "text").count() == 0
 
 
-def test_vocabulary_floor_bounds_the_words(spark):
-    words = " ".join(w for i, w in enumerate("abcdef") for _ in range(i + 1))
-    frame = spark.createDataFrame([(words,)], "text string")
-    assert S.vocabulary_floor(frame, "text", 10) == 1
-    assert S.vocabulary_floor(frame, "text", 2) == 5
+def test_both_lexicon_forms_agree_on_nulls(spark, rows, monkeypatch):
+    terms = spark.createDataFrame(
+        [("good", 1), ("bad", -1), (None, 1), ("odd", None)], "term string, polarity int"
+    )
+    frame = spark.createDataFrame(
+        [(None, 0, "good odd"), ("v", None, "bad"), ("v", 1, None), ("v", 2, "good bad good")],
+        "video_key string, arrival_seq bigint, text string",
+    )
+    inline = rows(S.Lexicon(terms).label(frame, "text"))
+    monkeypatch.setattr(S.Lexicon, "INLINE_TERMS", 0)
+    assert rows(S.Lexicon(terms).label(frame, "text")) == inline
+    assert [r[-1] for r in inline].count("positive") == 2
 
 
 def test_embeddings_are_mean_vectors_of_one_width(spark):

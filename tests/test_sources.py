@@ -248,3 +248,17 @@ def test_stream_reads_each_file_once_and_adds_only_newer(spark, tmp_path, rows):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark)).rstrip("/")
+
+
+def test_raw_thread_pages_lose_no_comment(spark):
+    thread = lambda video, text: (((("a", text, 1, "2025-01-01T00:00:00Z"),), video),)
+    pages = [
+        (0, None, None, [thread("v1", "x"), thread("v1", "y")], None),
+        (0, "v2", "failed", None, None),
+        (0, "v3", None, None, None),
+        (0, "v4", "ok", [thread(None, "z")], None),
+    ]
+    frame = spark.createDataFrame(pages, THREAD_PAGE)
+    got = L.flatten_threads(frame).select("video_id", "text").collect()
+    assert sorted(map(tuple, got)) == [("v1", "x"), ("v1", "y"), ("v4", "z")]
+    assert {r[0] for r in L.failed_videos(frame).collect()} == {"v2", "v3"}
