@@ -60,6 +60,10 @@ HUBS = 2
 BROADCAST_BYTES = 2 << 20
 
 
+#: The limit for the classes of several copies: narrow rows, met by all sketches.
+COPIES_BYTES = 64 << 20
+
+
 def join_lookup(big: DataFrame, lookup: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
     return joins.join_lookup(big, lookup, on, how, limit_bytes=BROADCAST_BYTES)
 
@@ -71,6 +75,11 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _signed(x: np.ndarray) -> np.ndarray:
+    """Hashes as signed numbers; flipping the top bit keeps their order."""
+    return (x ^ np.uint64(1 << 63)).view(np.int64)
+
+
 def shingles(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingle hashes of each text in ascending order, end to end, and where each
     text's begin, with the end of the last."""
@@ -122,8 +131,7 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
             kept = np.minimum(n, k)
             ends = np.cumsum(kept)
             take = np.repeat(starts[:-1] - (ends - kept), kept) + np.arange(int(ends[-1]))
-            # Flipping the top bit makes signed order equal to the order of the hashes.
-            values = (found[take] ^ np.uint64(1 << 63)).view(np.int64)
+            values = _signed(found[take])
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(values))
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(n), pa.array(sums[0]), pa.array(sums[1]), lists], names=["doc_id", "n_shingles", "set_1", "set_2", "sketch"])
 
@@ -131,15 +139,17 @@ def sketches(docs: DataFrame, k: int = K) -> DataFrame:
     return rows.mapInArrow(per_batch, "doc_id long, n_shingles long, set_1 long, set_2 long, sketch array<long>")
 
 
-def full_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, shingles (all hashes of the set, ascending, as bytes)."""
+def full_sets(docs: DataFrame, k: int = K) -> DataFrame:
+    """doc_id, sketch, shingles (all hashes of the set, ascending, as bytes)."""
 
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             found, starts = shingles(block.column("text"))
-            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array([found[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary())], names=["doc_id", "shingles"])
+            sets = [found[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+            signed = [_signed(x[:k]) for x in sets]
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(signed, pa.list_(pa.int64())), pa.array([x.tobytes() for x in sets], pa.binary())], names=["doc_id", "sketch", "shingles"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(per_batch, "doc_id long, shingles binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(per_batch, "doc_id long, sketch array<long>, shingles binary")
 
 
 def _needs(k: int, exact: bool) -> tuple[str, str]:
@@ -183,11 +193,12 @@ def _wide_sketches(sets: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
     def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [np.frombuffer(x, np.uint64) for x in batch.column("shingles").to_pylist()]
-            signed = [(x[:k] ^ np.uint64(1 << 63)).view(np.int64) for x in held]
+            signed = [_signed(x[:k]) for x in held]
             bits = [np.packbits(np.bincount((x >> np.uint64(20)) % np.uint64(BITS), minlength=BITS).astype(np.uint8) & 1).view(np.int64) for x in held]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(list(map(len, held)), pa.int64()), pa.array(signed, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64()))], names=["node", "n", "sketch", "bits"])
 
-    return join_lookup(sets, nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").mapInArrow(per_batch, "node long, n long, sketch array<long>, bits array<long>")
+    chosen = join_lookup(sets.select("doc_id", "shingles"), nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    return chosen.mapInArrow(per_batch, "node long, n long, sketch array<long>, bits array<long>")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
@@ -220,11 +231,11 @@ def links(docs: DataFrame, classes: DataFrame, k: int = K) -> DataFrame | None:
     """node, component of the classes that link with another; None if no class does."""
     lists = saved(inverted_lists(classes, k), "inverted-lists")
     active = lists.select("node").distinct()
-    held = saved(classes.join(active, "node", "left_semi"), "active-sketches")
-    if held.limit(1).count() == 0:
+    if lists.limit(1).count() == 0:
         return None
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = saved(full_sets(join_lookup(chosen, active.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")), "full-sets")
+    sets = saved(full_sets(join_lookup(chosen, active.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), k), "full-sets")
+    held = sets.select(F.col("doc_id").alias("node"), "sketch")
     lists, found = _met(_labelled(lists, None), None, held, sets, k, HUBS)
     left = _open(lists).select("node").distinct()
     wide = saved(_wide_sketches(sets, left, WIDE), "wide-sketches")
@@ -266,7 +277,11 @@ def _met(lists: DataFrame, found: DataFrame | None, held: DataFrame, sets: DataF
         differ = reduce(add, (F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits_a")[i])) for i in range(BITS // 64)))
         alike &= 7 * differ <= F.col("n") + F.col("n_a")
     pairs = saved(met.where(alike).select("a", "b").distinct(), "pairs")
-    fresh = saved(_confirmed(saved(_estimated(pairs, held, k), "likely-pairs"), sets), "links")
+    likely = saved(_estimated(pairs, held, k), "likely-pairs")
+    if "bits" in lists.columns:  # after the first round few sets are still asked for
+        asked = saved(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "asked-sets")
+        sets = saved(join_lookup(sets, asked, "doc_id", "left_semi").select("doc_id", "shingles"), "asked-sets")
+    fresh = saved(_confirmed(likely, sets), "links")
     if fresh.limit(1).count():
         known = fresh if found is None else found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(fresh)
         found = saved(components(known), "components")
@@ -277,11 +292,15 @@ def _met(lists: DataFrame, found: DataFrame | None, held: DataFrame, sets: DataF
 def near_duplicates(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each document. Nodes are the smallest
     doc_id of each class."""
-    known = saved(sketches(docs, k), "sketches")
+    known = saved(sketches(docs, k).withColumn("row", F.monotonically_increasing_id()), "sketches")
     same = ["set_1", "set_2", "n_shingles"]
     usable = known.where("n_shingles > 0 and doc_id is not null")
-    grouped = saved(usable.groupBy(*same).agg(F.min("doc_id").alias("node"), F.count("*").alias("copies"), F.first("sketch").alias("sketch")), "classes")
-    classes = grouped.select("node", F.col("n_shingles").alias("n"), "sketch")
+    least = F.min(F.struct("doc_id", "row"))
+    grouped = saved(usable.groupBy(*same).agg(least.alias("least"), F.count("*").alias("copies")).select(*same, F.col("least.doc_id").alias("node"), F.col("least.row").alias("first_row"), "copies"), "classes")
+    # Sketches stay where they are: only rows of classes with several copies are looked up.
+    several = grouped.where("copies > 1").select(*same, "first_row")
+    single = joins.join_lookup(usable, several, same, "left", limit_bytes=COPIES_BYTES).where("first_row is null or first_row = row")
+    classes = single.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "sketch")
     found = links(docs, classes, k)
     moved = grouped.select(*same, "node", "copies")
     if found is None:
