@@ -180,3 +180,14 @@ class ChunkEncoder:
 def chunk_encoder(path: str) -> ChunkEncoder:
     """One encoder in a worker, with what it has looked up for earlier tasks."""
     return ChunkEncoder(path)
+
+
+def upper_limit(values: np.ndarray, counts: np.ndarray, loss: float) -> float:
+    """The value that a share ``loss`` of the counted ones exceeds. Fewer than 1 / loss of them cannot
+    show it; their largest is then moved up by an exponential tail through it and their median."""
+    order = np.argsort(values, kind="stable")
+    values, below = np.asarray(values, float)[order], np.cumsum(np.asarray(counts)[order])
+    n = int(below[-1])
+    top = values[np.searchsorted(below, n - int(n * loss))]
+    middle = values[np.searchsorted(below, n / 2)]
+    return float(top + (top - middle) * max(-np.log(loss * n), 0.0) / np.log(max(n / 2, 2)))

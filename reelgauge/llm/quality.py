@@ -1,8 +1,9 @@
 """Quality rules: an isolation forest over rule statistics, its threshold set by labelled rows.
 
-``rule_statistics`` reads every text once. ``fit_forest`` grows trees by random splits on a bounded
-sample of the statistics; rows that few splits set apart are anomalous. ``calibrate`` places the
-threshold with all labelled rows. Only statistics, never texts, are stored or shuffled.
+``rule_statistics`` reads every text once. ``fit_forest`` takes from the rows labelled 1 how far the
+shares of clean texts reach and grows trees by random splits on what a bounded sample exceeds that by;
+rows that few splits set apart are anomalous. ``calibrate`` places the threshold with all labelled
+rows. Only statistics, never texts, are stored or shuffled.
 
 Defined cases: a null or empty text has no words and fails the base rules; rows that repeat a
 doc_id are judged one by one; without labels of both kinds no row is rejected beyond the base rules;
@@ -12,7 +13,8 @@ an empty table gives an empty result. Columns besides doc_id and text are not re
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from operator import eq
 
 import numpy as np
 import pandas as pd
@@ -20,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, flat, saved, sums, texts_of
+from .common import blocks, flat, saved, sums, texts_of, upper_limit
 
 MIN_WORDS = 20
 REPEAT_SHARE = 30
 WINDOW = 8
 
-_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_punct", "n_digits"]
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_punct", "n_digits", "n_same_words"]
 _SCHEMA = "doc_id long, " + ", ".join(f"{c} long" for c in _COUNTS)
 
 
@@ -100,6 +102,7 @@ def statistics_of(texts: list[bytes]) -> dict[str, np.ndarray]:
         "n_upper": sums(_UPPER[data], starts),
         "n_punct": sums(_PUNCT[data], starts),
         "n_digits": sums(_DIGIT[data], starts),
+        "n_same_words": np.fromiter((sum(map(eq, x, x[1:])) for x in words), np.int64, n),
     }
 
 
@@ -124,16 +127,46 @@ def rule_statistics(docs: DataFrame) -> DataFrame:
     )
 
 
-#: Each rule statistic and the step in which it is graded. Clean texts, short ones included, share
-#: the lowest grades, so that what isolates a row is a rule it breaks and not the chance of its words.
-GRADES = {"symbol_share": 0.02, "upper_share": 0.2, "punct_share": 0.1, "dup_line_share": 0.4, "repeat_share": 0.3, "word_length": 4.0}
+#: Steps of a share in which the rows labelled 1 are counted for its limit.
+SHARE_GRID = 8192
 
 
-def _features(t: pd.DataFrame) -> np.ndarray:
-    """Graded shares; they do not depend on a text's length, so that long texts are no anomaly."""
+def _shares(t: pd.DataFrame) -> np.ndarray:
+    """Shares that do not depend on a text's length, so that long texts are no anomaly. The last two
+    are high for short words and for long ones."""
     chars, words, lines = (t[c].to_numpy(float).clip(1) for c in ("word_chars", "n_words", "n_lines"))
-    shares = [t["n_symbols"] / chars, t["n_upper"] / chars, t["n_punct"] / chars, t["n_dup_lines"] / lines, t["n_repeat_words"] / words, t["word_chars"] / words]
-    return np.floor(np.stack(shares, 1) / np.array(list(GRADES.values())))
+    short = words / chars
+    return np.stack([t["n_symbols"] / chars, t["n_upper"] / chars, t["n_punct"] / chars, t["n_dup_lines"] / lines, t["n_repeat_words"] / words, t["n_same_words"] / words, short, 1 - short], 1)
+
+
+SHARES = 8
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.select(F.col("doc_id").cast("long").alias("labelled_id"), F.col("quality").cast("int")).where("quality in (0, 1)")
+
+
+def share_limits(statistics: DataFrame, labels: DataFrame, clean_loss: float) -> np.ndarray:
+    """For each share the value that few rows labelled 1 exceed: ``clean_loss`` of them over all
+    shares. 0 without such rows."""
+
+    def per_batch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            steps = pd.DataFrame(np.ceil(_shares(part) * SHARE_GRID).astype(np.int64)).melt(var_name="share", value_name="step")
+            yield steps.groupby(["share", "step"], as_index=False).size().rename(columns={"size": "n"}).astype("int64")
+
+    clean = statistics.where(~F.col("base_failed")).join(_known(labels).where("quality = 1"), F.col("doc_id") == F.col("labelled_id"))
+    counts = clean.select(_COUNTS).mapInPandas(per_batch, "share long, step long, n long").groupBy("share", "step").agg(F.sum("n").alias("n")).toPandas()  # at most one row for each share and step of the grid
+    limits = np.zeros(SHARES)
+    for share, found in counts.groupby("share"):
+        limits[share] = upper_limit(found["step"].to_numpy() / SHARE_GRID, found["n"].to_numpy(), clean_loss / SHARES)
+    return limits
+
+
+def _features(t: pd.DataFrame, limits: np.ndarray) -> np.ndarray:
+    """What each share has above its limit, ungraded. Below it clean texts are alike, so that what
+    isolates a row is a rule it breaks and not the chance of its words."""
+    return np.maximum(_shares(t) - limits, 0.0)
 
 
 def _expected_path(n: np.ndarray | float) -> np.ndarray:
@@ -144,13 +177,15 @@ def _expected_path(n: np.ndarray | float) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Forest:
-    """Trees as arrays: ``feature`` -1 marks a leaf, whose ``cut`` is its path length."""
+    """Trees as arrays: ``feature`` -1 marks a leaf, whose ``cut`` is its path length. ``limits`` are
+    those of the shares whose excess the trees see."""
 
     feature: np.ndarray
     cut: np.ndarray
     left: np.ndarray
     right: np.ndarray
     rows: int
+    limits: np.ndarray | None = None
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """2 ** (-mean path / expected path): near 1 for anomalies, below 0.5 for common rows."""
@@ -192,7 +227,7 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
     return Forest(feature, cut, left, right, rows)
 
 
-def fit_forest(statistics: DataFrame, trees: int = 100, rows: int = 256, sample: int = 16_384, seed: int = 7) -> Forest | None:
+def fit_forest(statistics: DataFrame, labels: DataFrame, trees: int = 100, rows: int = 256, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> Forest | None:
     """A forest from at most ``sample`` rows that pass the base rules: those with the smallest hash
     of doc_id. The bound belongs to the method, whose trees see ``rows`` rows each."""
     picked = (
@@ -201,12 +236,15 @@ def fit_forest(statistics: DataFrame, trees: int = 100, rows: int = 256, sample:
         .limit(sample)
         .toPandas()
     )
-    return grow(_features(picked), trees, rows, seed) if len(picked) else None
+    if not len(picked):
+        return None
+    limits = share_limits(statistics, labels, clean_loss)
+    return replace(grow(_features(picked, limits), trees, rows, seed), limits=limits)
 
 
 def scored(forest: Forest, t: pd.DataFrame) -> np.ndarray:
     """Anomaly scores on a grid of 1/8192."""
-    return np.round(forest.score(_features(t)) * 8192) / 8192
+    return np.round(forest.score(_features(t, forest.limits)) * 8192) / 8192
 
 
 def with_score(statistics: DataFrame, forest: Forest | None) -> DataFrame:
@@ -225,11 +263,10 @@ def with_score(statistics: DataFrame, forest: Forest | None) -> DataFrame:
 def calibrate(rated: DataFrame, labels: DataFrame, clean_loss: float = 0.002) -> float:
     """The threshold that finds most rows labelled 0 while it loses at most ``clean_loss`` of those
     labelled 1. It counts all labelled rows that pass the base rules, by score and label."""
-    known = labels.select(F.col("doc_id").cast("long").alias("labelled_id"), F.col("quality").cast("int")).where("quality in (0, 1)")
     counts = (
         rated.where(~F.col("base_failed"))
         .select("doc_id", "anomaly")
-        .join(known, F.col("doc_id") == F.col("labelled_id"))
+        .join(_known(labels), F.col("doc_id") == F.col("labelled_id"))
         .groupBy("anomaly")
         .agg(F.sum(F.col("quality")).alias("good"), F.sum(1 - F.col("quality")).alias("bad"))
         .toPandas()  # at most one row for each step of the grid
@@ -248,6 +285,6 @@ def calibrate(rated: DataFrame, labels: DataFrame, clean_loss: float = 0.002) ->
 def judged(docs: DataFrame, labels: DataFrame, trees: int = 100, rows: int = 256, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> DataFrame:
     """doc_id, the statistics, base_failed, anomaly, kept: one row for each document."""
     statistics = saved(rule_statistics(docs), "rule-statistics")
-    rated = saved(with_score(statistics, fit_forest(statistics, trees, rows, sample, seed)), "rule-scores")
+    rated = saved(with_score(statistics, fit_forest(statistics, labels, trees, rows, sample, clean_loss, seed)), "rule-scores")
     threshold = calibrate(rated, labels, clean_loss)
     return rated.withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < threshold))

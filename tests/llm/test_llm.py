@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from reelgauge.llm import language, mixing, near_dup, packing, preference, quality, sharding, token_count, token_file, top_k
-from reelgauge.llm.common import ChunkEncoder, tokenizer
+from reelgauge.llm.common import ChunkEncoder, tokenizer, upper_limit
 
 WORD_BPE, BYTE_BPE = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -52,6 +52,26 @@ def test_forest_isolates():
     assert score[:20].min() > score[20:].max()
 
 
+def test_runs_of_one_word_are_junk(spark):
+    random = np.random.default_rng(5)
+    word = lambda: "".join(random.choice(list("abcdefghij"), random.integers(2, 9)))
+    texts = [" ".join(word() for _ in range(random.integers(25, 200))) for _ in range(400)]
+    texts += [" ".join(w for w in (word() for _ in range(8)) for _ in range(5)) for _ in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = docs.where("doc_id % 2 = 0").selectExpr("doc_id", "int(doc_id < 400) AS quality")
+    kept = {r["doc_id"] for r in quality.judged(docs, labels).where("kept").collect()}
+    assert not kept & set(range(400, 420)) and len(kept) >= 396
+
+
+def test_limits_of_few_rows_reach_further():
+    tail = np.random.default_rng(4).exponential(1.0, 20_000)
+    one = np.ones(20_000, int)
+    assert np.mean(tail > upper_limit(tail, one, 0.002)) == pytest.approx(0.002)
+    few = [upper_limit(tail[i:i + 50], one[:50], 0.002) for i in range(0, 20_000, 50)]
+    assert abs(np.median(few) - upper_limit(tail, one, 0.002)) < 2
+    assert upper_limit(np.array([3.0, 0.0]), np.array([1, 999]), 0.002) == 0.0
+
+
 @pytest.mark.parametrize("copies", [1, 40])
 def test_near_duplicates(spark, corpus, empty, copies):
     random = np.random.default_rng(3)
