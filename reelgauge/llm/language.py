@@ -9,6 +9,10 @@ language; a part of the sample that the weights have not seen sets the temperatu
 The model is a table of DIMENSIONS numbers for each language, so that predicting is one look-up and
 one sum for each gram of a whole text.
 
+The scores are shares of the learned languages and say nothing of others. ``Model.known`` does: a text
+whose grams are rarer than its language's texts of that length have them is of no learned language.
+The allowance comes from the sampled rows, each against the document frequencies of the others.
+
 Defined cases: null text and texts without a letter get ``und`` and score 0, as all texts do where
 there is nothing to learn from; a single learned language gets every other text with score 1; rows
 that repeat a doc_id are predicted one by one; an empty table gives no rows. Only doc_id, text and
@@ -26,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, texts_of
+from .common import blocks, texts_of, upper_limit
 
 DIMENSIONS = 1 << 14
 ORDERS = (2, 3)
 PER_LANGUAGE = 500
 UNKNOWN = "und"
+#: The share of the texts of a language one may learn from whose grams may be called too rare for their language.
+KNOWN_LOSS = 0.0005
 #: Bytes of text whose grams a task holds at once.
 GRAM_BYTES = 1 << 20
 
@@ -82,18 +88,40 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class Model:
-    """``table``: weight times inverse document frequency of each feature and language."""
+    """``table``: weight times inverse document frequency of each feature and language. ``rarity`` is
+    the latter alone, ``usual`` its mean over the grams of each language's texts, whose variance is
+    ``between`` texts plus ``within`` over their grams; ``limit`` of each is in such deviations."""
 
     languages: tuple[str, ...]
     table: np.ndarray
     bias: np.ndarray
     temperature: float
+    rarity: np.ndarray
+    usual: np.ndarray
+    limit: np.ndarray
+    between: float = 0.0
+    within: float = 1.0
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts))
+        best, score, letters = self._chosen(*grams(texts))
+        names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), letters.tolist(), strict=True)]
+        return names, score
+
+    def known(self, texts: list[bytes]) -> np.ndarray:
+        """Whether a text is of a learned language."""
+        if not self.languages:
+            return np.zeros(len(texts), bool)
         feature, starts, letters = grams(texts)
-        logits = np.empty((len(texts), len(self.languages)))
+        best, _, _ = self._chosen(feature, starts, letters)
+        count = np.maximum(np.diff(starts), 1)
+        total = np.append(0.0, np.cumsum(self.rarity[feature]))
+        above = (total[starts[1:]] - total[starts[:-1]]) / count - self.usual[best]
+        return letters & (above <= self.limit[best] * np.sqrt(self.between + self.within / count))
+
+    def _chosen(self, feature: np.ndarray, starts: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        logits = np.empty((len(letters), len(self.languages)))
         count = np.maximum(np.diff(starts), 1)
         for k in range(len(self.languages)):
             total = np.zeros(len(feature) + 1)
@@ -101,8 +129,7 @@ class Model:
             logits[:, k] = (total[starts[1:]] - total[starts[:-1]]) / count + self.bias[k]
         chance = _softmax(logits / self.temperature)
         best = chance.argmax(1)
-        names = [self.languages[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), letters.tolist(), strict=True)]
-        return names, np.where(letters, chance[np.arange(len(texts)), best], 0.0)
+        return best, np.where(letters, chance[np.arange(len(letters)), best], 0.0), letters
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -152,6 +179,30 @@ def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(grid[int(np.argmin(loss))])
 
 
+def allowance(rows: list[Row], count: np.ndarray, y: np.ndarray, classes: int, frequency: np.ndarray) -> dict[str, np.ndarray | float]:
+    """``usual``, ``between``, ``within`` and ``limit`` of a model from rows of gram shares.
+
+    Each row is held against the frequencies and the mean of the others. A language's only row is
+    held against nothing."""
+    rare = [np.log(frequency[-1] / frequency[f]) + 1 for f, _ in rows]
+    mean = np.array([r @ v for r, (_, v) in zip(rare, rows, strict=True)])
+    within = float(np.mean([np.square(r) @ v - m * m for r, (_, v), m in zip(rare, rows, mean, strict=True)]))
+    n = np.bincount(y, minlength=classes)
+    usual = np.bincount(y, mean, classes) / n
+    limit = np.full(classes, np.inf)
+    paired = n[y] > 1
+    if not paired.any():
+        return {"usual": usual, "limit": limit}
+    above = ((mean - usual[y]) * n[y] / np.maximum(n[y] - 1, 1))[paired]
+    between = max(float(np.mean(np.square(above) - within / count[paired])), 0.0)
+    within = max(within, 1e-9)
+    above /= np.sqrt(between + within / count[paired])
+    for k in np.flatnonzero(n > 1):
+        own = above[y[paired] == k]
+        limit[k] = upper_limit(own, np.ones(len(own), np.int64), KNOWN_LOSS)
+    return {"usual": usual, "limit": limit, "between": between, "within": within}
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents that nothing is learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -203,19 +254,23 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Mod
         for block in blocks(batches, GRAM_BYTES):
             feature, starts, letters = grams(texts_of(block))
             found = [np.unique(feature[a:b], return_counts=True) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-            columns = [block.column("lang"), block.column("rank"), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([n / max(n.sum(), 1) for _, n in found], pa.list_(pa.float32()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", "rank", "feature", "share"]).filter(pa.array(letters))
+            columns = [block.column("lang"), block.column("rank"), pa.array([x for x, _ in found], pa.list_(pa.int32())), pa.array([n / max(n.sum(), 1) for _, n in found], pa.list_(pa.float32())), pa.array(np.diff(starts))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "rank", "feature", "share", "grams"]).filter(pa.array(letters))
 
-    sample = sorted(_sampled(rows, per_language, seed).select("lang", "rank", "text").mapInArrow(per_batch, "lang string, rank long, feature array<int>, share array<float>").collect(), key=lambda r: (r["rank"], r["lang"], r["feature"]))
+    sample = sorted(_sampled(rows, per_language, seed).select("lang", "rank", "text").mapInArrow(per_batch, "lang string, rank long, feature array<int>, share array<float>, grams long").collect(), key=lambda r: (r["rank"], r["lang"], r["feature"]))
     languages = tuple(sorted({r["lang"] for r in sample}))
-    if len(languages) < 2:
-        return Model(languages, np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages)), 1.0)
-    rows_ = [(f := np.array(r["feature"]), np.array(r["share"]) * idf[f]) for r in sample]
+    if not languages:
+        return Model((), np.zeros((DIMENSIONS, 0)), np.zeros(0), 1.0, idf, np.zeros(0), np.zeros(0))
     y = np.array([languages.index(r["lang"]) for r in sample])
+    shares = [(np.array(r["feature"]), np.array(r["share"])) for r in sample]
+    allowed = allowance(shares, np.array([r["grams"] for r in sample]), y, len(languages), frequency)
+    if len(languages) < 2:
+        return Model(languages, np.zeros((DIMENSIONS, 1)), np.zeros(1), 1.0, idf, **allowed)
+    rows_ = [(f, v * idf[f]) for f, v in shares]
     calibrates = np.arange(len(sample)) % 5 == 0  # the rows lie in the order of a hash
     weights = train([rows_[i] for i in np.flatnonzero(~calibrates)], y[~calibrates], len(languages))
     logits = np.stack([weights[f].T @ v + weights[-1] for f, v in (rows_[i] for i in np.flatnonzero(calibrates))])
-    return Model(languages, weights[:-1] * idf[:, None], weights[-1], temperature(logits, y[calibrates]))
+    return Model(languages, weights[:-1] * idf[:, None], weights[-1], temperature(logits, y[calibrates]), idf, **allowed)
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
