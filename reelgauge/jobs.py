@@ -90,7 +90,9 @@ def convert(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> None:
-    ingest_stream(spark, a.landing, a.comments, a.progress, a.run_id).awaitTermination()
+    ingest_stream(
+        spark, a.landing, a.comments, a.progress, a.run_id, run=a.run_id
+    ).awaitTermination()
 
 
 def _write(report: DataFrame, a: argparse.Namespace, kind: str, **header) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ MARKS = StructType(
         StructField("video_key", StringType()),
         StructField("mark", StringType()),
         StructField("last_seq", LongType()),
+        StructField("run", StringType()),
         StructField("batch_id", LongType()),
     ]
 )
@@ -84,6 +87,7 @@ def ingest_stream(
     multiline: bool = True,
     pattern: str = KEY_IN_JSON,
     files_per_batch: int | None = None,
+    run: str | None = None,
 ) -> StreamingQuery:
     """Append comments newer than each video's mark; every file is read once.
 
@@ -91,7 +95,13 @@ def ingest_stream(
     reads the earlier marks only: the stored comments are not scanned again, and a batch that is
     run again after a failure replaces itself. Arrival numbers go on where the video's stored
     comments end.
+
+    A comment is held against the marks of earlier runs only, not against those of earlier batches of
+    its own run, so that ``files_per_batch`` does not change which comments are kept; ``cap`` counts
+    per batch. Each call is a run of its own unless ``run`` names one: a call that goes on with a
+    failed run takes that run's name.
     """
+    run = run or uuid.uuid4().hex
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         with release_after():
@@ -104,7 +114,10 @@ def ingest_stream(
         ends = kept(
             _read_batches(spark, f"{target}/marks", MARKS, batch_id)
             .groupBy("video_key")
-            .agg(F.max("mark").alias("mark"), F.max("last_seq").alias("last_seq"))
+            .agg(
+                F.max(F.when(~F.col("run").eqNullSafe(run), F.col("mark"))).alias("mark"),
+                F.max("last_seq").alias("last_seq"),
+            )
         )
         fresh = newer_than_mark(new, ends.drop("last_seq"))
         if cap is not None:
@@ -113,7 +126,7 @@ def ingest_stream(
         number = F.lit(batch_id).cast("bigint")
         _write_batch(rows.withColumn("batch_id", number).select(*STORED.names), f"{target}/comments")
         written = stored_comments(spark, target).where(F.col("batch_id") == batch_id)
-        marks = video_ends(written).withColumn("batch_id", number)
+        marks = video_ends(written).withColumns({"run": F.lit(run), "batch_id": number})
         _write_batch(marks.select(*MARKS.names), f"{target}/marks")
 
     stream = landing_stream(spark, landing, multiline, pattern, files_per_batch)

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,6 +247,30 @@ def test_stream_reads_each_file_once_and_adds_only_newer(spark, tmp_path, rows):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
+@pytest.mark.parametrize("files_per_batch", [None, 1])
+def test_batches_of_a_run_do_not_hide_older_files(spark, tmp_path, rows, files_per_batch):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def run(name, at, age, run_name=None):
+        (folder / name).write_text(json.dumps([comment(name[5], "x", at=at)]))
+        os.utime(folder / name, (1_700_000_000 - age, 1_700_000_000 - age))
+        if run_name is not None:
+            ingest_stream(
+                spark, str(folder), target, str(tmp_path / "progress"), "s", files_per_batch=files_per_batch,
+                pattern=r"([a-z]+)_\d+_comments\.json", run=run_name or None,
+            ).awaitTermination()
+            return sorted(r[0] for r in rows(stored_comments(spark, target), "author"))
+
+    run("film_1_comments.json", "2025-01-03", 9)
+    assert run("film_2_comments.json", "2025-01-01", 8, "") == ["1", "2"]
+    assert run("film_3_comments.json", "2025-01-02", 7, "") == ["1", "2"]
+    run("film_4_comments.json", "2025-01-09", 6, "second")
+    assert run("film_5_comments.json", "2025-01-08", 5, "second") == ["1", "2", "4", "5"]
+    stored = rows(stored_comments(spark, target), "arrival_seq")
+    assert sorted(r[0] for r in stored) == [0, 1, 2, 3]
+
+
 def test_shared_folder_follows_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir", shared_dir(spark)).rstrip("/")
 
