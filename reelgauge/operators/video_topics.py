@@ -1,8 +1,8 @@
 """One LDA per video, all videos fitted together.
 
 Online variational Bayes (Hoffman, Blei and Bach, 2010) with one model row per video. Each
-iteration is one Spark job over a sample of every video's comments: comments are joined to their
-video's model, tasks sum their sufficient statistics before the shuffle, and the sums update the
+iteration is one Spark job over a sample of every video's comments, at least one of each: comments
+are joined to their video's model, tasks sum their sufficient statistics before the shuffle, and the sums update the
 models. The number of jobs does not grow with the number of videos, and a large video's comments
 stay spread over the cluster.
 """
@@ -259,8 +259,13 @@ def fit_video_topics(
     models = _first_models(sizes.join(comments, KEY).select(KEY, "terms", "comments"), k, seed)
     models = stored(models, "topics")
     size = measured_bytes(models)  # the same in every step
+    drawn = [F.min(_chance(seed, step)).alias(f"least_{step}") for step in range(max_iter)]
+    least = stored(vectors.groupBy(KEY).agg(F.count("*").alias("vectors"), *drawn), "draws")
     for step in range(max_iter):
-        sampled = vectors.where(_chance(seed, step) < rate)
+        # Videos of which the rate draws nothing give the comment with the smallest number.
+        chance, none = _chance(seed, step), F.col(f"least_{step}") >= rate
+        first = least.where(none).select(KEY, F.col(f"least_{step}").alias("least"))
+        sampled = join_lookup(vectors, first, KEY, "left").where((chance < rate) | (chance == F.col("least"))).drop("least")
         stats = _statistics(_with_model(sampled, models, k, size), k)
         models = stored(_updated(models, stats, k, rate), "topics")
     return VideoTopics(models, vocab, vectors, k)
@@ -298,7 +303,8 @@ class VideoTopics:
         )
 
     def metrics(self) -> DataFrame:
-        """Vocabulary size and the variational bound on all comments of each video."""
+        """Vocabulary size, steps the model was trained by, and the variational bound on all comments
+        of each video."""
         helpers, k = _helpers(), self.k
 
         def score(batches):
@@ -322,15 +328,15 @@ class VideoTopics:
             digamma, _, lgamma = helpers[:3]
             for batch in batches:
                 out = []
-                for key, flat in zip(batch["video_key"], batch["lam"]):
+                for key, step, flat in zip(batch["video_key"], batch["step"], batch["lam"]):
                     lam = flat.reshape(-1, k)
                     eta, total = 1.0 / k, lam.sum(0)
                     log_beta = digamma(lam) - digamma(total)[None, :]
                     bound = ((eta - lam) * log_beta).sum() + lgamma(lam).sum()
                     bound -= lam.size * lgamma(np.array([eta]))[0]
                     bound += k * lgamma(np.array([eta * len(lam)]))[0] - lgamma(total).sum()
-                    out.append((key, len(lam), float(bound)))
-                yield pd.DataFrame(out, columns=["video_key", "vocabulary_size", "topic_bound"])
+                    out.append((key, len(lam), step, float(bound)))
+                yield pd.DataFrame(out, columns=["video_key", "vocabulary_size", "steps", "topic_bound"])
 
         documents = (
             _with_model(self.vectors, self.models, k, measured_bytes(self.models))
@@ -338,13 +344,14 @@ class VideoTopics:
             .groupBy(KEY)
             .agg(F.sum("bound").alias("bound"), F.sum("tokens").alias("tokens"))
         )
-        topics = self.models.select(KEY, "lam").mapInPandas(
-            score_topics, f"{KEY} string, vocabulary_size bigint, topic_bound double"
+        topics = self.models.select(KEY, "step", "lam").mapInPandas(
+            score_topics, f"{KEY} string, vocabulary_size bigint, steps int, topic_bound double"
         )
         likelihood = F.col("bound") + F.col("topic_bound")
         return topics.join(documents, KEY).select(
             KEY,
             "vocabulary_size",
+            "steps",
             likelihood.alias("log_likelihood"),
             (-likelihood / F.col("tokens")).alias("log_perplexity"),
         )

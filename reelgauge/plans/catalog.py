@@ -546,7 +546,7 @@ def topics_by_key(spark: SparkSession, sf: str) -> DataFrame:
     topics = G.topic_summary(model.topics())
     return topics.join(model.metrics(), "video_key").select(
         "video_key", "topic", F.array_join("words", " ").alias("words"), "summary",
-        "vocabulary_size", "log_likelihood", "log_perplexity",
+        "vocabulary_size", "steps", "log_likelihood", "log_perplexity",
     )
 
 

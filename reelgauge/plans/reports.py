@@ -94,6 +94,6 @@ def topic_report(comments: DataFrame, topics: DataFrame, metrics: DataFrame) ->
             "total_comments",
             "topics",
             "vocabulary_size",
-            F.struct("log_likelihood", "log_perplexity").alias("model_metrics"),
+            F.struct("log_likelihood", "log_perplexity", "steps").alias("model_metrics"),
         )
     )

@@ -131,6 +131,14 @@ def test_global_topics(token_rows, rows):
         G.fit_topics(token_rows.where("video_key = 'rare'"))
 
 
+def test_small_videos_are_trained_in_every_step(spark):
+    data = [r for i in range(60) for r in corpus(f"v{i}", 5, i)]
+    rows = spark.createDataFrame(data, "video_key string, arrival_seq bigint, tokens array<string>")
+    model = VT.fit_video_topics(rows, k=2, min_df=2, max_iter=3)
+    steps = [r["steps"] for r in model.metrics().collect()]
+    assert steps == [3] * 60
+
+
 def test_nothing_to_fit(token_rows):
     model = VT.fit_video_topics(token_rows.where("video_key = 'rare'"), max_iter=2)
     assert model.topics().count() == model.metrics().count() == 0
