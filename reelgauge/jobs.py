@@ -1,6 +1,6 @@
 """Batch jobs, for spark-submit:
 
-    jobs.py select    --search DIR --videos DIR --out DIR --run-id 20250125_150835
+    jobs.py select    --search DIR --videos DIR --out DIR --run-id 20260301_120000
     jobs.py merge     --threads DIR --selected DIR --comments DIR --run-id ID [--previous ID]
     jobs.py convert   --landing DIR --comments DIR --run-id ID
     jobs.py ingest    --landing DIR --comments DIR --progress DIR --run-id ID
@@ -60,7 +60,8 @@ def comments_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def pages(spark: SparkSession, path: str, schema) -> DataFrame:
-    return L.readable(L.read_json(spark, path, schema))
+    """Landed pages, parsed once."""
+    return stored(L.read_pages(spark, path, schema), "pages")
 
 
 def select(spark: SparkSession, a: argparse.Namespace) -> None:

@@ -80,7 +80,7 @@ def release_after() -> Iterator[None]:
 def join_lookup(
     big: DataFrame,
     lookup: DataFrame,
-    on: str | list[str],
+    on: str | list[str] | Column,
     how: str = "inner",
     limit_bytes: int = BROADCAST_BYTES,
     size: int | None = None,

@@ -7,6 +7,7 @@ price = views, size = likes.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,7 +26,7 @@ from reelgauge.operators import topics as G
 from reelgauge.operators import video_topics as VT
 from reelgauge.operators import videos as V
 from reelgauge.plans import reports
-from reelgauge.schemas import VIDEO_PAGE
+from reelgauge.schemas import THREAD_PAGE, VIDEO_PAGE
 from reelgauge.session import scratch_dir, spread, stored
 from reelgauge.sources import comments as C
 from reelgauge.sources import landing as L
@@ -47,6 +48,7 @@ GAZETTEER = {
 BRANDS = ["Brand#2", "Brand#4", "Brand#9", "Brand#12", "Brand#17", "Brand#23"]
 PRIORITY_PHRASES = ["urgent", "high", "not spec", "low"]
 AS_OF = "2001-08-02 00:00:00"
+BLANKS, DIGITS = re.compile(r"[ \t\n\r]+"), re.compile(r"[0-9]+")
 OLD_END, NEW_START = "2024-01-16", "2024-01-15"
 MERGE_CAP, NEWEST_CAP = 25, 40
 
@@ -322,7 +324,8 @@ def search_then_details(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def thread_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Comment-thread pages of up to 100 comments; one-comment pages stand for failed fetches."""
+    """Comment-thread pages of up to 5 comments. Pages of even conversations name their video only
+    in the comments, as the service does; one-comment pages stand for failed fetches."""
     comment = F.struct(
         F.col("role").alias("authorDisplayName"),
         F.col("text").alias("textDisplay"),
@@ -330,17 +333,20 @@ def thread_pages(spark: SparkSession, sf: str) -> DataFrame:
         F.lpad(F.col("turn").cast("string"), 6, "0").alias("publishedAt"),
     )
     nested = F.struct(
-        F.struct(F.struct(comment.alias("snippet")).alias("topLevelComment")).alias("snippet")
+        F.struct(
+            F.struct(comment.alias("snippet")).alias("topLevelComment"),
+            F.col("conv_id").cast("string").alias("videoId"),
+        ).alias("snippet")
     )
     return (
         table(spark, sf, "conversations")
-        .groupBy("conv_id", F.floor(F.col("turn") / 100).cast("bigint").alias("page_seq"))
+        .groupBy("conv_id", F.floor(F.col("turn") / 5).cast("bigint").alias("page_seq"))
         .agg(
             F.array_sort(F.collect_list(F.struct("turn", nested.alias("item")))).alias("i"),
             F.when(F.count("*") > 1, "ok").otherwise("videoNotFound").alias("status"),
         )
         .select(
-            F.col("conv_id").cast("string").alias("video_id"),
+            F.when((F.col("conv_id") % 2 == 1) | (F.col("status") != "ok"), F.col("conv_id").cast("string")).alias("video_id"),
             "page_seq",
             "status",
             F.col("i.item").alias("items"),
@@ -349,7 +355,21 @@ def thread_pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flatten_thread_response(spark: SparkSession, sf: str) -> DataFrame:
-    return L.flatten_threads(thread_pages(spark, sf)).drop("arrival_seq")
+    return L.flatten_threads(L.thread_pages(thread_pages(spark, sf))).drop("arrival_seq")
+
+
+def raw_thread_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages as the service returns them, without number, status or video, written as JSON and read
+    back: the comments of each video by arrival number."""
+    pages = thread_pages(spark, sf).where("status = 'ok'")
+    folder = scratch_dir(spark, "raw-threads")
+    ordered = pages.repartitionByRange(4, F.col("items")[0]["snippet"]["videoId"], "page_seq")
+    named = ordered.sortWithinPartitions(F.col("items")[0]["snippet"]["videoId"], "page_seq")
+    named.select("items").write.json(folder)
+    rows = L.flatten_threads(stored(L.read_pages(spark, folder, THREAD_PAGE, multiline=False), "pages"))
+    return R.with_row_index(rows, "video_id", "arrival_seq").select(
+        "video_id", "row_index", "author", "text", "published_at"
+    )
 
 
 def failed_fetches(spark: SparkSession, sf: str) -> DataFrame:
@@ -523,14 +543,12 @@ def entity_totals(spark: SparkSession, sf: str) -> DataFrame:
 def entity_hook(spark: SparkSession, sf: str) -> DataFrame:
     def load():
         def annotate(texts):
-            pairs = [t.split(" ") for t in texts]
-            return [(p, ["B-NUM" if w.isdigit() else "O" for w in p]) for p in pairs]
+            pairs = [BLANKS.split(t) for t in texts]  # tokens of the whole text, any script
+            return [(p, ["B-NUM" if DIGITS.fullmatch(w) else "O" for w in p]) for p in pairs]
 
         return annotate
 
-    rows = document_comments(spark, sf)
-    ascii_only = F.regexp_replace("text", r"[^\x21-\x7e]+", " ")
-    return E.tag_entities(rows.withColumn("text", ascii_only), E.Hook(load))
+    return E.tag_entities(document_comments(spark, sf), E.Hook(load))
 
 
 # Topics
@@ -659,6 +677,7 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         videos_allowlist, videos_movie_key, videos_dedupe, videos_top_n, videos_recent_keyword,
         videos_most_viewed_per_phrase, video_key_sanitise,
         flatten_props, flatten_video_response, search_then_details, flatten_thread_response,
+        raw_thread_pages,
         failed_fetches,
         high_water_mark, incremental_merge, merge_counts, merge_current_only, merge_dropped,
         merge_failed_dropped, newest_cap, newest_comments, row_index, row_index_page, latest_snapshot,

@@ -241,11 +241,15 @@ FROM pages WHERE url <> ''""",
     "search_then_details": f"""{SEARCHED} FROM part
 WHERE contains(lower(p_name), 'ring') OR contains(lower(p_name), 'hot')""",
     "flatten_thread_response": """WITH c AS (
-  SELECT *, count(*) OVER (PARTITION BY conv_id, turn // 100) AS n FROM conversations)
+  SELECT *, count(*) OVER (PARTITION BY conv_id, turn // 5) AS n FROM conversations)
 SELECT conv_id::VARCHAR AS video_id, role AS author, text, length(text)::INTEGER AS like_count,
   lpad(turn::VARCHAR, 6, '0') AS published_at FROM c WHERE n > 1""",
+    "raw_thread_pages": """WITH c AS (
+  SELECT *, count(*) OVER (PARTITION BY conv_id, turn // 5) AS n FROM conversations)
+SELECT conv_id::VARCHAR AS video_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS row_index,
+  role AS author, text, lpad(turn::VARCHAR, 6, '0') AS published_at FROM c WHERE n > 1""",
     "failed_fetches": """SELECT DISTINCT conv_id::VARCHAR AS video_id FROM (
-  SELECT conv_id, turn // 100, count(*) AS n FROM conversations GROUP BY ALL) WHERE n <= 1""",
+  SELECT conv_id, turn // 5, count(*) AS n FROM conversations GROUP BY ALL) WHERE n <= 1""",
     "high_water_mark": f"WITH {MERGE_CTES} SELECT * FROM marks",
     "incremental_merge": f"""WITH {MERGE_CTES},
 {_merged("SELECT * FROM old_rows", f"SELECT * FROM fresh WHERE r <= {MERGE_CAP}")}
@@ -325,7 +329,7 @@ SELECT source AS video_key, count(*) AS total_comments, count(*) AS processed_co
 FROM documents LEFT JOIN m ON source = m.video_key GROUP BY source""",
     "entity_hook": """WITH s AS (
   SELECT source AS video_key, doc_id AS arrival_seq,
-    string_split(regexp_replace(text, '[^\\x21-\\x7e]+', ' ', 'g'), ' ') AS t FROM documents),
+    regexp_split_to_array(text, '[ \\t\\n\\r]+') AS t FROM documents WHERE text <> ''),
 n AS (
   SELECT video_key, arrival_seq, unnest(t) AS text, unnest(range(len(t))) AS pos FROM s)
 SELECT video_key, arrival_seq, pos, text, 'NUM' AS type FROM n

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from reelgauge.functions import text as T
 from reelgauge.functions.values import count_or_zero, text_or_empty
-from reelgauge.schemas import CORRUPT, with_corrupt
+from reelgauge.operators.joins import join_lookup
+from reelgauge.schemas import CORRUPT, THREAD_PAGE, with_corrupt
 
 # A page holds at most 100 items, so numbers of different pages never meet.
 PAGE_STRIDE = 1 << 20
 
+# Where a page was landed; the order of pages without ``page_seq``.
+PLACE = ["_file", "_line"]
+
 
 def read_json(
     spark: SparkSession,
@@ -41,7 +45,7 @@ def read_json(
 def _no_data(df: DataFrame) -> Column:
     empty = F.lit(True)
     for name in df.columns:
-        if name != CORRUPT:
+        if name not in (CORRUPT, *PLACE):
             empty = empty & F.col(f"`{name}`").isNull()
     return F.col(CORRUPT).isNotNull() & empty
 
@@ -108,15 +112,55 @@ def failed_videos(pages: DataFrame) -> DataFrame:
     return pages.where(~_usable()).select("video_id").distinct()
 
 
+def _video_id() -> Column:
+    """The page's video, or that of its first comment where the page does not say."""
+    first = F.try_element_at(F.col("items.snippet.videoId"), F.lit(1))
+    return F.coalesce(F.col("video_id"), first)
+
+
+def thread_pages(pages: DataFrame) -> DataFrame:
+    """Pages with exactly the fields of the schema; fields that they lack are NULL."""
+    extra = [c for c in PLACE if c in pages.columns]
+    text = F.to_json(F.struct(*[c for c in pages.columns if c not in PLACE]))
+    return pages.select(F.from_json(text, THREAD_PAGE).alias("p"), *extra).select("p.*", *extra)
+
+
 def flatten_threads(pages: DataFrame) -> DataFrame:
-    """Top-level comments of comment-thread pages."""
-    item = _items(usable_pages(pages), "video_id")
+    """Top-level comments of comment-thread pages, numbered in the order of their video's pages.
+
+    Pages go by ``page_seq`` (NULL first), then by their place as ``read_pages`` gives it, then by
+    content. The pages of a video are ranked as narrow rows; numbers are unique inside a video
+    whatever the pages say, and rise along a page.
+    """
+    extra = [c for c in PLACE if c in pages.columns]
+    known = pages.select(*THREAD_PAGE.names, *extra).where(_usable())
+    keyed = known.withColumns({"_video": _video_id(), "_id": F.xxhash64(F.to_json("items"))})
+    order = ["page_seq", *extra, "_id"]
+    if not extra:  # only equal pages meet in this window
+        equal = Window.partitionBy("_video", *order).orderBy("nextPageToken")
+        keyed, order = keyed.withColumn("_nth", F.row_number().over(equal)), [*order, "_nth"]
+    rank = F.row_number().over(Window.partitionBy("_video").orderBy(*order)) - 1
+    names = [f"_by_{i}" for i in range(len(order) + 1)]
+    numbers = keyed.select("_video", *order, rank.alias("_page")).toDF(*names, "_page")
+    same = F.lit(True)
+    for c, other in zip(["_video", *order], names, strict=True):
+        same = same & F.col(c).eqNullSafe(F.col(other))
+    item = join_lookup(keyed, numbers, same, "left").select(
+        F.col("_video").alias("video_id"), "_page", F.posexplode("items").alias("_pos", "item")
+    )
     comment = F.col("item.snippet.topLevelComment.snippet")
     return item.select(
-        F.coalesce("video_id", F.col("item.snippet.videoId")).alias("video_id"),
+        "video_id",
         comment["authorDisplayName"].alias("author"),
         comment["textDisplay"].alias("text"),
         comment["likeCount"].alias("like_count"),
         comment["publishedAt"].alias("published_at"),
-        "arrival_seq",
+        (F.col("_page") * PAGE_STRIDE + F.col("_pos")).alias("arrival_seq"),
     )
+
+
+def read_pages(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
+    """Readable response pages of all files below a folder, with their place: file and line."""
+    raw = read_json(spark, path, schema, multiline)
+    line = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return readable(raw.select("*", F.col("_metadata.file_path").alias("_file"), line.alias("_line")))

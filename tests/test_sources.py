@@ -287,3 +287,24 @@ def test_raw_thread_pages_lose_no_comment(spark):
     got = L.flatten_threads(frame).select("video_id", "text").collect()
     assert sorted(map(tuple, got)) == [("v1", "x"), ("v1", "y"), ("v4", "z")]
     assert {r[0] for r in L.failed_videos(frame).collect()} == {"v2", "v3"}
+
+
+def test_page_numbers_are_unique_without_page_seq(spark, tmp_path):
+    thread = lambda text: (((("a", text, 1, "2025-01-01T00:00:00Z"),), "v"),)
+    page = (None, None, None, [thread("x"), thread("y")], None)
+    other = (None, None, None, [thread("z")], None)
+    frame = spark.createDataFrame([page, page, other], THREAD_PAGE)
+    got = L.flatten_threads(frame).select("arrival_seq", "text").collect()
+    assert len({r[0] for r in got}) == 5 and sorted(r[1] for r in got) == ["x", "x", "y", "y", "z"]
+    for i in range(3):
+        items = [{"snippet": {"videoId": "v", "topLevelComment": {"snippet": {"textDisplay": f"{i}{j}"}}}} for j in range(2)]
+        (tmp_path / f"p{i}.json").write_text(json.dumps({"items": items}))
+    read = L.flatten_threads(L.read_pages(spark, str(tmp_path), THREAD_PAGE))
+    assert [r[0] for r in read.orderBy("arrival_seq").select("text").collect()] == ["00", "01", "10", "11", "20", "21"]
+
+
+def test_pages_without_a_field(spark):
+    frame = spark.createDataFrame([("v", [((("a", "t"),),)])], "video_id string, items array<struct<snippet:struct<topLevelComment:struct<authorDisplayName:string,textDisplay:string>>>>")
+    frame = frame.select("video_id", F.transform("items", lambda i: F.struct(F.struct(F.struct(i["snippet"]["topLevelComment"].alias("snippet")).alias("topLevelComment")).alias("snippet"))).alias("items"))
+    got = L.flatten_threads(L.thread_pages(frame)).collect()
+    assert [(r["video_id"], r["author"], r["text"], r["like_count"]) for r in got] == [("v", "a", "t", None)]
