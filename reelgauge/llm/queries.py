@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, near_dup, packing, preference, quality, sharding, token_count, token_file, top_k
+from . import language, line_dedup, mixing, near_dup, packing, preference, quality, sharding, token_count, token_file, top_k
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -65,6 +65,11 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_mixing": op10_mixing,
+    "op12_line_dedup": op12_line_dedup,
 }
 
 MIX_SQL = r"""
@@ -165,4 +171,18 @@ SELECT pair_id, part, turn, role, '<|' || role || '|>' || chr(10) || text || chr
 FROM parts
 """
 
-ORACLE: dict[str, str] = {"op4_preference": PREFERENCE_SQL, "op5_top_k": TOP_K_SQL, "op10_mixing": MIX_SQL}
+LINE_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS doc,
+    string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, doc, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc) >= 2),
+m AS (SELECT k.*, coalesce(first <> doc, false) AS gone FROM k LEFT JOIN f USING (key))
+SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY r, doc_id
+"""
+
+ORACLE: dict[str, str] = {"op12_line_dedup": LINE_SQL, "op4_preference": PREFERENCE_SQL, "op5_top_k": TOP_K_SQL, "op10_mixing": MIX_SQL}
