@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, line_dedup, mixing, near_dup, packing, preference, quality, sharding, token_count, token_file, top_k
+from . import language, lexical, line_dedup, mixing, near_dup, packing, phrases, preference, quality, sharding, token_count, token_file, top_k
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -65,11 +65,19 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = line_dedup.dedup_lines(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.search(lexical.build_index(table(spark, folder, "documents")), table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_near_duplicates": op2_near_duplicates,
@@ -81,7 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_mixing": op10_mixing,
+    "op11_phrases": op11_phrases,
     "op12_line_dedup": op12_line_dedup,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 MIX_SQL = r"""
@@ -185,4 +195,48 @@ SELECT doc_id, count(*) AS n_lines, count_if(gone)::BIGINT AS n_dropped,
 FROM m GROUP BY r, doc_id
 """
 
-ORACLE: dict[str, str] = {"op12_line_dedup": LINE_SQL, "op4_preference": PREFERENCE_SQL, "op5_top_k": TOP_K_SQL, "op10_mixing": MIX_SQL}
+LEXICAL_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+d AS (SELECT * FROM t WHERE len(terms) > 0),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d),
+post AS (SELECT r, doc_id, len(terms)::BIGINT AS n, term, count(*)::BIGINT AS tf FROM (SELECT *, unnest(terms) AS term FROM d) GROUP BY ALL),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM (SELECT term, count(*)::BIGINT AS df FROM post SEMI JOIN q USING (term) GROUP BY term), corpus),
+scored AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM q JOIN post USING (term) JOIN w USING (term), corpus GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+size AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, greatest(len(w) - k + 2, 1)), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM w, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS (SELECT lang, k AS words, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cut AS (
+  SELECT *, array_to_string(w[1:k], ' ') AS left_, array_to_string(w[k + 1:], ' ') AS right_
+  FROM cand, (SELECT unnest([1, 2]) AS k) WHERE k < words),
+rated AS (
+  SELECT cut.*, x.f AS l, y.f AS r, (1000000::HUGEINT * a * a) // (x.f::HUGEINT * y.f) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = left_ JOIN f y ON y.lang = cut.lang AND y.phrase = right_),
+worst AS (SELECT * FROM rated QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (
+  SELECT lang, part, max(a) AS f FROM (
+    SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE words = 3) GROUP BY ALL)
+SELECT worst.lang, row_number() OVER (PARTITION BY worst.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM worst JOIN size USING (lang) LEFT JOIN around ON around.lang = worst.lang AND around.part = phrase
+WHERE around.f IS NULL OR 100 * around.f < 50 * a QUALIFY rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op11_phrases": PHRASE_SQL, "op13_lexical_search": LEXICAL_SQL, "op12_line_dedup": LINE_SQL, "op4_preference": PREFERENCE_SQL, "op5_top_k": TOP_K_SQL, "op10_mixing": MIX_SQL}
