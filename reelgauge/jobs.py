@@ -5,7 +5,7 @@
     jobs.py convert   --landing DIR --comments DIR --run-id ID
     jobs.py ingest    --landing DIR --comments DIR --progress DIR --run-id ID
     jobs.py sentiment --comments DIR --out DIR --run-id ID [--lexicon PARQUET]
-    jobs.py entities  --comments DIR --out DIR --run-id ID [--gazetteer PARQUET]
+    jobs.py entities  --comments DIR --out DIR --run-id ID [--gazetteer PARQUET | --model DIR]
     jobs.py topics    --comments DIR --out DIR --run-id ID
     jobs.py board     --selected DIR --comments DIR --out DIR --run-id ID [--query TEXT]
 
@@ -25,6 +25,7 @@ from reelgauge.functions.fixed import PERIOD_DAYS, TOP_VIDEOS
 from reelgauge.operators import entities as E
 from reelgauge.operators import leaderboard as B
 from reelgauge.operators import sentiment as S
+from reelgauge.operators import tagger as TG
 from reelgauge.operators.joins import release_after
 from reelgauge.operators.snapshots import latest_snapshot, pinned_snapshot
 from reelgauge.operators.tokens import with_tokens
@@ -55,7 +56,7 @@ def comments_of(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     """One snapshot, the latest by default, of the partitioned table or of per-video folders."""
     if not a.folders:
         return C.read_comments(spark, a.comments, a.snapshot)
-    rows = C.read_comment_folders(spark, a.comments).where("video_key <> ''")
+    rows = C.read_comment_folders(spark, a.comments, C.ID_IN_PARQUET).where("video_key <> ''")
     return pinned_snapshot(rows, a.snapshot) if a.snapshot else latest_snapshot(rows)
 
 
@@ -80,19 +81,22 @@ def merge(spark: SparkSession, a: argparse.Namespace) -> None:
     else:
         previous = C.earlier_comments(spark, a.comments, a.run_id)
     videos = D.read_videos(spark, a.selected)
-    merged = collect_comments(previous, pages(spark, a.threads, THREAD_PAGE), videos, a.run_id)
+    threads = pages(spark, a.threads, THREAD_PAGE)
+    merged = collect_comments(previous, threads, videos, a.run_id, equal_times="compare")
     C.write_comments(merged, a.comments)
 
 
 def convert(spark: SparkSession, a: argparse.Namespace) -> None:
     C.json_to_parquet(
-        spark, a.landing, a.comments, a.run_id, rejects=f"{a.comments}_rejects/{a.run_id}"
+        spark, a.landing, a.comments, a.run_id, rejects=f"{a.comments}_rejects/{a.run_id}",
+        pattern=C.ID_IN_JSON,
     )
 
 
 def ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     ingest_stream(
-        spark, a.landing, a.comments, a.progress, a.run_id, run=a.run_id
+        spark, a.landing, a.comments, a.progress, run=a.run_id, equal_times="compare",
+        pattern=C.ID_IN_JSON,
     ).awaitTermination()
 
 
@@ -108,7 +112,12 @@ def sentiment(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def entities(spark: SparkSession, a: argparse.Namespace) -> None:
     comments = comments_of(spark, a)
-    tagger = E.Gazetteer(spark.read.parquet(a.gazetteer)) if a.gazetteer else E.Patterns()
+    if a.model:
+        tagger = TG.load_tagger(spark, a.model)
+    elif a.gazetteer:
+        tagger = E.PhraseGazetteer(spark.read.parquet(a.gazetteer))
+    else:
+        tagger = E.Patterns()
     report = reports.entity_report(comments, tagger, a.top)
     _write(report, a, "entity", counted_as="total_movies_analyzed", parameters={"top": a.top})
 
@@ -121,9 +130,7 @@ def topics(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def board(spark: SparkSession, a: argparse.Namespace) -> None:
-    # Keys are the video id, or a title and the id, whose length is fixed.
-    comments = comments_of(spark, a).withColumn("video_key", F.expr("right(video_key, 11)"))
-    labelled = S.label_sentiment(comments, lexicon(spark, a.lexicon))
+    labelled = S.label_sentiment(comments_of(spark, a), lexicon(spark, a.lexicon))
     videos = D.read_videos(spark, a.selected)
     rows = B.leaderboard(
         videos.withColumn("video_key", F.col("video_id")),
@@ -163,6 +170,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
             job.add_argument("--folders", action="store_true")
             job.add_argument("--lexicon")
             job.add_argument("--gazetteer")
+            job.add_argument("--model")
             job.add_argument("--query")
             job.add_argument("--top", type=int, default=10)
             job.add_argument("--seed", type=int, default=7)

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelgauge.functions import text as T
 from reelgauge.functions.fixed import TOP_ENTITIES
-from reelgauge.operators.joins import join_lookup
+from reelgauge.operators.joins import BROADCAST_BYTES, join_lookup
+from reelgauge.operators.phrases import longest_matches
 
 KEY, SEQ = "video_key", "arrival_seq"
 
@@ -48,7 +49,7 @@ class Gazetteer:
         self.case_sensitive = case_sensitive
 
     def mentions(self, df: DataFrame, text: str) -> DataFrame:
-        tokens = T.raw_tokens(F.regexp_replace(F.col(text), r"(?U)[^\p{L}\p{N}\s]+", " "))
+        tokens = name_tokens(text)
         flat = df.where(T.has_text(text)).select(
             KEY, SEQ, F.posexplode(tokens).alias("pos", "token")
         )
@@ -62,6 +63,57 @@ class Gazetteer:
         )
 
 
+def name_tokens(value: Column | str) -> Column:
+    """Runs of letters and digits, as the dictionaries see a text."""
+    text = F.col(value) if isinstance(value, str) else value
+    return T.raw_tokens(F.regexp_replace(text, r"(?U)[^\p{L}\p{N}\s]+", " "))
+
+
+class PhraseGazetteer:
+    """Dictionary of ``term, type`` whose terms may have several tokens. The longest term counts
+    where terms overlap, from left to right, and every token of it is a mention of the type. A term
+    with several types takes the first by name; terms without a letter or digit are left out."""
+
+    def __init__(self, terms: DataFrame, case_sensitive: bool = False, limit_bytes: int = BROADCAST_BYTES):
+        name = F.col("term") if case_sensitive else F.lower("term")
+        self.case_sensitive, self.limit_bytes = case_sensitive, limit_bytes
+        words = terms.where("term is not null").select(name_tokens(name).alias("words"), "type")
+        self.terms = words.where(F.size("words") > 0).groupBy("words").agg(F.min("type").alias("type"))
+
+    def _matched(self, df: DataFrame, text: str) -> tuple[DataFrame, Column]:
+        """Rows with ``tokens`` and ``matches``, and the types by number."""
+        types = sorted(r[0] for r in self.terms.select("type").distinct().collect() if r[0] is not None)
+        numbered = F.array(*[F.lit(x) for x in types]).cast("array<string>")
+        terms = self.terms.where("type is not null").select("words", (F.array_position(numbered, F.col("type")) - 1).cast("int").alias("value"))
+        source = F.col(text) if self.case_sensitive else F.lower(text)
+        rows = df.where(T.has_text(text)).withColumn("tokens", F.explode(F.array(name_tokens(source))))
+        return longest_matches(rows, terms, [KEY, SEQ], self.limit_bytes), numbered
+
+    def tag(self, df: DataFrame, text: str) -> DataFrame:
+        """Rows with text, with ``token`` and BIO ``ner`` arrays: what a tagger is trained on where
+        nothing is tagged by hand."""
+        found, types = self._matched(df, text)
+        before = F.expr("transform(matches, (m, i) -> m.start - if(i = 0, 0, matches[i - 1].start + matches[i - 1].size))")
+        end = F.expr("if(size(matches) = 0, 0, matches[size(matches) - 1].start + matches[size(matches) - 1].size)")
+        gaps = found.withColumns({"_gaps": before, "_types": F.transform("matches", lambda m: F.get(types, m["value"])), "_left": F.size("tokens") - end})
+        parts = F.expr("transform(matches, (m, i) -> concat(array_repeat('O', _gaps[i]), array('B-' || _types[i]), array_repeat('I-' || _types[i], m.size - 1)))")
+        ner = F.concat(F.flatten(parts), F.expr("array_repeat('O', _left)"))
+        written = F.explode(F.array(name_tokens(text))).alias("_written")
+        # Lower-casing can split a token of a rare letter; the tokens that were matched then stay.
+        tokens = F.when(F.size("_written") == F.size("tokens"), F.col("_written")).otherwise(F.col("tokens"))
+        return gaps.select("*", ner.alias("ner"), written).select(*df.columns, tokens.alias("token"), "ner")
+
+    def mentions(self, df: DataFrame, text: str) -> DataFrame:
+        found, numbered = self._matched(df, text)
+        match = found.select(KEY, SEQ, "tokens", F.explode("matches").alias("m"))
+        token = F.explode(F.sequence(F.col("m.start"), F.col("m.start") + F.col("m.size") - 1))
+        return match.select(KEY, SEQ, "tokens", "m.value", token.alias("pos")).select(
+            KEY, SEQ, F.col("pos").cast("bigint").alias("pos"),
+            F.lower(F.get("tokens", F.col("pos"))).alias("text"),
+            F.get(numbered, F.col("value")).alias("type"),
+        )
+
+
 class Patterns:
     """Typed regular expressions, all found in one pass over the whole text."""
 
@@ -110,7 +162,7 @@ class Hook:
 
 
 def tag_entities(
-    df: DataFrame, tagger: Gazetteer | Patterns | Hook, text: str = "text"
+    df: DataFrame, tagger: Gazetteer | PhraseGazetteer | Patterns | Hook, text: str = "text"
 ) -> DataFrame:
     """Mentions ``video_key, arrival_seq, pos, text, type``; each comment is tagged alone."""
     return tagger.mentions(df, text)

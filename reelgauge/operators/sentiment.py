@@ -7,8 +7,8 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover, Word2Vec
-from pyspark.ml.functions import predict_batch_udf, vector_to_array
+from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer, StopWordsRemover
+from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -17,7 +17,9 @@ from pyspark.sql.types import IntegerType
 from reelgauge.functions import text as T
 from reelgauge.functions.fixed import LABELS
 from reelgauge.functions.values import percentage
+from reelgauge.operators.embedding import HashedEmbedding, fit_embedding, sentence_embeddings  # noqa: F401
 from reelgauge.operators.joins import join_lookup, kept
+from reelgauge.operators.phrases import longest_matches
 
 KEY, SEQ = "video_key", "arrival_seq"
 
@@ -33,7 +35,11 @@ def _label_of_score(score: Column) -> Column:
 class Lexicon:
     """Sign of the summed polarity of a comment's words; ``terms`` has ``term, polarity``.
     Equal entries count once, different polarities of one term add up, and entries without term or
-    polarity are left out."""
+    polarity are left out.
+
+    Terms are split like the texts, into runs of letters. With terms of several words (``can't``,
+    ``not bad``) the longest term counts where terms overlap, from left to right. A term without a
+    letter can match nothing and is an error."""
 
     INLINE_TERMS = 20_000
 
@@ -43,6 +49,13 @@ class Lexicon:
         ).where("term is not null and polarity is not null").distinct()
 
     def label(self, df: DataFrame, text: str) -> DataFrame:
+        words = F.array_remove(T.words("term"), "")
+        size = kept(self.terms.select(words.alias("words"), "polarity"))
+        least, most = size.agg(F.min(F.size("words")), F.max(F.size("words"))).first()
+        if least == 0:
+            raise ValueError("a lexicon term has no letter")
+        if most and most > 1:
+            return self._phrases(df, size, text)
         head = self.terms.limit(self.INLINE_TERMS + 1).collect()
         if len(head) <= self.INLINE_TERMS:
             return df.withColumn("sentiment", _label_of_score(self._inline_score(head, text)))
@@ -66,6 +79,15 @@ class Lexicon:
         hits = F.filter(T.words(text), lambda word: word.isin(known))
         return F.aggregate(hits, F.lit(0), add)
 
+    @staticmethod
+    def _phrases(df: DataFrame, terms: DataFrame, text: str) -> DataFrame:
+        summed = terms.groupBy("words").agg(F.sum("polarity").cast("int").alias("value"))
+        spoken = F.array_remove(T.words(F.coalesce(F.col(text), F.lit(""))), "")
+        rows = df.withColumn("tokens", F.explode(F.array(spoken)))
+        found = longest_matches(rows, summed, [KEY, SEQ])
+        score = F.aggregate("matches", F.lit(0), lambda total, m: total + m["value"])
+        return found.withColumn("sentiment", _label_of_score(score)).drop("tokens", "matches")
+
     def _joined(self, df: DataFrame, text: str) -> DataFrame:
         """For a lexicon too large for the row form; shuffles narrow rows only."""
         spoken = df.where(T.has_text(text)).select(KEY, SEQ, F.explode(T.words(text)).alias("term"))
@@ -83,12 +105,21 @@ class Lexicon:
 class Trained:
     """A fitted pipeline whose prediction indexes ``labels``; confidence is its probability."""
 
-    def __init__(self, model: PipelineModel, labels: Sequence[str] = LABELS):
-        self.model, self.labels = model, list(labels)
+    def __init__(
+        self,
+        model: PipelineModel,
+        labels: Sequence[str] = LABELS,
+        embedding: HashedEmbedding | None = None,
+    ):
+        self.model, self.labels, self.embedding = model, list(labels), embedding
 
     def label(self, df: DataFrame, text: str) -> DataFrame:
         names = F.array(*[F.lit(x) for x in self.labels])
-        scored = self.model.transform(df.withColumn("_text", F.coalesce(F.col(text), F.lit(""))))
+        rows = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+        if self.embedding:
+            rows = self.embedding.transform(rows, "_text", "_vector")
+            rows = rows.withColumn("_features", array_to_vector("_vector"))
+        scored = self.model.transform(rows)
         return scored.select(
             *df.columns,
             F.element_at(names, F.col("prediction").cast("int") + 1).alias("sentiment"),
@@ -274,44 +305,17 @@ def train_sentiment(
     weight = F.lit(1.0)
     for value, n in sizes.items():
         weight = F.when(F.col("_label") == value, total / (len(sizes) * n)).otherwise(weight)
-    if embedding_size:
-        vectors = [embedding_stage(embedding_size, seed, _tasks(rows))]
-    else:
-        vectors = [
-            HashingTF(inputCol="_kept", outputCol="_tf", numFeatures=features),
-            IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
-        ]
+    rows = rows.withColumn("_weight", weight)
     classifier = LogisticRegression(
         featuresCol="_features", labelCol="_label", weightCol="_weight", maxIter=25,
         regParam=0.01, family="multinomial",
     )
-    pipeline = Pipeline(stages=[*_word_stages(), *vectors, classifier])
-    return Trained(pipeline.fit(rows.withColumn("_weight", weight)), labels)
-
-
-def _tasks(rows: DataFrame) -> int:
-    """Training tasks: one for each split of the input, one for each core at least."""
-    return max(rows.rdd.getNumPartitions(), rows.sparkSession.sparkContext.defaultParallelism)
-
-
-def embedding_stage(size: int, seed: int = 7, tasks: int = 1) -> Word2Vec:
-    return Word2Vec(
-        inputCol="_kept", outputCol="_features", vectorSize=size, minCount=1, seed=seed,
-        numPartitions=tasks,
-    )
-
-
-def sentence_embeddings(
-    df: DataFrame, text: str = "text", size: int = 32, seed: int = 7
-) -> DataFrame:
-    """Mean word vector of each comment, trained on the comments themselves.
-
-    Every word counts. Training runs in as many tasks as the input has splits; its word vectors
-    pass through the driver, ``size`` numbers for each different word.
-    """
-    rows = df.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
-    stages = [*_word_stages(), embedding_stage(size, seed, _tasks(rows))]
-    model = Pipeline(stages=stages).fit(rows)
-    return model.transform(rows).select(
-        *df.columns, vector_to_array("_features", "float32").alias("embedding")
-    )
+    if embedding_size:
+        embedding = fit_embedding(rows, "_text", embedding_size, seed=seed)
+        vectors = embedding.transform(rows, "_text", "_vector").withColumn("_features", array_to_vector("_vector"))
+        return Trained(Pipeline(stages=[classifier]).fit(vectors), labels, embedding)
+    terms = [
+        HashingTF(inputCol="_kept", outputCol="_tf", numFeatures=features),
+        IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
+    ]
+    return Trained(Pipeline(stages=[*_word_stages(), *terms, classifier]).fit(rows), labels)

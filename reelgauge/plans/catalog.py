@@ -17,6 +17,7 @@ from reelgauge.functions import text as T
 from reelgauge.functions import values as N
 from reelgauge.operators import entities as E
 from reelgauge.operators import leaderboard as B
+from reelgauge.operators import tagger as TG
 from reelgauge.operators import merge as M
 from reelgauge.operators import ranking as R
 from reelgauge.operators import sentiment as S
@@ -45,6 +46,12 @@ GAZETTEER = {
     "Thedre": "PER", "The": "PER", "the": "DET", "THE": "LOUD", "of": "PREP", "que": "CONJ",
     "der": "DET", "Der": "PER", "les": "DET", "trash": "MISC", "idiot": "MISC", "Ofonrereer": "LOC",
 }
+PHRASES = {
+    "The Anea": "ORG", "anea eriner thanea": "PER", "Eriner, thanea": "LOC", "of the": "PREP",
+    "the": "DET", "the the the": "RUN", "de la": "PREP", "attion to thanedble the": "LAW",
+    "Apache License": "DOC", "General Public License": "DOC", "License": "WORD", "der der": "RUN",
+}
+PHRASE_POLARITY = {"the the": -1, "the": 1, "of the": 1, "der-der": -1, "der": 1, "de la": 1, "trash": -2, "don't": -1}
 BRANDS = ["Brand#2", "Brand#4", "Brand#9", "Brand#12", "Brand#17", "Brand#23"]
 PRIORITY_PHRASES = ["urgent", "high", "not spec", "low"]
 AS_OF = "2001-08-02 00:00:00"
@@ -179,6 +186,20 @@ def sentence_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def sentence_embedding_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """What of the vectors does not depend on the model: their length, and which are zero."""
+    rows = S.sentence_embeddings(document_comments(spark, sf))
+    zero = ~F.exists("embedding", lambda x: x != 0)
+    return rows.select("video_key", "arrival_seq", F.size("embedding").alias("width"), zero.alias("is_zero"))
+
+
+def sentiment_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """A lexicon with terms of several words."""
+    terms = spark.createDataFrame(list(PHRASE_POLARITY.items()), "term string, polarity int")
+    labelled = S.label_sentiment(document_comments(spark, sf), S.Lexicon(terms))
+    return labelled.select("video_key", "arrival_seq", "sentiment", "confidence")
+
+
 def sentiment_hook(spark: SparkSession, sf: str) -> DataFrame:
     def load():
         def predict(texts):
@@ -524,6 +545,21 @@ def entity_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return gazetteer_counts(spark, sf).select("video_key", "text", "type", "count")
 
 
+def entity_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of several words: the longest term at each place, every token of it a mention."""
+    terms = spark.createDataFrame(list(PHRASES.items()), "term string, type string")
+    return E.tag_entities(document_comments(spark, sf), E.PhraseGazetteer(terms))
+
+
+def entity_trained(spark: SparkSession, sf: str) -> DataFrame:
+    """A tagger trained on the labelled documents, tagged by the dictionary, over all documents."""
+    terms = spark.createDataFrame(list(PHRASES.items()), "term string, type string")
+    comments = document_comments(spark, sf)
+    known = comments.join(table(spark, sf, "labels").select(F.col("doc_id").alias("arrival_seq")).distinct(), "arrival_seq", "left_semi")
+    tagger = TG.train_tagger(E.PhraseGazetteer(terms).tag(known, "text"))
+    return E.tag_entities(comments, tagger)
+
+
 def top_entities(spark: SparkSession, sf: str) -> DataFrame:
     return E.top_entities(gazetteer_counts(spark, sf))
 
@@ -655,6 +691,38 @@ def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return C.read_comments(spark, f"{folder}/comments").drop("arrival_seq")
 
 
+def _hourly(rows: DataFrame) -> DataFrame:
+    """Publish times by the hour, so that many comments share the time of a mark."""
+    return rows.withColumn("published_at", F.concat(F.substring("published_at", 1, 13), F.lit(":00:00Z")))
+
+
+def merge_at_mark(spark: SparkSession, sf: str) -> DataFrame:
+    """A fetch that stopped in the middle of an hour, then one that brings the whole hours again,
+    twice: comments at the time of the mark are neither lost nor doubled."""
+    rows = _hourly(event_comments(spark, sf))
+    old = rows.where((F.col("published_at") < OLD_END) & ((F.col("arrival_seq") % 5 != 0) | (F.col("published_at") < NEW_START)))
+    new = rows.where(F.col("published_at") >= NEW_START)
+    once = stored(M.merge_comments(old, new, equal_times="compare").drop("is_new"), "merged")
+    twice = M.merge_comments(once, new, equal_times="compare")
+    return twice.select(*MERGED, "is_new")
+
+
+def ingest_then_read(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs of the stream with ids of their own, the first file landed again, read as one
+    snapshot."""
+    folder = scratch_dir(spark, "ingest")
+    day = F.col("snapshot")
+    for i, condition in enumerate((day < "20240116", day >= "20240116")):
+        landing = _landed_events(spark, sf, f"{folder}/landing", condition)
+        if i:
+            _landed_events(spark, sf, f"{folder}/landing", day == "20240115")
+        ingest_stream(
+            spark, landing, f"{folder}/comments", f"{folder}/progress", multiline=False,
+            pattern=DAY_PATTERN, run=f"run-{i}", equal_times="compare",
+        ).awaitTermination()
+    return C.read_comments(spark, f"{folder}/comments").drop("arrival_seq")
+
+
 def ingest_in_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the stream over a landing folder that grew in between."""
     folder = scratch_dir(spark, "ingest")
@@ -673,20 +741,20 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in [
         sentiment_labels, sentiment_distribution, sentiment_totals, sentiment_summary,
         sentiment_examples, sentiment_by_conversation, sentiment_vs_labels, sentiment_trained,
-        sentence_embeddings, sentiment_hook, sentiment_vector_hook,
+        sentence_embeddings, sentence_embedding_shape, sentiment_hook, sentiment_vector_hook, sentiment_phrases,
         videos_allowlist, videos_movie_key, videos_dedupe, videos_top_n, videos_recent_keyword,
         videos_most_viewed_per_phrase, video_key_sanitise,
         flatten_props, flatten_video_response, search_then_details, flatten_thread_response,
         raw_thread_pages,
         failed_fetches,
         high_water_mark, incremental_merge, merge_counts, merge_current_only, merge_dropped,
-        merge_failed_dropped, newest_cap, newest_comments, row_index, row_index_page, latest_snapshot,
+        merge_failed_dropped, merge_at_mark, newest_cap, newest_comments, row_index, row_index_page, latest_snapshot,
         pinned_snapshot, keep_latest,
         clean_tokens, shrunk_text, vocabulary, vocabulary_by_video, vocabulary_size,
-        entity_pattern, entity_gazetteer, bio_flatten, entity_frequency, top_entities,
+        entity_pattern, entity_gazetteer, entity_phrases, entity_trained, bio_flatten, entity_frequency, top_entities,
         entities_by_type, entity_totals, entity_hook,
         topics_by_key, topics_global, topic_words, topics_skipped, single_video,
         leaderboard, leaderboard_search, report_json, entity_report_json, topic_report_json,
-        video_totals, time_labels, json_roundtrip, ingest_in_two_runs,
+        video_totals, time_labels, json_roundtrip, ingest_in_two_runs, ingest_then_read,
     ]
 }

@@ -50,17 +50,20 @@ def collect_comments(
     snapshot: str,
     cap: int | None = None,
     on_missing: str = "carry",
+    equal_times: str = "skip",
 ) -> DataFrame:
     """The next snapshot: listed videos' history and their comments newer than the mark.
 
     ``previous`` and the result are keyed by ``video_key`` holding the video id, so a new title
-    does not lose a video's history.
+    does not lose a video's history. With ``equal_times="compare"`` comments at the time of a mark
+    that are not stored yet are taken too.
     """
     listed = kept(V.valid_videos(videos).select(F.col("video_id").alias("video_key")).distinct())
     new = L.flatten_threads(thread_pages).withColumnRenamed("video_id", "video_key")
     new = new.withColumn("snapshot", F.lit(snapshot))
     failed = L.failed_videos(thread_pages).withColumnRenamed("video_id", "video_key")
     merged = M.merge_comments(
-        previous, join_lookup(new, listed, "video_key", "left_semi"), listed, failed, cap, on_missing
+        previous, join_lookup(new, listed, "video_key", "left_semi"), listed, failed, cap, on_missing,
+        equal_times=equal_times,
     )
     return merged.withColumn("snapshot", F.lit(snapshot))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from reelgauge.functions.fixed import STOP_WORDS, WATCH_URL
 from reelgauge.operators.entities import PATTERNS
 from reelgauge.plans.catalog import (
@@ -13,6 +15,8 @@ from reelgauge.plans.catalog import (
     NEW_START,
     NEWEST_CAP,
     OLD_END,
+    PHRASE_POLARITY,
+    PHRASES,
     POSITIVE,
     PRIORITY_PHRASES,
 )
@@ -148,6 +152,32 @@ mentions AS (
     ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in GAZETTEER.items()), SPACE
 )
 
+
+def _longest(tokens: str, terms: dict[str, object]) -> str:
+    """CTEs ending in ``chain``: the longest terms from left to right in ``words``, given by
+    ``tokens`` (video_key, arrival_seq, t)."""
+    rows = ", ".join(f"({_quoted(' '.join(re.findall(r'[^_0-9\W]+', k.lower())))}, {_quoted(str(v))})" for k, v in terms.items())
+    return f"""words AS ({tokens}),
+terms AS (SELECT term, value, len(string_split(term, ' ')) AS k FROM (VALUES {rows}) AS v(term, value)),
+sizes AS (SELECT DISTINCT k FROM terms),
+grams AS (
+  SELECT video_key, arrival_seq, k, unnest(range(1, len(t) - k + 2)) AS spot, t FROM words, sizes
+  WHERE len(t) >= k),
+named AS (SELECT *, array_to_string(t[spot:spot + k - 1], ' ') AS term FROM grams),
+hits AS (
+  SELECT video_key, arrival_seq, spot, max(n.k) AS k, arg_max(value, n.k) AS value
+  FROM named n JOIN terms x ON n.term = x.term GROUP BY ALL),
+nexts AS (
+  SELECT h.*, n.spot AS next FROM hits h ASOF LEFT JOIN hits n
+    ON h.video_key = n.video_key AND h.arrival_seq = n.arrival_seq AND h.spot + h.k <= n.spot),
+chain AS (
+  SELECT n.* FROM nexts n JOIN (
+    SELECT video_key, arrival_seq, min(spot) AS spot FROM hits GROUP BY ALL) f USING (video_key, arrival_seq, spot)
+  UNION ALL
+  SELECT n.* FROM chain c JOIN nexts n
+    ON n.video_key = c.video_key AND n.arrival_seq = c.arrival_seq AND n.spot = c.next)"""
+
+
 ENTITY_COUNTS = """counts AS (
   SELECT video_key, text, count(*) AS count, arg_max(type, (arrival_seq, pos)) AS type,
     min((arrival_seq, pos)) AS first_seen
@@ -302,6 +332,24 @@ FROM tokens WHERE len(tokens) > 0""",
 SELECT video_key, count(*) AS vocabulary_size FROM v GROUP BY video_key""",
     "entity_pattern": f"WITH {PATTERN_MENTIONS} SELECT * FROM mentions",
     "entity_gazetteer": f"WITH {GAZETTEER_MENTIONS} SELECT * FROM mentions",
+    "entity_phrases": f"""WITH RECURSIVE {_longest(f"""SELECT source AS video_key, doc_id AS arrival_seq,
+    list_filter(string_split_regex(lower(regexp_replace(
+      text, '[^\\p{{L}}\\p{{N}}\\s\\x0b\\x85\\p{{Z}}]+', ' ', 'g')), '{SPACE}+'), lambda t: t <> '') AS t
+  FROM documents""", PHRASES)},
+flat AS (SELECT video_key, arrival_seq, spot, value, unnest(range(k)) AS i FROM chain)
+SELECT video_key, arrival_seq, spot - 1 + i AS pos, t[spot + i] AS text, value AS type
+FROM flat JOIN words USING (video_key, arrival_seq)""",
+    "sentence_embedding_shape": f"""SELECT source AS video_key, doc_id AS arrival_seq, 32 AS width,
+  len(list_filter(string_split_regex(lower(coalesce(text, '')), '[^\\p{{L}}]+'),
+    lambda t: t <> '' AND NOT list_contains([{", ".join(_quoted(w) for w in STOP_WORDS)}], t))) = 0 AS is_zero
+FROM documents""",
+    "sentiment_phrases": f"""WITH RECURSIVE {_longest("""SELECT source AS video_key, doc_id AS arrival_seq,
+    list_filter(string_split_regex(lower(text), '[^\\p{L}]+'), lambda t: t <> '') AS t FROM documents""", PHRASE_POLARITY)},
+scores AS (SELECT video_key, arrival_seq, sum(value::INT) AS score FROM chain GROUP BY ALL)
+SELECT d.source AS video_key, d.doc_id AS arrival_seq,
+  CASE WHEN d.text IS NULL OR d.text = '' THEN NULL WHEN coalesce(score, 0) > 0 THEN 'positive'
+       WHEN coalesce(score, 0) < 0 THEN 'negative' ELSE 'neutral' END AS sentiment, 1.0::DOUBLE AS confidence
+FROM documents d LEFT JOIN scores s ON s.video_key = d.source AND s.arrival_seq = d.doc_id""",
     "bio_flatten": f"""WITH s AS (
   SELECT source AS video_key, doc_id AS arrival_seq, list_filter(string_split_regex(
     text, '{SPACE}+'), lambda t: t <> '') AS t FROM documents),
@@ -392,6 +440,26 @@ FROM documents""",
   strftime(ts, '%Y-%m-%d %H:%M:%S') AS report_time,
   strftime(ts - INTERVAL 90 DAY, '{ISO}') AS since FROM events""",
     "json_roundtrip": f"{DAYS} FROM events",
+    "merge_at_mark": f"""WITH e AS (
+  SELECT * REPLACE (published_at[1:13] || ':00:00Z' AS published_at) FROM ({EVENTS})),
+old_rows AS (
+  SELECT * FROM e WHERE published_at < '{OLD_END}' AND (arrival_seq % 5 <> 0 OR published_at < '{NEW_START}')),
+new_rows AS (SELECT * FROM e WHERE published_at >= '{NEW_START}'),
+marks AS (SELECT video_key, max(published_at) AS mark FROM old_rows GROUP BY 1),
+held AS (
+  SELECT video_key, author, text, count(*) AS n FROM old_rows JOIN marks USING (video_key)
+  WHERE published_at = mark GROUP BY ALL),
+equal AS (
+  SELECT n.*, row_number() OVER (PARTITION BY video_key, author, text ORDER BY arrival_seq) AS nth
+  FROM new_rows n JOIN marks USING (video_key) WHERE published_at = mark),
+fresh AS (
+  SELECT n.* FROM new_rows n LEFT JOIN marks USING (video_key) WHERE mark IS NULL OR published_at > mark
+  UNION ALL
+  SELECT * EXCLUDE (nth, n) FROM equal LEFT JOIN (SELECT video_key, author, text, n FROM held)
+    USING (video_key, author, text) WHERE nth > coalesce(n, 0)),
+{_merged("SELECT * FROM old_rows", "SELECT * FROM fresh")}
+SELECT * REPLACE (false AS is_new) FROM merged""",
+    "ingest_then_read": DAYS.replace("'20240201_000000'", "'current'") + " FROM events",
     "ingest_in_two_runs": f"""{DAYS},
   (strftime(ts, '%Y%m%d') >= '20240116')::BIGINT AS batch_id FROM events""",
 }

@@ -12,6 +12,9 @@ from reelgauge.schemas import COMMENT, COMMENT_ROW, CORRUPT
 from reelgauge.sources.landing import read_json, unreadable
 
 KEY_IN_JSON = r"([^/]+)_comments\.json"
+# The video id, at most eleven characters at the end of the file's stem, whatever the title.
+ID_IN_JSON = r"([^/]{1,11})_comments\.json"
+ID_IN_PARQUET = r"([^/]{1,11})_comments\.parquet"
 KEY_IN_PARQUET = r"([^/]+)_comments\.parquet"
 
 
@@ -26,19 +29,38 @@ def key_from_path(path: Column, pattern: str) -> Column:
     return F.regexp_extract(path, pattern, 1)
 
 
+def place() -> list[Column]:
+    """Columns that tell where a row was read: the file, the part of it, the row in the part."""
+    return [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_part")]
+
+
+def number_by_place(rows: DataFrame, key: str = "video_key") -> DataFrame:
+    """``arrival_seq`` from (file, place in the file) inside each video, in place of the columns of
+    ``place``. The parts of files are ranked by video; no row is sorted or shuffled."""
+    numbered = rows.withColumn("_row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    by_name = Window.partitionBy(key).orderBy("_file", "_part")
+    parts = rows.select(key, "_file", "_part").distinct()
+    ranks = kept(parts.select(key, "_file", "_part", (F.row_number().over(by_name) - 1).cast("bigint").alias("_rank")))
+    placed = join_lookup(numbered, ranks, [key, "_file", "_part"])
+    return placed.withColumn("arrival_seq", F.shiftleft("_rank", 33) + F.col("_row")).drop("_file", "_part", "_rank", "_row")
+
+
 def read_landed_comments(
     spark: SparkSession, src: str, multiline: bool = True, pattern: str = KEY_IN_JSON
 ) -> DataFrame:
     """Comment JSON files with key, arrival order and the corrupt-record column.
 
-    Arrival numbers are unique, and rise inside a file.
+    Arrival numbers go by the files of a video in the order of their names, then by the place in
+    the file.
     """
     raw = read_json(spark, src, COMMENT, multiline)
-    return raw.select(
-        *COMMENT.names,
-        CORRUPT,
-        key_from_path(source_file(), pattern).alias("video_key"),
-        F.monotonically_increasing_id().alias("arrival_seq"),
+    return number_by_place(
+        raw.select(
+            *COMMENT.names,
+            CORRUPT,
+            key_from_path(source_file(), pattern).alias("video_key"),
+            *place(),
+        )
     )
 
 
@@ -124,7 +146,9 @@ def of_video(comments: DataFrame, video: str) -> DataFrame:
     return comments.where(F.col("video_key") == video)
 
 
-def read_comment_folders(spark: SparkSession, path: str) -> DataFrame:
+def read_comment_folders(
+    spark: SparkSession, path: str, pattern: str = KEY_IN_PARQUET
+) -> DataFrame:
     """The layout ``<snapshot>/<video>_comments.parquet`` with one Parquet dataset per video.
 
     Key and snapshot come from the path. Arrival numbers count the files of a video by name, then
@@ -135,7 +159,7 @@ def read_comment_folders(spark: SparkSession, path: str) -> DataFrame:
         *COMMENT.names, source_file().alias("input_file"), F.col("_metadata.row_index").alias("_row")
     ).withColumns(
         {
-            "video_key": key_from_path(F.col("input_file"), KEY_IN_PARQUET),
+            "video_key": key_from_path(F.col("input_file"), pattern),
             "snapshot": key_from_path(F.col("input_file"), r"([^/]+)/[^/]+_comments\.parquet"),
         }
     )

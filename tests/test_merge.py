@@ -145,3 +145,16 @@ def test_snapshots(spark, rows):
     assert rows(P.pinned_snapshot(data, "20250101_000000"), "n") == [(1,)]
     assert P.latest_snapshot(data.limit(0)).count() == 0
     assert rows(P.snapshots(data))[-1] == ("20250103_000000", 2)
+
+
+def test_comments_at_the_time_of_the_mark(spark, rows):
+    old = frame(spark, [("v", "a", "x", "2025", 0), ("v", "a", "x", "2025", 1), ("v", "b", "y", "2024", 2), ("w", "a", "x", None, 0)])
+    new = frame(spark, [
+        ("v", "a", "x", "2025", 0), ("v", "a", "x", "2025", 1), ("v", "a", "x", "2025", 2), ("v", "c", "x", "2025", 3),
+        ("v", "b", "y", "2024", 4), ("v", None, "x", "2025", 5), ("v", "x", None, "2025", 6), ("w", "a", "x", None, 0), ("w", "n", "x", None, 1), ("n", "a", "x", "2020", 0),
+    ])
+    once = M.merge_comments(old, new, equal_times="compare")
+    added = rows(once.where("is_new"), "video_key", "author", "text", "arrival_seq")
+    assert added == sorted([("v", "a", "x", 3), ("v", "c", "x", 4), ("v", None, "x", 5), ("v", "x", None, 6), ("w", "n", "x", 1), ("n", "a", "x", 0)], key=repr)
+    again = M.merge_comments(once.drop("is_new"), new, equal_times="compare")
+    assert again.where("is_new").count() == 0 and again.count() == once.count()

@@ -308,3 +308,24 @@ def test_pages_without_a_field(spark):
     frame = frame.select("video_id", F.transform("items", lambda i: F.struct(F.struct(F.struct(i["snippet"]["topLevelComment"].alias("snippet")).alias("topLevelComment")).alias("snippet"))).alias("items"))
     got = L.flatten_threads(L.thread_pages(frame)).collect()
     assert [(r["video_id"], r["author"], r["text"], r["like_count"]) for r in got] == [("v", "a", "t", None)]
+
+
+def test_stream_is_one_snapshot_with_equal_times(spark, tmp_path, rows):
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def run(name, comments):
+        (folder / name).write_text(json.dumps(comments))
+        ingest_stream(
+            spark, str(folder), target, str(tmp_path / "progress"), equal_times="compare",
+            pattern=r"([a-z]+)_\d+_comments\.json",
+        ).awaitTermination()
+        got = C.read_comments(spark, target)
+        return [(r["author"], r["arrival_seq"]) for r in got.orderBy("arrival_seq").collect()]
+
+    a, b, c, d = (comment(x, "x", at=t) for x, t in (("a", "2025"), ("b", "2025"), ("c", "2025"), ("d", "2026")))
+    assert run("film_1_comments.json", [a, a]) == [("a", 0), ("a", 1)]
+    assert run("film_2_comments.json", [a, b, a]) == [("a", 0), ("a", 1), ("b", 2)]
+    assert run("film_3_comments.json", [b, a, a, a, c]) == [("a", 0), ("a", 1), ("b", 2), ("a", 3), ("c", 4)]
+    assert run("film_4_comments.json", [d, c])[5:] == [("d", 5)]
+    assert run("film_5_comments.json", [d, c, d])[6:] == [("d", 6)]
