@@ -95,13 +95,16 @@ class PhraseGazetteer:
         found, types = self._matched(df, text)
         before = F.expr("transform(matches, (m, i) -> m.start - if(i = 0, 0, matches[i - 1].start + matches[i - 1].size))")
         end = F.expr("if(size(matches) = 0, 0, matches[size(matches) - 1].start + matches[size(matches) - 1].size)")
-        gaps = found.withColumns({"_gaps": before, "_types": F.transform("matches", lambda m: F.get(types, m["value"])), "_left": F.size("tokens") - end})
+        types_of = F.transform("matches", lambda m: F.get(types, m["value"]))
+        # Generators, so that no array is computed again for each element of another.
+        once = F.inline(F.array(F.struct(before.alias("_gaps"), types_of.alias("_types"), (F.size("tokens") - end).alias("_left"))))
+        gaps = found.select("*", once)
         parts = F.expr("transform(matches, (m, i) -> concat(array_repeat('O', _gaps[i]), array('B-' || _types[i]), array_repeat('I-' || _types[i], m.size - 1)))")
         ner = F.concat(F.flatten(parts), F.expr("array_repeat('O', _left)"))
-        written = F.explode(F.array(name_tokens(text))).alias("_written")
+        written = F.inline(F.array(F.struct(name_tokens(text).alias("_written"), ner.alias("ner"))))
         # Lower-casing can split a token of a rare letter; the tokens that were matched then stay.
         tokens = F.when(F.size("_written") == F.size("tokens"), F.col("_written")).otherwise(F.col("tokens"))
-        return gaps.select("*", ner.alias("ner"), written).select(*df.columns, tokens.alias("token"), "ner")
+        return gaps.select("*", written).select(*df.columns, tokens.alias("token"), "ner")
 
     def mentions(self, df: DataFrame, text: str) -> DataFrame:
         found, numbered = self._matched(df, text)

@@ -22,10 +22,11 @@ from reelgauge.functions import text as T
 from reelgauge.operators.entities import entity_mentions, name_tokens
 from reelgauge.session import stored
 
-BUCKETS, BLOCK = 1 << 18, 1 << 10
+BUCKETS, BLOCK = 1 << 16, 1 << 10
 TEMPLATES = 8
-#: Sentences between two updates of a shard's weights.
-BATCH = 16
+#: Training cuts token lists into sentences of about so many tokens, never inside an entity, and
+#: updates a shard's weights after so many sentences.
+SENTENCE, BATCH = 40, 8
 _WIDE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,6 +114,19 @@ class Weights:
         return viterbi(scores, lengths, self.values[b + n] + self.start_rule, self.values[b:b + n] + self.step_rule)
 
 
+def _sentences(rows: pd.DataFrame) -> list[tuple[list[str], list[str]]]:
+    out = []
+    for token, ner in zip(rows["token"], rows["ner"], strict=True):
+        low = 0
+        while low < len(token):
+            high = low + SENTENCE
+            while high < len(token) and ner[high].startswith("I-"):
+                high += 1
+            out.append((list(token[low:high]), list(ner[low:high])))
+            low = high
+    return out
+
+
 def _rows_of(found: np.ndarray, lengths: np.ndarray, tags: np.ndarray, buckets: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The cells of the weights that a tagging uses."""
     starts = (np.cumsum(lengths) - lengths)[lengths > 0]
@@ -143,11 +157,12 @@ def _epoch(tags: list[str], buckets: int, sent):
                     if weights is not None:
                         yield result()
                     shard, weights, later, steps = name, Weights(tags, buckets, first.copy()), np.zeros_like(first), 0
-                for low in range(0, len(rows), BATCH):
-                    some = rows.iloc[low:low + BATCH]
-                    lengths = some["token"].map(len).to_numpy()
-                    found = features([t for x in some["token"] for t in x], lengths, buckets)
-                    gold = np.array([number[t] for x in some["ner"] for t in x], np.int64)
+                sentences = _sentences(rows)
+                for low in range(0, len(sentences), BATCH):
+                    some = sentences[low:low + BATCH]
+                    lengths = np.array([len(x) for x, _ in some])
+                    found = features([t for x, _ in some for t in x], lengths, buckets)
+                    gold = np.array([number[t] for _, x in some for t in x], np.int64)
                     guess = weights.decode(found, lengths)
                     for chosen, sign in ((gold, 1.0), (guess, -1.0)):
                         cells = _rows_of(found, lengths, chosen, buckets, len(tags))
@@ -213,14 +228,14 @@ def load_tagger(spark: SparkSession, path: str) -> TrainedTagger:
 
 
 def train_tagger(
-    sentences: DataFrame, epochs: int = 3, shards: int = 16, buckets: int = BUCKETS
+    sentences: DataFrame, epochs: int = 5, shards: int = 8, buckets: int = BUCKETS
 ) -> TrainedTagger:
     """Train on rows of parallel ``token`` and ``ner`` arrays (BIO tags, NULL for ``O``).
 
     Rows go to shards by their content, so that a second training gives the same model. Sentences
     whose arrays differ in length, or whose tags break the BIO order, are left out.
     """
-    tagged = sentences.select("token", F.transform("ner", lambda t: F.coalesce(t, F.lit("O"))).alias("ner"))
+    tagged = sentences.select("token", F.explode(F.array(F.transform("ner", lambda t: F.coalesce(t, F.lit("O"))))).alias("ner"))
     tagged = tagged.where((F.size("token") == F.size("ner")) & (F.size("token") > 0))
     broken = F.expr("exists(sequence(0, size(ner) - 1), i -> ner[i] like 'I-%' and (i = 0 or substr(ner[i - 1], 3) <> substr(ner[i], 3) or ner[i - 1] = 'O'))")
     code = F.xxhash64("token", "ner")
