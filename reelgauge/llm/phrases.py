@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import blocks, saved, texts_of
 
 LEAST, LONGEST, TOP, COVERED = 10, 3, 2000, 50
-BUCKET_WORDS, HOT_SHARE, SAMPLE = 1 << 20, 1 << 17, 64
+BUCKET_WORDS, HOT_SHARE, SAMPLE = 1 << 18, 1 << 17, 64
 RANK_SALTS = 64
 
 _LOWER = np.arange(256, dtype=np.uint8)
