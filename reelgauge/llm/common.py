@@ -49,6 +49,36 @@ def unsigned(code: int) -> int:
     return code & 0xFFFFFFFF
 
 
+@cache
+def _c_library():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker is kept for later tasks, also of other stages."""
+    pa.default_memory_pool().release_unused()
+    if _c_library() is not None:
+        _c_library().malloc_trim(0)
+
+
+def smallest(rows: DataFrame, code: Column, n: int, by: list[str]) -> DataFrame:
+    """The ``n`` rows with the smallest codes (uniform longs), ties by the columns ``by``; of those
+    below a bound of the code, set by the number of rows, so that tasks do not send ``n`` each."""
+    total = rows.count()
+    share = (n + 8 * n**0.5) / max(total, 1)
+    while share < 1:
+        some = rows.where(code <= int(share * (1 << 64)) - (1 << 63))
+        if some.count() >= n:
+            return some.orderBy(code, *by).limit(n)
+        share *= 2
+    return rows.orderBy(code, *by).limit(n)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Arrow rows, cut so that a block's texts stay below ``limit`` bytes together, or hold one
     text. Blocks are copies: Arrow's ascii_lower goes wrong on slices that begin inside an array."""
@@ -62,6 +92,7 @@ def blocks(batches: Iterator[pa.RecordBatch], limit: int = BLOCK_BYTES) -> Itera
             total += size
         if first < len(sizes):
             yield batch.take(pa.array(np.arange(first, len(sizes)))) if first else batch
+    give_back()
 
 
 def texts_of(block: pa.RecordBatch) -> list[bytes]:
@@ -106,7 +137,7 @@ class ChunkEncoder:
     chunk's end is set apart, neither of which changes the library's ids.
     """
 
-    def __init__(self, path: str, limit: int = 1_000_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.library = tokenizer(path)
         self.limit = limit
         vocabulary = self.library.get_vocab()

@@ -34,4 +34,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         pairs = after
         if not roots and not one.where("n > 1").limit(1).count():
             break
+    else:
+        raise RuntimeError(f"components not settled after {rounds} rounds")
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -30,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, texts_of, upper_limit
+from reelgauge.operators.joins import join_lookup
+
+from .common import blocks, saved, texts_of, upper_limit
 
 DIMENSIONS = 1 << 14
 ORDERS = (2, 3)
@@ -238,9 +240,16 @@ def document_frequencies(rows: DataFrame) -> np.ndarray:
 def _sampled(rows: DataFrame, per_language: int, seed: int) -> DataFrame:
     """The rows of each language with the smallest hashes, found without reading texts."""
     rank = F.xxhash64("doc_id", F.lit(seed))
+    narrow = rows.select("lang", rank.alias("rank"))
+    # Ranks are uniform: few more rows than wanted lie below a bound by the number of rows, so that
+    # no task sees all ranks of a language.
+    share = F.lit(per_language + 8 * per_language**0.5) / F.count("*")
+    bound = F.when(share >= 1, F.lit((1 << 63) - 1)).otherwise(F.greatest((share * F.lit(2.0**64) - F.lit(2.0**63)).cast("long"), F.min("rank")))
+    bounds = narrow.groupBy(F.col("lang").alias("of")).agg(bound.alias("bound"))
+    few = join_lookup(narrow, bounds, F.col("lang") == F.col("of")).where("rank <= bound")
     first = Window.partitionBy("lang").orderBy("rank")
-    limits = rows.select("lang", rank.alias("rank")).withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("rank").alias("limit"))
-    return rows.withColumn("rank", rank).join(F.broadcast(limits), "lang").where("rank <= limit")  # a row for each language
+    limits = saved(few.select("lang", "rank").withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= per_language).groupBy("lang").agg(F.max("rank").alias("limit")), "sample-limits")
+    return join_lookup(rows.withColumn("rank", rank), limits, "lang").where("rank <= limit")
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 5) -> Model:

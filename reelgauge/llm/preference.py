@@ -68,16 +68,17 @@ def as_text(turns: DataFrame) -> DataFrame:
 
 
 def repeated_answer_pairs(conversations: DataFrame, role: str = "assistant") -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected sides from plain conversations (conv_id, turn, role, text): each up to
-    its last answer, and the same with the answer before in its place (empty if there is none). A
-    conversation without an answer is the same on both sides."""
+    """Chosen and rejected sides from plain conversations (conv_id, turn, role, text): each as it is,
+    and the same with the answer before in place of its last one (empty if there is none). Turns
+    after the last answer stay on both sides. A conversation without an answer is the same on
+    both."""
     turns = _turns(conversations.withColumnRenamed("conv_id", "pair_id"))
     answers = turns.where(F.col("role") == role)
     last = answers.groupBy(F.col("pair_id").alias("pair")).agg(F.max("turn").alias("last"))
     same = F.col("pair_id").eqNullSafe(F.col("pair"))
     earlier = answers.join(last, same).where("turn < last").groupBy(F.col("pair").alias("pair_2")).agg(F.max(F.struct("turn", "text")).alias("before"))
     known = last.join(earlier, F.col("pair").eqNullSafe(F.col("pair_2")), "left").select("pair", "last", F.coalesce("before.text", F.lit("")).alias("instead"))
-    chosen = turns.join(known, same, "left").where("last is null or turn <= last")
-    replaced = (F.col("turn") == F.col("last")) & (F.col("role") == role)
+    chosen = turns.join(known, same, "left")
+    replaced = F.coalesce((F.col("turn") == F.col("last")) & (F.col("role") == role), F.lit(False))
     rejected = chosen.withColumn("text", F.when(replaced, F.col("instead")).otherwise(F.col("text")))
     return chosen.select(*TURN), rejected.select(*TURN)

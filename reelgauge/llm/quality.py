@@ -1,9 +1,9 @@
 """Quality rules: an isolation forest over rule statistics, its threshold set by labelled rows.
 
-``rule_statistics`` reads every text once. ``fit_forest`` takes from the rows labelled 1 how far the
-shares of clean texts reach and grows trees by random splits on what a bounded sample exceeds that by;
-rows that few splits set apart are anomalous. ``calibrate`` places the threshold with all labelled
-rows. Only statistics, never texts, are stored or shuffled.
+``rule_statistics`` reads every text once. ``fit_forest`` measures the shares of a bounded sample in
+units of how far those of the rows labelled 1 reach, and grows trees by random splits on them; rows
+that few splits set apart are anomalous, by one rule or by several together. ``calibrate`` places the
+threshold with all labelled rows. Only statistics, never texts, are shuffled.
 
 Defined cases: a null or empty text has no words and fails the base rules; rows that repeat a
 doc_id are judged one by one; without labels of both kinds no row is rejected beyond the base rules;
@@ -21,8 +21,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import blocks, flat, saved, sums, texts_of, upper_limit
+from .common import blocks, flat, saved, smallest, sums, texts_of, upper_limit
 
 MIN_WORDS = 20
 REPEAT_SHARE = 30
@@ -140,6 +141,8 @@ def _shares(t: pd.DataFrame) -> np.ndarray:
 
 
 SHARES = 8
+#: The least unit of a share: a rule that no clean row breaks at all.
+LEAST_LIMIT = 1e-3
 
 
 def _known(labels: DataFrame) -> DataFrame:
@@ -164,9 +167,8 @@ def share_limits(statistics: DataFrame, labels: DataFrame, clean_loss: float) ->
 
 
 def _features(t: pd.DataFrame, limits: np.ndarray) -> np.ndarray:
-    """What each share has above its limit, ungraded. Below it clean texts are alike, so that what
-    isolates a row is a rule it breaks and not the chance of its words."""
-    return np.maximum(_shares(t) - limits, 0.0)
+    """The shares in units of how far those of clean rows reach, below as above that."""
+    return _shares(t) / np.maximum(limits, LEAST_LIMIT)
 
 
 def _expected_path(n: np.ndarray | float) -> np.ndarray:
@@ -178,7 +180,7 @@ def _expected_path(n: np.ndarray | float) -> np.ndarray:
 @dataclass(frozen=True)
 class Forest:
     """Trees as arrays: ``feature`` -1 marks a leaf, whose ``cut`` is its path length. ``limits`` are
-    those of the shares whose excess the trees see."""
+    the units of the shares that the trees see."""
 
     feature: np.ndarray
     cut: np.ndarray
@@ -201,7 +203,9 @@ class Forest:
 
 
 def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
-    """Isolation trees, each over its own draw of ``rows`` of x."""
+    """Isolation trees, each over its own draw of ``rows`` of x. A split takes a feature with a
+    chance in proportion to its extent, so that a row is set apart early by the features in which it
+    lies far from the others, and common rows are not by those in which all are alike."""
     random = np.random.default_rng(seed)
     rows = min(rows, len(x))
     deepest = int(np.ceil(np.log2(max(rows, 2))))
@@ -214,11 +218,11 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
         while todo:
             node, part, depth = todo.pop()
             low, high = part.min(0), part.max(0)
-            open_ = np.flatnonzero(high > low)
-            if depth == deepest or not len(open_):
+            extent = high - low
+            if depth == deepest or not extent.sum() > 0:
                 cut[tree, node] = depth + float(_expected_path(len(part)))
                 continue
-            f = random.choice(open_)
+            f = random.choice(len(extent), p=extent / extent.sum())
             at = random.uniform(low[f], high[f])
             at = high[f] if at <= low[f] else at
             feature[tree, node], cut[tree, node], left[tree, node], right[tree, node] = f, at, used, used + 1
@@ -227,21 +231,54 @@ def grow(x: np.ndarray, trees: int, rows: int, seed: int) -> Forest:
     return Forest(feature, cut, left, right, rows)
 
 
-def fit_forest(statistics: DataFrame, labels: DataFrame, trees: int = 100, rows: int = 256, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> Forest | None:
+def fit_forest(statistics: DataFrame, labels: DataFrame, trees: int = 200, rows: int = 64, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> Forest | None:
     """A forest from at most ``sample`` rows that pass the base rules: those with the smallest hash
     of doc_id. The bound belongs to the method, whose trees see ``rows`` rows each."""
-    picked = (
-        statistics.where(~F.col("base_failed"))
-        .orderBy(F.xxhash64("doc_id", F.lit(seed)), *_COUNTS)
-        .limit(sample)
-        .toPandas()
-    )
+    passing = statistics.where(~F.col("base_failed")).select("doc_id", *_COUNTS)
+    picked = smallest(passing, F.xxhash64("doc_id", F.lit(seed)), sample, _COUNTS).toPandas()
     if not len(picked):
         return None
     limits = share_limits(statistics, labels, clean_loss)
     return replace(grow(_features(picked, limits), trees, rows, seed), limits=limits)
 
 
+PREFIX = "_quality_"
+
+
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """All columns as they are, with the counts of each text in columns that begin with PREFIX."""
+
+    def per_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            found = statistics_of(texts_of(block))
+            columns = [*block.columns, *(pa.array(found[c], pa.int64()) for c in _COUNTS)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*block.schema.names, *(PREFIX + c for c in _COUNTS)])
+
+    fields = StructType([*docs.schema.fields, *(StructField(PREFIX + c, LongType()) for c in _COUNTS)])
+    return docs.mapInArrow(per_batch, fields)
+
+
+def statistics_in(rows: DataFrame) -> DataFrame:
+    """The narrow statistics of rows from ``with_statistics``."""
+    counts = {c: F.col(PREFIX + c) for c in _COUNTS}
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), *(c.alias(n) for n, c in counts.items()), fails(counts).alias("base_failed"))
+
+
+def passing(rows: DataFrame, forest: Forest | None, threshold: float) -> DataFrame:
+    """The rows from ``with_statistics`` that pass the base rules and whose score lies below the
+    threshold, without the counts. Texts do not leave the JVM."""
+    kept = rows.where(~fails({c: F.col(PREFIX + c) for c in _COUNTS}))
+    if forest is not None:
+
+        @F.pandas_udf("double")
+        def score(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+            for part in parts:
+                yield pd.Series(scored(forest, pd.DataFrame(dict(zip(_COUNTS, part, strict=True)))))
+
+        kept = kept.where(score(*(F.col(PREFIX + c) for c in _COUNTS)) < threshold)
+    return kept.drop(*(PREFIX + c for c in _COUNTS))
+
+
 def scored(forest: Forest, t: pd.DataFrame) -> np.ndarray:
     """Anomaly scores on a grid of 1/8192."""
     return np.round(forest.score(_features(t, forest.limits)) * 8192) / 8192
@@ -282,7 +319,7 @@ def calibrate(rated: DataFrame, labels: DataFrame, clean_loss: float = 0.002) ->
     return float(counts["anomaly"][allowed & (caught == caught[allowed].max())].iloc[0])
 
 
-def judged(docs: DataFrame, labels: DataFrame, trees: int = 100, rows: int = 256, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> DataFrame:
+def judged(docs: DataFrame, labels: DataFrame, trees: int = 200, rows: int = 64, sample: int = 16_384, clean_loss: float = 0.002, seed: int = 7) -> DataFrame:
     """doc_id, the statistics, base_failed, anomaly, kept: one row for each document."""
     statistics = saved(rule_statistics(docs), "rule-statistics")
     rated = saved(with_score(statistics, fit_forest(statistics, labels, trees, rows, sample, clean_loss, seed)), "rule-scores")

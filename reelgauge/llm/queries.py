@@ -162,8 +162,7 @@ known AS (
     coalesce((SELECT b.text FROM answers b WHERE b.pair_id IS NOT DISTINCT FROM a.pair_id AND b.turn < b.last ORDER BY b.turn DESC, b.text DESC LIMIT 1), '') AS instead
   FROM answers a GROUP BY a.pair_id),
 chosen AS (
-  SELECT t.*, k.last, k.instead FROM turns t LEFT JOIN known k ON t.pair_id IS NOT DISTINCT FROM k.pair_id
-  WHERE k.last IS NULL OR t.turn <= k.last),
+  SELECT t.*, k.last, k.instead FROM turns t LEFT JOIN known k ON t.pair_id IS NOT DISTINCT FROM k.pair_id),
 rejected AS (
   SELECT DISTINCT pair_id, turn, role, CASE WHEN turn = last AND role = 'assistant' THEN instead ELSE text END AS text FROM chosen),
 merged AS (

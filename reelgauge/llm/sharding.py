@@ -42,9 +42,15 @@ def _weight(total: int, rows: int) -> Column:
 
 
 def _sample(records: DataFrame, weight: Column, count: int, seed: int) -> pd.DataFrame:
-    """Keys drawn without replacement by weight: those whose exponential waiting times are least."""
+    """Keys drawn without replacement by weight: those whose exponential waiting times are least,
+    found among those below a time that about half more of them reach, so that tasks send few."""
     uniform = (F.shiftrightunsigned(F.xxhash64("key", "id", F.lit(seed)), 11).cast("double") + 1) / F.lit(float((1 << 53) + 1))
-    return records.select("key", "id", (-F.log(uniform) / weight).alias("wait")).orderBy("wait", "key", "id").limit(count).select("key", "id").toPandas()
+    waiting = records.select("key", "id", (-F.log(uniform) / weight).alias("wait"), weight.alias("weight"))
+    rows, mass = waiting.agg(F.count("*"), F.sum("weight")).first()
+    until = 1.5 * count / mass if rows else 0.0
+    while rows and waiting.where(F.col("wait") <= until).count() < min(count, rows):
+        until *= 2
+    return waiting.where(F.col("wait") <= until).orderBy("wait", "key", "id").limit(count).select("key", "id").toPandas()
 
 
 def _boundaries(sample: pd.DataFrame, ranges: int) -> pd.DataFrame:

@@ -12,8 +12,11 @@ are made when a text first needs them and kept for the worker's later tasks; bey
 the machine starts anew, which changes no result.
 
 Texts are cut into chunks that run side by side. A chunk that holds the beginning of a piece maps
-every state to the same one from there on; only its bytes before that depend on the chunk before.
-These maps are composed by a prefix scan over the chunks of each text.
+every state to the same one from there on; only its bytes before that depend on the chunk before. A
+chunk without one is a map of the states that can be live at its start: the end states of the chunk
+before, first taken as read from the initial state, until no new ones come up. Equal chunks share their
+map. The maps of such chunks are composed by a parallel prefix scan, in as many rounds as the
+logarithm of their number.
 
 Defined cases: null is the empty text with 0 tokens; a special token's string in a text counts as the
 library counts it, as one token that pieces do not cross; rows that repeat a doc_id are counted one
@@ -227,6 +230,42 @@ class Counter:
             owner = np.repeat(np.arange(len(texts)), [len(x) for x in split])
         return extra + np.bincount(owner, weights=self._plain(plain), minlength=len(texts)).astype(np.int64)
 
+    def _scanned(self, symbols: np.ndarray, low: np.ndarray, high: np.ndarray, state: int) -> tuple[list[int], list[int]]:
+        """States and counts after each of some neighbouring chunks without a beginning of a piece,
+        the first of which is entered in ``state``."""
+        index: dict[bytes, int] = {}
+        kind = [index.setdefault(symbols[a:b].tobytes(), len(index)) for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+        place = {k: i for i, k in reversed(list(enumerate(kind)))}
+        known: dict[tuple[int, int], tuple[int, int]] = {}
+
+        def learn(pairs: set[tuple[int, int]]) -> None:
+            new = sorted(pairs - known.keys())
+            if new:
+                rows = np.array([place[k] for k, _ in new])
+                reached, added = self.run(symbols, low[rows], high[rows], np.array([s for _, s in new], np.int64))
+                known.update(zip(new, zip(reached.tolist(), added.tolist(), strict=True), strict=True))
+
+        learn({(k, 0) for k in kind})
+        live = [{state}, *({known[k, 0][0]} for k in kind[:-1])]
+        open_ = [(i, s) for i, states in enumerate(live) for s in states]
+        while open_:
+            learn({(kind[i], s) for i, s in open_})
+            reached = {(i + 1, known[kind[i], s][0]) for i, s in open_ if i + 1 < len(kind)}
+            open_ = [(i, s) for i, s in reached if s not in live[i]]
+            for i, s in open_:
+                live[i].add(s)
+        maps = [{s: known[k, s] for s in states} for k, states in zip(kind, live, strict=True)]
+        apart = 1
+        while apart < len(maps):
+            maps = maps[:apart] + [
+                {s: (after[mid][0], n + after[mid][1]) for s, (mid, n) in before.items()}
+                for before, after in zip(maps, maps[apart:])
+            ]
+            apart *= 2
+        through = [m[state] for m in maps]
+        totals = [n for _, n in through]
+        return [s for s, _ in through], [b - a for a, b in zip([0, *totals], totals)]
+
     def _plain(self, texts: list[bytes]) -> np.ndarray:
         data, starts = flat(texts)
         lead = (data & 0xC0) != 0x80
@@ -247,16 +286,13 @@ class Counter:
         # A chunk's map: from `fixed` on it is constant; before, it continues the chunk before.
         symbols = data.astype(np.int16) + np.int16(256) * begin
         state, count = self.run(symbols, fixed, high, np.zeros(len(low), np.int64))
-        known = fixed < high
-        waiting = np.flatnonzero(fixed > low)
-        while len(waiting):  # one round, unless a piece is longer than a chunk
-            ready = waiting[known[waiting - 1]]
-            reached, more = self.run(symbols, low[ready], fixed[ready], state[ready - 1])
-            count[ready] += more
-            whole = fixed[ready] == high[ready]
-            state[ready[whole]] = reached[whole]
-            known[ready] = True
-            waiting = np.setdiff1d(waiting, ready, assume_unique=True)
+        whole = (fixed == high) & (nth > 0)
+        ends = np.flatnonzero(whole & ~np.append(whole[1:], False)) + 1
+        for first, end in zip(np.flatnonzero(whole & ~np.append(False, whole[:-1])).tolist(), ends.tolist(), strict=True):
+            state[first:end], count[first:end] = self._scanned(symbols, low[first:end], high[first:end], int(state[first - 1]))
+        ready = np.flatnonzero((fixed > low) & ~whole)
+        _, more = self.run(symbols, low[ready], fixed[ready], state[ready - 1])
+        count[ready] += more
         return sums(count, np.append(0, np.cumsum(per_text)))
 
 

@@ -6,9 +6,11 @@ far are non-essential: a row in none of the essential postings of products above
 The others are scored over the essential terms and probed term by term, the largest bound first, as
 long as their score plus the bounds still open reaches the k-th score.
 
-Candidates lie in blocks of bounded size, each a shard with its own bounds; the queries lie in blocks
-too, and every block of queries meets every shard once. A shard keeps its k best rows of each query,
-and these are merged.
+Candidates lie in shards of bounded size. A shard is traversed in blocks with bounds of their own, the
+rows of greatest length first; after each block the k-th score rises and the essential terms are
+found anew. A task takes its k-th scores from shard to shard, and begins with those of a first round
+over one shard. Queries come in groups of bounded size, each one pass over the shards; a task keeps
+the k best rows of each query, and these are merged.
 
 Defined cases: vectors null, or holding null or non-finite components, take no part; shorter vectors
 count as padded with zeros; repeated vec_ids are rows of their own, but a query's own vec_id is never
@@ -24,14 +26,17 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reelgauge.operators.joins import join_lookup
-
-from .common import saved
+from .common import give_back, saved
 
 SCALE = 1024
-SHARD_ROWS, QUERY_ROWS = 4096, 512
-#: Terms probed between two looks at the k-th score, and rows scored in full to begin with.
-STEP, FIRST = 8, 64
+SHARD_ROWS, BLOCK_ROWS = 4096, 512
+#: Bytes of query vectors that one pass over the shards takes, and shares in which the tasks' results
+#: are merged first.
+QUERY_BYTES, MERGE_SALTS = 16 << 20, 64
+#: Terms probed between two looks at the k-th score.
+STEP = 16
+
+_SHARD = "width int, ids binary, matrix binary"
 
 
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -41,89 +46,137 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     return usable.select("vec_id", F.transform("embedding", lambda x: F.floor(F.lit(float(scale)) * x)).alias("vector"))
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """width, ids, matrix: at most ``size`` vectors a row, in column order of 64-bit integers."""
+def _matrix(vectors: list[np.ndarray]) -> np.ndarray:
+    matrix = np.zeros((len(vectors), max(map(len, vectors), default=0)), "<i8")
+    for i, v in enumerate(vectors):
+        matrix[i, :len(v)] = v
+    return matrix
+
+
+def shards_of(rows: DataFrame, size: int = SHARD_ROWS) -> DataFrame:
+    """width, ids, matrix: at most ``size`` vectors a row, the longest first."""
 
     def per_batch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for at in range(0, len(part), size):
                 some = part.iloc[at:at + size]
-                width = max(map(len, some["vector"]))
-                matrix = np.zeros((len(some), width), "<i8")
-                for i, v in enumerate(some["vector"]):
-                    matrix[i, :len(v)] = v
-                yield pd.DataFrame({"width": [width], "ids": [some["vec_id"].to_numpy("<i8").tobytes()], "matrix": [matrix.tobytes()]})
+                matrix = _matrix(list(some["vector"]))
+                order = np.argsort(-np.square(matrix.astype(float)).sum(1), kind="stable")
+                yield pd.DataFrame({"width": [matrix.shape[1]], "ids": [some["vec_id"].to_numpy("<i8")[order].tobytes()], "matrix": [matrix[order].tobytes()]})
 
-    return rows.mapInPandas(per_batch, "width int, ids binary, matrix binary")
+    return saved(rows.mapInPandas(per_batch, _SHARD), "vector-shards")
 
 
-def max_score(query: np.ndarray, matrix: np.ndarray, high: np.ndarray, low: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and scores of the k best rows, ties to smaller ids. ``high`` and ``low`` are the
-    components' extremes over the rows, zero included."""
+class Best:
+    """The k best rows of each query so far, ties to smaller ids."""
+
+    def __init__(self, queries: int, k: int):
+        self.k = k
+        self.ids = [np.zeros(0, np.int64)] * queries
+        self.scores = [np.zeros(0, np.int64)] * queries
+
+    def least(self, query: int) -> int | None:
+        """The k-th score, None while there are fewer rows."""
+        scores = self.scores[query]
+        return int(scores[-1]) if len(scores) == self.k else None
 
-    def best(rows: np.ndarray, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.lexsort((ids[rows], -scores))[:k]
-        return rows[order], scores[order]
+    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
+        ids, scores = np.concatenate([self.ids[query], ids]), np.concatenate([self.scores[query], scores])
+        order = np.lexsort((ids, -scores))[:self.k]
+        self.ids[query], self.scores[query] = ids[order], scores[order]
 
-    rows, scores = best(np.arange(min(FIRST, len(matrix))), matrix[:FIRST] @ query)
-    if len(matrix) <= FIRST:
-        return rows, scores
+
+def max_score(query: np.ndarray, block: np.ndarray, high: np.ndarray, low: np.ndarray, least: float | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a block and their scores, all that reach ``least``. ``high`` and ``low`` are the
+    components' extremes over the rows, zero included."""
+    if least is None:
+        return np.arange(len(block)), block @ query
     bounds = np.maximum(query * high, query * low)
     terms = np.argsort(-bounds, kind="stable")
-    open_ = np.concatenate([np.cumsum(bounds[terms][::-1])[::-1], [0]])  # bound of the terms from i on
-    least = scores[-1] if len(scores) == k else None
-    essential = len(terms) if least is None else int(np.searchsorted(-open_, -least, "right"))
-    sign = np.sign(query)
-    left = np.arange(FIRST, len(matrix))
-    if least is not None and least > 0:
-        postings = (matrix[FIRST:, terms[:essential]] * sign[terms[:essential]] > 0).any(1)
-        left = left[postings]
-    score = np.zeros(len(left), np.int64)
-    at = 0
-    while at < len(terms):
-        step = essential if at == 0 and 0 < essential < len(terms) else STEP
-        some = terms[at:at + step]
-        score += matrix[np.ix_(left, some)] @ query[some]
+    open_ = np.append(np.cumsum(bounds[terms][::-1])[::-1], 0)  # bound of the terms from i on
+    if open_[0] < least:
+        return np.zeros(0, np.int64), np.zeros(0, block.dtype)
+    essential = int(np.searchsorted(-open_, -least, "right"))  # the rest stays below the k-th score
+    some = terms[:essential]
+    left = np.arange(len(block))
+    if least > 0 and essential < len(terms):
+        left = np.flatnonzero((block[:, some] * np.sign(query[some]) > 0).any(1))
+    score = block[np.ix_(left, some)] @ query[some]
+    at = len(some)
+    while True:
+        competitive = score + open_[at] >= least
+        left, score = left[competitive], score[competitive]
+        if at == len(terms) or not len(left):
+            return left, score
+        some = terms[at:at + STEP]
+        score = score + block[np.ix_(left, some)] @ query[some]
         at += len(some)
-        if least is not None:
-            competitive = score + open_[at] >= least
-            left, score = left[competitive], score[competitive]
-    return best(np.concatenate([rows, left]), np.concatenate([scores, score]))
 
 
-def _search(k: int):
+def _exact_type(a: np.ndarray, b: np.ndarray) -> type:
+    """Doubles hold all sums exactly where they stay below 2 ** 53, and are multiplied faster."""
+    most = int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
+    return np.float64 if most < 1 << 53 else np.int64
+
+
+def _search(query_ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarray | None = None):
+    """``known``: a k-th score for each query from an earlier round, the least integer if none."""
+
     def per_batch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best = Best(len(queries), k)
         for part in parts:
             for row in part.itertuples(index=False):
-                ids, queries = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.q_ids, "<i8")
-                width = max(row.width, row.q_width)
-                matrix = np.pad(np.frombuffer(row.matrix, "<i8").reshape(len(ids), row.width), ((0, 0), (0, width - row.width)))
-                wanted = np.pad(np.frombuffer(row.q_matrix, "<i8").reshape(len(queries), row.q_width), ((0, 0), (0, width - row.q_width)))
-                high, low = np.maximum(matrix.max(0), 0), np.minimum(matrix.min(0), 0)
-                found = []
-                for query_id, query in zip(queries, wanted, strict=True):
-                    others = ids != query_id
-                    if others.all():
-                        rows, scores = max_score(query, matrix, high, low, ids, k)
-                        found.append((np.full(len(rows), query_id), ids[rows], scores))
-                    else:
-                        rows, scores = max_score(query, matrix[others], high, low, ids[others], k)
-                        found.append((np.full(len(rows), query_id), ids[others][rows], scores))
-                query_id, vec_id, score = map(np.concatenate, zip(*found, strict=True))
-                yield pd.DataFrame({"q_row": row.q_block, "query_id": query_id, "vec_id": vec_id, "score": score})
+                ids = np.frombuffer(row.ids, "<i8")
+                matrix = np.frombuffer(row.matrix, "<i8").reshape(len(ids), row.width)
+                width = max(row.width, queries.shape[1])
+                kind = _exact_type(matrix, queries)
+                matrix = np.pad(matrix, ((0, 0), (0, width - row.width))).astype(kind)
+                wanted = np.pad(queries, ((0, 0), (0, width - queries.shape[1]))).astype(kind)
+                for at in range(0, len(ids), BLOCK_ROWS):
+                    block, some = matrix[at:at + BLOCK_ROWS], ids[at:at + BLOCK_ROWS]
+                    high, low = np.maximum(block.max(0, initial=0), 0), np.minimum(block.min(0, initial=0), 0)
+                    for i, query in enumerate(wanted):
+                        least = best.least(i)
+                        if known is not None and known[i] > np.iinfo(np.int64).min:
+                            least = known[i] if least is None else max(least, known[i])
+                        rows, scores = max_score(query, block, high, low, least)
+                        if len(rows):
+                            other = some[rows] != query_ids[i]
+                            best.add(i, some[rows][other], scores[other].astype(np.int64))
+        filled = [i for i, x in enumerate(best.ids) if len(x)]
+        if filled:
+            yield pd.DataFrame({"query_id": np.repeat(query_ids[filled], [len(best.ids[i]) for i in filled]), "vec_id": np.concatenate([best.ids[i] for i in filled]), "score": np.concatenate([best.scores[i] for i in filled])})
+        give_back()
 
     return per_batch
 
 
-def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10) -> DataFrame:
+_FOUND = "query_id long, vec_id long, score long"
+
+
+def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """query_id, rank, vec_id, score: both tables hold vec_id and vector (integers). Queries with
     the same vec_id are searched once."""
-    asked = saved(_blocks(queries.dropDuplicates(["vec_id"]), QUERY_ROWS), "query-blocks")
-    numbered = asked.select(F.col("width").alias("q_width"), F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix"), F.row_number().over(Window.orderBy(F.xxhash64("ids"))).alias("q_block"))
-    numbered = saved(numbered, "numbered-queries")
-    count = numbered.count()
-    shards = _blocks(vectors, SHARD_ROWS).withColumn("q_block", F.explode(F.sequence(F.lit(1), F.lit(count)))) if count else _blocks(vectors, SHARD_ROWS).withColumn("q_block", F.lit(0))
-    met = join_lookup(shards, numbered, "q_block")
-    found = met.mapInPandas(_search(k), "q_row int, query_id long, vec_id long, score long")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    spark = vectors.sparkSession
+    shards = shards_of(vectors)
+    asked = saved(queries.dropDuplicates(["vec_id"]), "queries")
+    passes = 1 + (asked.agg(F.sum(8 * F.size("vector") + 16)).first()[0] or 0) // query_bytes
+    found = None
+    for nth in range(passes):
+        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(passes)) == nth).collect()  # about query_bytes
+        if not rows:
+            continue
+        ids, matrix = np.array([r["vec_id"] for r in rows], np.int64), _matrix([np.array(r["vector"], np.int64) for r in rows])
+        # The first round: k-th scores from one shard, a row for each query.
+        first = shards.limit(1).mapInPandas(_search(ids, matrix, k), _FOUND).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
+        least = {r["query_id"]: r["least"] for r in first.where(F.col("n") == k).collect()}
+        known = np.array([least.get(i, np.iinfo(np.int64).min) for i in ids.tolist()], np.int64)
+        part = shards.mapInPandas(_search(ids, matrix, k, known), _FOUND)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    found = found.withColumn("salt", F.spark_partition_id() % MERGE_SALTS)
+    for group in (["query_id", "salt"], ["query_id"]):
+        rank = F.row_number().over(Window.partitionBy(*group).orderBy(F.desc("score"), "vec_id"))
+        found = found.withColumn("rank", rank).where(F.col("rank") <= k)
+    return found.select("query_id", "rank", "vec_id", "score")

@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from reelgauge.llm import language, mixing, near_dup, packing, preference, quality, sharding, token_count, token_file, top_k
 from reelgauge.llm.common import ChunkEncoder, tokenizer, upper_limit
@@ -232,3 +233,93 @@ def test_mixing(spark, corpus, empty):
     assert (abs(sums["taken"] / sums["target"] - 1) < 0.01).all()
     assert mixing.mixed(corpus).columns == corpus.columns
     assert mixing.copies(empty).count() == 0
+
+
+def test_forest_decides_on_combinations(spark):
+    """Rows that are a little high in several shares at once are rejected, rows as high in one stay."""
+    random = np.random.default_rng(9)
+
+    def row(i, symbols=0.0, upper=0.0, digits=0.0):
+        words = 200
+        chars = 1000
+        return (i, words, chars, int(symbols * chars), 0, 0, 20, int((0.015 + upper) * chars + random.integers(0, 3)), int((0.03 + digits) * chars + random.integers(0, 4)), 0, int(random.integers(0, 3)))
+
+    high = {"symbols": 0.02, "upper": 0.03, "digits": 0.04}
+    rows = [row(i, **({k: v * random.random() for k, v in high.items() if k == list(high)[i % 3]} if i % 4 == 0 else {})) for i in range(1200)]
+    odd = [row(5000 + i, **{k: v * 0.9 for k, v in high.items()}) for i in range(60)]
+    frame = spark.createDataFrame(rows + odd, "doc_id long, " + ", ".join(f"{c} long" for c in quality._COUNTS)).withColumn("base_failed", F.lit(False))
+    labels = spark.createDataFrame([(r[0], 1) for r in rows] + [(r[0], 0) for r in odd], "doc_id long, quality int")
+    forest = quality.fit_forest(frame, labels)
+    rated = quality.with_score(frame, forest)
+    threshold = quality.calibrate(rated, labels)
+    rejected = {r["doc_id"] for r in rated.where(F.col("anomaly") >= threshold).collect()}
+    t = frame.toPandas()
+    over = set(t["doc_id"][(quality._shares(t) > forest.limits).any(1)])
+    assert len({i for i in rejected if i >= 5000}) >= 50 and len({i for i in rejected if i < 5000}) <= 3
+    assert rejected != over and len({i for i in rejected if i >= 5000} - over) >= 40
+
+
+def test_all_turns_of_a_conversation_are_used(spark):
+    turns = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "q2"), (1, 3, "assistant", "b"), (1, 4, "user", "thanks"), (1, 4, "tool", "x"),
+             (2, 0, "user", "no answer"), (3, 0, "assistant", "one"), (3, 0, "assistant", "two"), (3, None, "user", None), (None, 0, "assistant", "n")]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    chosen, rejected = preference.repeated_answer_pairs(frame)
+    assert chosen.distinct().count() == len(turns)
+    got = preference.preference_turns(chosen, rejected).collect()
+    of = lambda pair, part: sorted((r["turn"], r["rendered"]) for r in got if r["pair_id"] == pair and r["part"] == part)
+    assert [t for t, _ in of(1, "prompt")] == [0, 1, 2]
+    assert of(1, "chosen") == [(3, "<|assistant|>\nb\n"), (4, "<|tool|>\nx\n"), (4, "<|user|>\nthanks\n")]
+    assert of(1, "rejected") == [(3, "<|assistant|>\na\n"), (4, "<|tool|>\nx\n"), (4, "<|user|>\nthanks\n")]
+    assert of(2, "prompt") == [(0, "<|user|>\nno answer\n")] and not of(2, "chosen")
+    assert len(of(3, "chosen")) == 3 and [r for _, r in of(3, "rejected")] == ["<|assistant|>\n\n", "<|user|>\n\n"]
+    assert of(None, "rejected") == [(0, "<|assistant|>\n\n")]
+    for pair in (1, 3, None):
+        both = of(pair, "prompt") + of(pair, "chosen")
+        assert len(both) == len({t for t in turns if t[0] == pair})
+
+
+def test_long_runs_without_a_boundary():
+    import base64
+    import time
+
+    machine = token_count.counter(BYTE_BPE)
+    library = tokenizer(BYTE_BPE)
+    random = np.random.default_rng(1)
+    texts = ["a" * 5000, "ab" * 4000 + " end", "x" + base64.b64encode(random.bytes(9000)).decode().replace("/", "").replace("+", ""), "aab" * 3000 + "漢" * 2000, " " * 3000 + "a" * 513, "a" * 512, "a" * 1024, "a" * 1025]
+    texts += ["".join(random.choice(list("abcde"), 6000)), "".join(random.choice(list("th"), 4000))]
+    assert list(machine.counts([t.encode() for t in texts])) == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    start = time.perf_counter()
+    machine.counts([b"a" * 1_000_000])
+    assert time.perf_counter() - start < 4
+
+
+def test_components_must_settle(spark):
+    from reelgauge.llm.components import components
+
+    chain = spark.range(40).selectExpr("id AS a", "id + 1 AS b")
+    assert {r["component"] for r in components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(chain, rounds=1)
+
+
+def test_running_threshold_keeps_all_results():
+    random = np.random.default_rng(6)
+    block = random.integers(-20, 20, (300, 24))
+    block[random.random(block.shape) < 0.6] = 0
+    for query in random.integers(-20, 20, (20, 24)):
+        scores = block @ query
+        high, low = np.maximum(block.max(0), 0), np.minimum(block.min(0), 0)
+        for least in (None, int(np.sort(scores)[-10]), int(np.sort(scores)[-10]) + 1, -500, 10**6):
+            rows, found = top_k.max_score(query, block, high, low, least)
+            want = {i: s for i, s in enumerate(scores) if least is None or s >= least}
+            got = dict(zip(rows.tolist(), found.tolist()))
+            assert all(got.get(i) == s for i, s in want.items()) and all(scores[i] == s for i, s in got.items())
+
+
+def test_samples_are_the_smallest_codes(spark):
+    from reelgauge.llm.common import smallest
+
+    frame = spark.range(5000).select("id", F.xxhash64("id").alias("code"))
+    want = sorted((r["code"], r["id"]) for r in frame.collect())
+    for n in (10, 700, 6000):
+        assert [tuple(r)[::-1] for r in smallest(frame, F.col("code"), n, ["id"]).collect()] == want[:n]
