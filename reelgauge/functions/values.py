@@ -44,6 +44,15 @@ def iso_time(value: Column) -> Column:
     return F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
 
 
+def iso_width(value: Column | str) -> Column:
+    """ISO text with six digits of a second and a final Z, whatever fraction it has; text shorter
+    than a full second stays as it is."""
+    c = F.col(value) if isinstance(value, str) else value
+    fraction = F.rpad(F.substring(F.regexp_extract(c, r"^.{19}\.([0-9]+)", 1), 1, 6), 6, "0")
+    whole = F.concat(F.substring(c, 1, 19), F.lit("."), fraction, F.lit("Z"))
+    return F.when(F.length(c) >= 19, whole).otherwise(c)
+
+
 def run_id(moment: Column) -> Column:
     return F.date_format(moment, "yyyyMMdd_HHmmss")
 

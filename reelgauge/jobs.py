@@ -4,6 +4,7 @@
     jobs.py merge     --threads DIR --selected DIR --comments DIR --run-id ID [--previous ID]
     jobs.py convert   --landing DIR --comments DIR --run-id ID
     jobs.py ingest    --landing DIR --comments DIR --progress DIR --run-id ID
+    jobs.py retain    --comments DIR --run-id ID [--keep N]
     jobs.py sentiment --comments DIR --out DIR --run-id ID [--lexicon PARQUET]
     jobs.py entities  --comments DIR --out DIR --run-id ID [--gazetteer PARQUET | --model DIR]
     jobs.py topics    --comments DIR --out DIR --run-id ID
@@ -100,6 +101,10 @@ def ingest(spark: SparkSession, a: argparse.Namespace) -> None:
     ).awaitTermination()
 
 
+def retain(spark: SparkSession, a: argparse.Namespace) -> None:
+    C.drop_older(spark, a.comments, a.keep)
+
+
 def _write(report: DataFrame, a: argparse.Namespace, kind: str, **header) -> None:
     head = W.report_header(report, run_time(a.run_id), **header)
     W.write_report(report, head, f"{a.out}/{kind}_analysis_{a.run_id}")
@@ -125,8 +130,11 @@ def entities(spark: SparkSession, a: argparse.Namespace) -> None:
 def topics(spark: SparkSession, a: argparse.Namespace) -> None:
     comments = comments_of(spark, a)
     tokens = with_tokens(comments).select("video_key", "arrival_seq", "tokens")
-    model = fit_video_topics(stored(tokens, "tokens"), seed=a.seed)
+    rows = stored(tokens, "tokens")
+    model = fit_video_topics(rows, seed=a.seed)
     _write(reports.topic_report(comments, model.topics(), model.metrics()), a, "topic")
+    left = model.skipped(comments, rows)
+    left.write.mode("overwrite").options(**W.JSON_OPTIONS).json(f"{a.out}/topic_skipped_{a.run_id}")
 
 
 def board(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -144,6 +152,7 @@ JOBS = {
     "merge": (merge, ["threads", "selected", "comments"]),
     "convert": (convert, ["landing", "comments"]),
     "ingest": (ingest, ["landing", "comments", "progress"]),
+    "retain": (retain, ["comments"]),
     "sentiment": (sentiment, ["comments", "out"]),
     "entities": (entities, ["comments", "out"]),
     "topics": (topics, ["comments", "out"]),
@@ -162,6 +171,8 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         if name == "select":
             job.add_argument("--days", type=int, default=PERIOD_DAYS)
             job.add_argument("--top", type=int, default=TOP_VIDEOS)
+        elif name == "retain":
+            job.add_argument("--keep", type=int, default=1)
         elif name == "merge":
             job.add_argument("--previous")
             job.add_argument("--fresh", action="store_true")

@@ -18,8 +18,8 @@ KEY, SEQ = "video_key", "arrival_seq"
 # Typed patterns; alternatives must not use capture groups or anchors.
 PATTERNS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "IP": r"\b(?:[0-9]{1,3}\.){3}[0-9]{1,3}\b",
-    "PHONE": r"\+1 \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
+    "IP": r"\b(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])\b",
+    "PHONE": r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-][0-9]{2,4}){2,3}\b",
 }
 
 

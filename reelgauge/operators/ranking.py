@@ -45,6 +45,47 @@ def index_page(df: DataFrame, start: int, size: int, name: str = "row_index") ->
     return df.where((F.col(name) >= start) & (F.col(name) < start + size))
 
 
+def block_index(
+    df: DataFrame, key: str = "video_key", seq: str = "arrival_seq", block_bits: int = BLOCK_BITS
+) -> DataFrame:
+    """A small index for ``indexed_page``: of each video's blocks of sequence numbers the rows and
+    the index of the first. One row for each block; store it beside the comments."""
+    counted = df.groupBy(key, F.shiftright(seq, block_bits).alias("block")).agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy(key).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumn("first_index", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+
+
+def indexed_page(
+    df: DataFrame,
+    index: DataFrame,
+    video: str,
+    start: int,
+    size: int,
+    key: str = "video_key",
+    seq: str = "arrival_seq",
+    name: str = "row_index",
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """The rows of one video whose index lies in ``[start, start + size)``, found by its block index.
+
+    Only the blocks of the page are read and numbered: the range of their sequence numbers reaches
+    the scan, where it prunes files and row groups of comments that are sorted by video and number.
+    """
+    inside = (F.col(key) == video) & (F.col("first_index") < start + size) & (F.col("first_index") + F.col("n") > start)
+    met = index.where(inside).agg(F.min("block"), F.max("block"), F.min("first_index")).first()
+    if met[0] is None:
+        return df.withColumn(name, F.lit(0).cast("bigint")).limit(0)
+    low, high, first = met
+    rows = df.where((F.col(key) == video) & (F.col(seq) >= low << block_bits) & (F.col(seq) < (high + 1) << block_bits))
+    shift = index.where((F.col(key) == video) & F.col("block").between(low, high)).select("block", "first_index")
+    blocks = rows.withColumn("_block", F.shiftright(seq, block_bits))
+    inside_block = Window.partitionBy("_block").orderBy(seq)
+    ranked = blocks.withColumn("_rank", F.row_number().over(inside_block))
+    placed = join_lookup(ranked, shift.withColumnRenamed("block", "_block"), "_block")
+    numbered = placed.withColumn(name, F.col("first_index") + F.col("_rank") - 1).select(*df.columns, name)
+    return index_page(numbered, start, size, name)
+
+
 def newest_first(df: DataFrame, time: str = "published_at", seq: str = "arrival_seq") -> DataFrame:
     """Comments by publish time, newest first; equal times go by arrival."""
     return df.orderBy(F.desc_nulls_last(time), F.asc(seq))

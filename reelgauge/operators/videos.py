@@ -15,7 +15,7 @@ from reelgauge.functions.fixed import (
     STUDIOS,
     TOP_VIDEOS,
 )
-from reelgauge.functions.values import days_before, text_or_empty
+from reelgauge.functions.values import days_before, iso_width, text_or_empty
 
 
 def allowed_publishers(
@@ -28,8 +28,9 @@ def allowed_publishers(
 def published_within(
     videos: DataFrame, as_of: Column, days: int = PERIOD_DAYS, column: str = "published_at"
 ) -> DataFrame:
-    """Published after ``as_of`` less ``days``; both are ISO text."""
-    return videos.where(F.col(column) > days_before(as_of, days))
+    """Published after ``as_of`` less ``days``; both are ISO text, brought to one width, as times
+    with and without fractions of a second do not compare as text."""
+    return videos.where(iso_width(column) > iso_width(days_before(as_of, days)))
 
 
 def matching_phrases(

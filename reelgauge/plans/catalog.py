@@ -18,6 +18,7 @@ from reelgauge.functions import values as N
 from reelgauge.operators import entities as E
 from reelgauge.operators import leaderboard as B
 from reelgauge.operators import tagger as TG
+from reelgauge.operators.coherence import topic_coherence as coherence
 from reelgauge.operators import merge as M
 from reelgauge.operators import ranking as R
 from reelgauge.operators import sentiment as S
@@ -27,11 +28,13 @@ from reelgauge.operators import topics as G
 from reelgauge.operators import video_topics as VT
 from reelgauge.operators import videos as V
 from reelgauge.plans import reports
+from reelgauge.plans.collection import collect_videos
 from reelgauge.schemas import THREAD_PAGE, VIDEO_PAGE
 from reelgauge.session import scratch_dir, spread, stored
 from reelgauge.sources import comments as C
 from reelgauge.sources import landing as L
-from reelgauge.sources.reports import report_lines
+from reelgauge.sources import metadata as D
+from reelgauge.sources.reports import report_header, report_lines
 from reelgauge.streaming.ingest import ingest_stream, stored_comments
 
 # Words of the driver's texts, chosen to exercise the operators.
@@ -56,6 +59,7 @@ BRANDS = ["Brand#2", "Brand#4", "Brand#9", "Brand#12", "Brand#17", "Brand#23"]
 PRIORITY_PHRASES = ["urgent", "high", "not spec", "low"]
 AS_OF = "2001-08-02 00:00:00"
 BLANKS, DIGITS = re.compile(r"[ \t\n\r]+"), re.compile(r"[0-9]+")
+PAGE_VIDEO, PAGE, PAGE_BITS = "src1", (20, 30), 6
 OLD_END, NEW_START = "2024-01-16", "2024-01-15"
 MERGE_CAP, NEWEST_CAP = 25, 40
 
@@ -464,6 +468,76 @@ def row_index(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def index_page_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """A page of a stored video, found by its stored block index."""
+    folder, video = scratch_dir(spark, "paged"), PAGE_VIDEO
+    rows = document_comments(spark, sf).select(
+        F.lit(None).cast("string").alias("author"), "text", F.length("text").alias("like_count"),
+        F.lit("").alias("published_at"), "video_key", F.lit("20240201_000000").alias("snapshot"), "arrival_seq",
+    )
+    C.write_comments(rows, f"{folder}/comments")
+    kept_rows = C.read_comments(spark, f"{folder}/comments")
+    index = stored(R.block_index(kept_rows, block_bits=PAGE_BITS), "block-index")
+    page = R.indexed_page(kept_rows, index, video, *PAGE, block_bits=PAGE_BITS)
+    return page.select("video_key", "row_index", "arrival_seq", "like_count")
+
+
+def comment_folders(spark: SparkSession, sf: str) -> DataFrame:
+    """One Parquet folder for each video, as the old layout has them, read as one table."""
+    folder = scratch_dir(spark, "folders")
+    rows = conversation_comments(spark, sf).select(
+        F.lit("a").alias("author"), "text", F.length("text").alias("like_count"), F.lit("2024").alias("published_at"),
+        F.concat(F.pmod(F.col("video_key").cast("bigint"), F.lit(16)).cast("string"), F.lit("_comments.parquet")).alias("f"),
+    )
+    rows.write.partitionBy("f").parquet(f"{folder}/20240201_000000")
+    read = C.read_comment_folders(spark, folder, r"f=([^/]+)_comments\.parquet")
+    return read.groupBy("video_key").agg(
+        F.count("*").alias("total_comments"), F.countDistinct("arrival_seq").alias("numbers"),
+        F.sum("like_count").alias("likes"),
+    )
+
+
+def video_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Selected videos written by two runs and read back: the latest run's."""
+    folder = scratch_dir(spark, "metadata")
+    videos = part_videos(spark, sf).withColumns(
+        {"published_at": F.lit("2024-01-01T00:00:00Z"), "comment_count": F.lit(0).cast("bigint"), "video_url": T.watch_url("video_id")}
+    )
+    D.write_videos(videos, folder, "20240101_000000", "last_90_days")
+    D.write_videos(videos.where("like_count >= 25"), folder, "20240201_000000", "last_90_days")
+    return D.read_videos(spark, folder).select("video_id", "title", "view_count", "like_count", "video_url", "channel_title")
+
+
+def collected_videos(spark: SparkSession, sf: str) -> DataFrame:
+    """From search and detail pages to the selected videos of the period."""
+    pages = video_pages(spark, sf)
+    found = pages.select("page_seq", F.expr("transform(items, i -> named_struct('id', named_struct('videoId', i.id)))").alias("items"))
+    day = F.when(F.col("item.id").cast("bigint") % 4 == 0, "2023-01-01").otherwise("2024-01-01")
+    dated = pages.select("page_seq", F.posexplode("items").alias("n", "item")).withColumn(
+        "item", F.col("item").withField("snippet.publishedAt", F.concat(day, F.lit("T00:00:00Z")))
+    )
+    details = dated.groupBy("page_seq").agg(F.array_sort(F.collect_list(F.struct("n", "item"))).alias("i"))
+    details = details.select("page_seq", F.col("i.item").alias("items"))
+    chosen = collect_videos(
+        found, details, F.to_timestamp_ntz(F.lit("2024-03-01 00:00:00")), 90, 20, allowed=BRANDS, phrases=["ring", "hot"]
+    )
+    return chosen.select("video_id", "title", "channel_title", "view_count")
+
+
+def report_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """The head of a report: its time, its number of videos, its parameters."""
+    counts = S.sentiment_counts(labelled_documents(spark, sf))
+    head = report_header(counts, F.lit("2024-02-01 10:00:00").cast("timestamp_ntz"), parameters={"batch_size": 100})
+    return head.select("analysis_timestamp", "total_videos_analyzed", F.col("analysis_parameters.batch_size").alias("batch_size"))
+
+
+def empty_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Comments with text, where short ones are NULL, empty or blank."""
+    short = F.when(F.length("text") % 3 == 0, F.lit(None).cast("string")).when(F.length("text") % 3 == 1, F.lit("")).otherwise(F.lit("  "))
+    rows = document_comments(spark, sf).withColumn("text", F.when(F.length("text") < 400, short).otherwise(F.col("text")))
+    return rows.where(T.has_text("text")).groupBy("video_key").agg(F.count("*").alias("with_text"), F.count_if(F.col("text") == "  ").alias("blank"))
+
+
 def row_index_page(spark: SparkSession, sf: str) -> DataFrame:
     return R.index_page(row_index(spark, sf), 10, 20)
 
@@ -595,6 +669,10 @@ def _token_rows(spark: SparkSession, sf: str) -> DataFrame:
     return stored(rows.select("video_key", "arrival_seq", "tokens"), "tokens")
 
 
+def _mixed_token_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return K.with_tokens(document_comments(spark, sf)).select("video_key", "arrival_seq", "tokens")
+
+
 def topics_by_key(spark: SparkSession, sf: str) -> DataFrame:
     model = VT.fit_video_topics(_token_rows(spark, sf))
     topics = G.topic_summary(model.topics())
@@ -615,6 +693,15 @@ def topic_words(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def topic_coherence(spark: SparkSession, sf: str) -> DataFrame:
+    """Coherence of two word lists of each video, its most frequent terms and the next."""
+    rows = stored(_mixed_token_rows(spark, sf), "tokens")
+    vocab = stored(K.vocabulary(rows, "video_key").where("rank <= 10"), "vocabulary")
+    topic = F.floor((F.col("rank") - 1) / 5).cast("int")
+    topics = vocab.groupBy("video_key", topic.alias("topic")).agg(F.collect_list("term").alias("words"))
+    return coherence(rows, topics).withColumn("coherence", F.round("coherence", 6))
+
+
 def topics_skipped(spark: SparkSession, sf: str) -> DataFrame:
     """Conversations as videos: most are too short for a term in five comments."""
     comments = conversation_comments(spark, sf)
@@ -748,12 +835,13 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         raw_thread_pages,
         failed_fetches,
         high_water_mark, incremental_merge, merge_counts, merge_current_only, merge_dropped,
-        merge_failed_dropped, merge_at_mark, newest_cap, newest_comments, row_index, row_index_page, latest_snapshot,
+        merge_failed_dropped, merge_at_mark, newest_cap, newest_comments, row_index, row_index_page, index_page_lookup,
+        comment_folders, video_metadata, collected_videos, report_totals, empty_texts, latest_snapshot,
         pinned_snapshot, keep_latest,
         clean_tokens, shrunk_text, vocabulary, vocabulary_by_video, vocabulary_size,
         entity_pattern, entity_gazetteer, entity_phrases, entity_trained, bio_flatten, entity_frequency, top_entities,
         entities_by_type, entity_totals, entity_hook,
-        topics_by_key, topics_global, topic_words, topics_skipped, single_video,
+        topics_by_key, topics_global, topic_words, topic_coherence, topics_skipped, single_video,
         leaderboard, leaderboard_search, report_json, entity_report_json, topic_report_json,
         video_totals, time_labels, json_roundtrip, ingest_in_two_runs, ingest_then_read,
     ]

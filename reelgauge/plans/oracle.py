@@ -15,6 +15,8 @@ from reelgauge.plans.catalog import (
     NEW_START,
     NEWEST_CAP,
     OLD_END,
+    PAGE,
+    PAGE_VIDEO,
     PHRASE_POLARITY,
     PHRASES,
     POSITIVE,
@@ -310,6 +312,49 @@ SELECT {MERGED} FROM e ORDER BY published_at DESC, arrival_seq LIMIT 100""",
     "row_index": f"""WITH e AS ({EVENTS})
 SELECT video_key, arrival_seq,
   row_number() OVER (PARTITION BY video_key ORDER BY arrival_seq) - 1 AS row_index FROM e""",
+    "index_page_lookup": f"""SELECT source AS video_key, doc_id AS arrival_seq, length(text)::INTEGER AS like_count,
+  row_number() OVER (ORDER BY doc_id) - 1 AS row_index FROM documents WHERE source = '{PAGE_VIDEO}'
+QUALIFY row_index >= {PAGE[0]} AND row_index < {sum(PAGE)}""",
+    "comment_folders": """SELECT (conv_id % 16)::VARCHAR AS video_key, count(*) AS total_comments, count(*) AS numbers,
+  sum(length(text))::BIGINT AS likes FROM conversations GROUP BY 1""",
+    "video_metadata": f"""SELECT p_partkey::VARCHAR AS video_id, p_name AS title, floor(p_retailprice)::BIGINT AS view_count,
+  p_size::BIGINT AS like_count, '{WATCH_URL}' || p_partkey AS video_url, p_brand AS channel_title
+FROM part WHERE p_size >= 25""",
+    "collected_videos": f"""WITH p AS (
+  SELECT p_partkey::VARCHAR AS video_id, lower(p_name) AS title, p_brand AS channel_title,
+    floor(p_retailprice)::BIGINT AS view_count, p_partkey,
+    min(p_partkey) OVER (PARTITION BY lower(p_name)) AS first_seen,
+    row_number() OVER (PARTITION BY lower(p_name) ORDER BY floor(p_retailprice) DESC, p_partkey) AS r
+  FROM part WHERE p_brand IN {_list(BRANDS)} AND p_partkey % 4 <> 0
+    AND (contains(lower(p_name), 'ring') OR contains(lower(p_name), 'hot')))
+SELECT video_id, title, channel_title, view_count FROM p WHERE r = 1 ORDER BY view_count DESC, first_seen LIMIT 20""",
+    "report_totals": """SELECT '2024-02-01 10:00:00' AS analysis_timestamp,
+  count(DISTINCT source) AS total_videos_analyzed, 100::INTEGER AS batch_size FROM documents""",
+    "empty_texts": """WITH t AS (
+  SELECT source AS video_key, CASE WHEN length(text) >= 400 THEN text WHEN length(text) % 3 = 0 THEN NULL
+    WHEN length(text) % 3 = 1 THEN '' ELSE '  ' END AS text FROM documents)
+SELECT video_key, count(*) AS with_text, count_if(text = '  ')::BIGINT AS blank FROM t WHERE text <> '' GROUP BY 1""",
+    "topic_coherence": f"""WITH v AS ({_vocabulary("video_key")}),
+w AS (SELECT video_key, ((rank - 1) // 5)::INTEGER AS topic, term FROM v WHERE rank <= 10),
+{_tokens(DOCUMENTS)},
+d AS (SELECT video_key, arrival_seq, list_distinct(tokens) AS t FROM tokens WHERE len(tokens) > 0),
+n AS (SELECT video_key, count(*) AS n FROM d GROUP BY 1),
+flat AS (SELECT video_key, arrival_seq, unnest(t) AS term FROM d),
+held AS (SELECT * FROM flat SEMI JOIN w USING (video_key, term)),
+one AS (SELECT video_key, term, count(*) AS n FROM held GROUP BY ALL),
+two AS (
+  SELECT x.video_key, x.term AS a, y.term AS b, count(*) AS n FROM held x JOIN held y
+    ON x.video_key = y.video_key AND x.arrival_seq = y.arrival_seq AND x.term < y.term GROUP BY ALL),
+pairs AS (
+  SELECT x.video_key, x.topic, x.term AS a, y.term AS b FROM w x JOIN w y
+    ON x.video_key = y.video_key AND x.topic = y.topic AND x.term < y.term),
+rated AS (
+  SELECT p.video_key, p.topic, CASE WHEN two.n IS NULL THEN -1.0::DOUBLE WHEN two.n = n.n THEN 1.0::DOUBLE
+    ELSE ln((two.n * n.n)::DOUBLE / (x.n * y.n)) / -ln(two.n::DOUBLE / n.n) END AS npmi
+  FROM pairs p JOIN n USING (video_key) JOIN one x ON x.video_key = p.video_key AND x.term = p.a
+    JOIN one y ON y.video_key = p.video_key AND y.term = p.b
+    LEFT JOIN two ON two.video_key = p.video_key AND two.a = p.a AND two.b = p.b)
+SELECT video_key, topic, round(avg(npmi), 6) AS coherence, count(*) AS pairs FROM rated GROUP BY ALL""",
     "row_index_page": f"""WITH e AS ({EVENTS})
 SELECT video_key, arrival_seq,
   row_number() OVER (PARTITION BY video_key ORDER BY arrival_seq) - 1 AS row_index FROM e

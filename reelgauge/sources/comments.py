@@ -141,6 +141,21 @@ def earlier_comments(spark: SparkSession, root: str, before: str) -> DataFrame:
     return latest_snapshot(rows.where(F.col("snapshot") < before))
 
 
+def drop_older(spark: SparkSession, root: str, keep: int = 1) -> list[str]:
+    """Delete the snapshot folders below ``root`` but for the newest ``keep``; their names. Only
+    folders named ``snapshot=...`` are touched."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(
+        x.getPath().getName() for x in files.listStatus(path)
+        if x.isDirectory() and x.getPath().getName().startswith("snapshot=")
+    )
+    gone = found[: max(len(found) - keep, 0)] if keep > 0 else []
+    for name in gone:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(path, name), True)
+    return [name.removeprefix("snapshot=") for name in gone]
+
+
 def of_video(comments: DataFrame, video: str) -> DataFrame:
     """One video; the filter reaches the Parquet scan."""
     return comments.where(F.col("video_key") == video)
