@@ -26,7 +26,7 @@ from reelgauge.functions.fixed import (
 )
 from reelgauge.operators.joins import join_lookup, measured_bytes
 from reelgauge.operators.tokens import skipped_videos, vocabulary
-from reelgauge.session import stored
+from reelgauge.session import scratch_dir, stored
 
 KEY, SEQ = "video_key", "arrival_seq"
 
@@ -109,9 +109,16 @@ def term_vectors(rows: DataFrame, vocab: DataFrame, tokens: str = "tokens") -> D
 
     def count(batches):
         for batch in batches:
-            pairs = [np.unique(ids, return_counts=True) for ids in batch.pop("ids")]
-            batch["ids"] = [p[0].astype(int) for p in pairs]
-            batch["counts"] = [p[1].astype(float) for p in pairs]
+            lists = batch.pop("ids")
+            if not len(lists):
+                continue
+            ids = np.concatenate(lists.to_list()).astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), lists.map(len))
+            width = int(ids.max(initial=0)) + 1
+            pairs, counts = np.unique(row * width + ids, return_counts=True)
+            cuts = np.searchsorted(pairs // width, np.arange(1, len(lists)))
+            batch["ids"] = np.split(pairs % width, cuts)
+            batch["counts"] = np.split(counts.astype(float), cuts)
             yield batch
 
     schema = f"{KEY} string, {SEQ} bigint, ids array<int>, counts array<double>"
@@ -241,6 +248,23 @@ def _chance(seed: int, step: int) -> Column:
     return bits / F.lit(float(1 << 53))
 
 
+def _draws(vectors: DataFrame, least: DataFrame, steps: int, rate: float, seed: int) -> DataFrame:
+    """The comments of all steps from one pass over the vectors, stored by ``_step``. Videos of
+    which the rate draws nothing in a step give the comment with the smallest number."""
+    every = F.array(*[
+        F.struct(F.lit(step).alias("step"), _chance(seed, step).alias("chance"), F.col(f"least_{step}").alias("least"))
+        for step in range(steps)
+    ])
+    taken = F.filter(every, lambda x: (x["chance"] < rate) | ((x["least"] >= rate) & (x["chance"] == x["least"])))
+    numbers = least.select(KEY, *[f"least_{step}" for step in range(steps)])
+    drawn = join_lookup(vectors, numbers, KEY).select(
+        *vectors.columns, F.explode(F.transform(taken, lambda x: x["step"])).alias("_step")
+    )
+    folder = scratch_dir(vectors.sparkSession, "drawn")
+    drawn.write.partitionBy("_step").parquet(folder)
+    return vectors.sparkSession.read.schema(drawn.schema).parquet(folder)
+
+
 def fit_video_topics(
     rows: DataFrame,
     tokens: str = "tokens",
@@ -261,11 +285,9 @@ def fit_video_topics(
     size = measured_bytes(models)  # the same in every step
     drawn = [F.min(_chance(seed, step)).alias(f"least_{step}") for step in range(max_iter)]
     least = stored(vectors.groupBy(KEY).agg(F.count("*").alias("vectors"), *drawn), "draws")
+    draws = _draws(vectors, least, max_iter, rate, seed)
     for step in range(max_iter):
-        # Videos of which the rate draws nothing give the comment with the smallest number.
-        chance, none = _chance(seed, step), F.col(f"least_{step}") >= rate
-        first = least.where(none).select(KEY, F.col(f"least_{step}").alias("least"))
-        sampled = join_lookup(vectors, first, KEY, "left").where((chance < rate) | (chance == F.col("least"))).drop("least")
+        sampled = draws.where(F.col("_step") == step).drop("_step")
         stats = _statistics(_with_model(sampled, models, k, size), k)
         models = stored(_updated(models, stats, k, rate), "topics")
     return VideoTopics(models, vocab, vectors, k)

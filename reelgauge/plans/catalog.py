@@ -34,6 +34,7 @@ from reelgauge.session import scratch_dir, spread, stored
 from reelgauge.sources import comments as C
 from reelgauge.sources import landing as L
 from reelgauge.sources import metadata as D
+from reelgauge.sources import parts as PT
 from reelgauge.sources.reports import report_header, report_lines
 from reelgauge.streaming.ingest import ingest_stream, stored_comments
 
@@ -794,6 +795,17 @@ def merge_at_mark(spark: SparkSession, sf: str) -> DataFrame:
     return twice.select(*MERGED, "is_new")
 
 
+def snapshot_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three runs that write additions only, the second without some videos: the latest snapshot."""
+    root = scratch_dir(spark, "parts")
+    rows = event_comments(spark, sf)
+    steps = [("20240101_000000", F.col("published_at") < NEW_START), ("20240102_000000", F.col("published_at").between(NEW_START, OLD_END)), ("20240103_000000", F.col("published_at") > OLD_END)]
+    for i, (run, condition) in enumerate(steps):
+        gone = listed_videos(spark, sf) if i == 1 else None
+        PT.add_snapshot(spark, root, run, rows.where(condition), gone, compact_share=2.0 if i < 2 else 0.2)
+    return PT.read_snapshot(spark, root).select("snapshot", *MERGED)
+
+
 def ingest_then_read(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the stream with ids of their own, the first file landed again, read as one
     snapshot."""
@@ -843,6 +855,6 @@ CATALOG: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         entities_by_type, entity_totals, entity_hook,
         topics_by_key, topics_global, topic_words, topic_coherence, topics_skipped, single_video,
         leaderboard, leaderboard_search, report_json, entity_report_json, topic_report_json,
-        video_totals, time_labels, json_roundtrip, ingest_in_two_runs, ingest_then_read,
+        video_totals, time_labels, json_roundtrip, ingest_in_two_runs, ingest_then_read, snapshot_parts,
     ]
 }

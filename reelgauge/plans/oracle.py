@@ -504,6 +504,9 @@ fresh AS (
     USING (video_key, author, text) WHERE nth > coalesce(n, 0)),
 {_merged("SELECT * FROM old_rows", "SELECT * FROM fresh")}
 SELECT * REPLACE (false AS is_new) FROM merged""",
+    "snapshot_parts": f"""WITH e AS ({EVENTS})
+SELECT '20240103_000000' AS snapshot, {MERGED} FROM e
+WHERE published_at >= '{NEW_START}' OR video_key NOT IN (SELECT video_key FROM e WHERE like_count >= 200)""",
     "ingest_then_read": DAYS.replace("'20240201_000000'", "'current'") + " FROM events",
     "ingest_in_two_runs": f"""{DAYS},
   (strftime(ts, '%Y%m%d') >= '20240116')::BIGINT AS batch_id FROM events""",

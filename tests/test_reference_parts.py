@@ -13,6 +13,7 @@ from reelgauge.operators.coherence import topic_coherence
 from reelgauge.operators.videos import published_within
 from reelgauge.schemas import COMMENT_ROW
 from reelgauge.sources import comments as C
+from reelgauge.sources import parts as PT
 
 
 def test_pages_by_block_index(spark, tmp_path):
@@ -76,3 +77,35 @@ def test_coherence_by_enumeration(spark):
     found = {(r["video_key"], r["topic"]): (r["coherence"], r["pairs"]) for r in got}
     assert found.keys() == want.keys()
     assert all(math.isclose(found[k][0], want[k][0], abs_tol=1e-9) and found[k][1] == want[k][1] for k in want)
+
+
+def test_runs_write_their_additions_only(spark, tmp_path):
+    root = str(tmp_path / "c")
+
+    def rows(first, n, video="v"):
+        return spark.createDataFrame([("a", f"text {i} " * 20, 0, "", f"{video}{i % 7}", "s", i) for i in range(first, first + n)], COMMENT_ROW)
+
+    def size():
+        return sum(p.stat().st_size for p in (tmp_path / "c" / "parts").rglob("*.parquet"))
+
+    def numbers(snapshot=None):
+        got = PT.read_snapshot(spark, root, snapshot)
+        assert got.columns == COMMENT_ROW.names
+        return sorted(r["arrival_seq"] for r in got.collect())
+
+    assert PT.previous_snapshot(spark, root, "r1").count() == 0
+    PT.add_snapshot(spark, root, "r1", rows(0, 20_000))
+    whole = size()
+    PT.add_snapshot(spark, root, "r2", rows(20_000, 200))
+    assert size() - whole < 0.05 * whole
+    assert numbers() == list(range(20_200)) and numbers("r1") == list(range(20_000))
+    assert PT.previous_snapshot(spark, root, "r2").count() == 20_000
+    (tmp_path / "c" / "parts" / "unfinished").mkdir()  # a part that no commit names
+    dropped = spark.createDataFrame([("v3",)], "video_key string")
+    PT.add_snapshot(spark, root, "r3", rows(20_200, 10), dropped)
+    assert numbers() == [i for i in range(20_200) if i % 7 != 3] + list(range(20_200, 20_210))
+    PT.add_snapshot(spark, root, "r4", rows(20_210, 1), compact_share=0.0)  # compacts
+    assert PT.commits(spark, root).where("snapshot = 'r4'").count() == 1
+    assert numbers() == [*numbers("r3"), 20_210]
+    PT.add_snapshot(spark, root, "r4", rows(20_210, 2))  # the run again
+    assert numbers() == [*numbers("r3"), 20_210, 20_211]
