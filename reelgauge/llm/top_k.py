@@ -33,8 +33,10 @@ SHARD_ROWS, BLOCK_ROWS = 4096, 512
 #: Bytes of query vectors that one pass over the shards takes, and shares in which the tasks' results
 #: are merged first.
 QUERY_BYTES, MERGE_SALTS = 16 << 20, 64
-#: Terms probed between two looks at the k-th score.
-STEP = 16
+#: Terms probed between two looks at the k-th score, and queries that traverse a block together.
+STEP, QUERY_ROWS = 8, 512
+#: The k-th score of a query with fewer rows.
+NONE = np.iinfo(np.int64).min
 
 _SHARD = "width int, ids binary, matrix binary"
 
@@ -68,49 +70,62 @@ def shards_of(rows: DataFrame, size: int = SHARD_ROWS) -> DataFrame:
 
 
 class Best:
-    """The k best rows of each query so far, ties to smaller ids."""
+    """The k best rows of each query so far by query, the best first, ties to smaller ids."""
 
     def __init__(self, queries: int, k: int):
-        self.k = k
-        self.ids = [np.zeros(0, np.int64)] * queries
-        self.scores = [np.zeros(0, np.int64)] * queries
-
-    def least(self, query: int) -> int | None:
-        """The k-th score, None while there are fewer rows."""
-        scores = self.scores[query]
-        return int(scores[-1]) if len(scores) == self.k else None
-
-    def add(self, query: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        ids, scores = np.concatenate([self.ids[query], ids]), np.concatenate([self.scores[query], scores])
-        order = np.lexsort((ids, -scores))[:self.k]
-        self.ids[query], self.scores[query] = ids[order], scores[order]
-
-
-def max_score(query: np.ndarray, block: np.ndarray, high: np.ndarray, low: np.ndarray, least: float | None) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of a block and their scores, all that reach ``least``. ``high`` and ``low`` are the
-    components' extremes over the rows, zero included."""
-    if least is None:
-        return np.arange(len(block)), block @ query
-    bounds = np.maximum(query * high, query * low)
-    terms = np.argsort(-bounds, kind="stable")
-    open_ = np.append(np.cumsum(bounds[terms][::-1])[::-1], 0)  # bound of the terms from i on
-    if open_[0] < least:
-        return np.zeros(0, np.int64), np.zeros(0, block.dtype)
-    essential = int(np.searchsorted(-open_, -least, "right"))  # the rest stays below the k-th score
-    some = terms[:essential]
-    left = np.arange(len(block))
-    if least > 0 and essential < len(terms):
-        left = np.flatnonzero((block[:, some] * np.sign(query[some]) > 0).any(1))
-    score = block[np.ix_(left, some)] @ query[some]
-    at = len(some)
-    while True:
-        competitive = score + open_[at] >= least
-        left, score = left[competitive], score[competitive]
-        if at == len(terms) or not len(left):
-            return left, score
-        some = terms[at:at + STEP]
-        score = score + block[np.ix_(left, some)] @ query[some]
-        at += len(some)
+        self.queries, self.k = queries, k
+        self.query = self.ids = self.scores = np.zeros(0, np.int64)
+
+    def least(self) -> np.ndarray:
+        """The k-th score of each query, NONE where there are fewer rows."""
+        counts = np.bincount(self.query, minlength=self.queries)
+        least = np.full(self.queries, NONE)
+        least[counts == self.k] = self.scores[np.cumsum(counts)[counts == self.k] - 1]
+        return least
+
+    def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        query, ids, scores = (np.concatenate(x) for x in ((self.query, query), (self.ids, ids), (self.scores, scores)))
+        order = np.lexsort((ids, -scores, query))
+        query = query[order]
+        first = np.arange(len(query)) - np.searchsorted(query, query) < self.k
+        self.query, self.ids, self.scores = query[first], ids[order[first]], scores[order[first]]
+
+
+def traverse(queries: np.ndarray, block: np.ndarray, high: np.ndarray, low: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, row, score) of all rows of a block that reach their query's ``least``, which is NONE
+    where all do. ``high`` and ``low`` are the components' extremes over the rows, zero included.
+
+    All queries traverse their essential terms in one product, the other terms' values set to zero;
+    the rows still competitive are probed in the rest, each query's own terms in its own order.
+    """
+    bounds = np.maximum(queries * high, queries * low)
+    terms = np.argsort(-bounds, axis=1, kind="stable")
+    width = terms.shape[1]
+    open_ = np.zeros((len(queries), width + 1), bounds.dtype)  # bound of the terms from i on
+    open_[:, :-1] = np.cumsum(np.take_along_axis(bounds, terms, 1)[:, ::-1], 1)[:, ::-1]
+    # The terms from ``essential`` on stay below the k-th score together.
+    essential = np.minimum((open_ >= least[:, None]).sum(1), width)
+    rank = np.empty_like(terms)
+    np.put_along_axis(rank, terms, np.arange(width)[None, :], 1)
+    score = np.where(rank < essential[:, None], queries, 0) @ block.T
+    query, row = np.nonzero(score + open_[np.arange(len(queries)), essential][:, None] >= least[:, None])
+    score, at = score[query, row], essential[query]
+    # Terms beyond the last one are a component of zeros.
+    terms = np.pad(terms, ((0, 0), (0, STEP)), constant_values=width)
+    queries, block = np.pad(queries, ((0, 0), (0, 1))), np.pad(block, ((0, 0), (0, 1)))
+    while (at < width).any():
+        some = terms[query[:, None], np.minimum(at, width)[:, None] + np.arange(STEP)]
+        score = score + (queries[query[:, None], some] * block[row[:, None], some]).sum(1)
+        at = np.minimum(at + STEP, width)
+        competitive = score + open_[query, at] >= least[query]
+        query, row, score, at = query[competitive], row[competitive], score[competitive], at[competitive]
+    return query, row, score
+
+
+def max_score(query: np.ndarray, block: np.ndarray, high: np.ndarray, low: np.ndarray, least: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a block and their scores for one query, all that reach ``least``."""
+    _, rows, scores = traverse(query[None, :], block, high, low, np.array([NONE if least is None else least]))
+    return rows, scores
 
 
 def _exact_type(a: np.ndarray, b: np.ndarray) -> type:
@@ -120,10 +135,12 @@ def _exact_type(a: np.ndarray, b: np.ndarray) -> type:
 
 
 def _search(query_ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarray | None = None):
-    """``known``: a k-th score for each query from an earlier round, the least integer if none."""
+    """``known``: a k-th score for each query from an earlier round, NONE if there is none."""
+    known = np.full(len(queries), NONE) if known is None else known
+    groups = [(at, min(at + QUERY_ROWS, len(queries))) for at in range(0, len(queries), QUERY_ROWS)]
 
     def per_batch(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = Best(len(queries), k)
+        best = [Best(end - begin, k) for begin, end in groups]
         for part in parts:
             for row in part.itertuples(index=False):
                 ids = np.frombuffer(row.ids, "<i8")
@@ -134,18 +151,16 @@ def _search(query_ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarra
                 wanted = np.pad(queries, ((0, 0), (0, width - queries.shape[1]))).astype(kind)
                 for at in range(0, len(ids), BLOCK_ROWS):
                     block, some = matrix[at:at + BLOCK_ROWS], ids[at:at + BLOCK_ROWS]
-                    high, low = np.maximum(block.max(0, initial=0), 0), np.minimum(block.min(0, initial=0), 0)
-                    for i, query in enumerate(wanted):
-                        least = best.least(i)
-                        if known is not None and known[i] > np.iinfo(np.int64).min:
-                            least = known[i] if least is None else max(least, known[i])
-                        rows, scores = max_score(query, block, high, low, least)
-                        if len(rows):
-                            other = some[rows] != query_ids[i]
-                            best.add(i, some[rows][other], scores[other].astype(np.int64))
-        filled = [i for i, x in enumerate(best.ids) if len(x)]
-        if filled:
-            yield pd.DataFrame({"query_id": np.repeat(query_ids[filled], [len(best.ids[i]) for i in filled]), "vec_id": np.concatenate([best.ids[i] for i in filled]), "score": np.concatenate([best.scores[i] for i in filled])})
+                    high, low = block.max(0, initial=0), block.min(0, initial=0)
+                    for group, (begin, end) in zip(best, groups, strict=True):
+                        least = np.maximum(group.least(), known[begin:end])
+                        query, rows, scores = traverse(wanted[begin:end], block, high, low, least)
+                        other = some[rows] != query_ids[begin:end][query]
+                        if other.any():
+                            group.add(query[other], some[rows[other]], scores[other].astype(np.int64))
+        for group, (begin, end) in zip(best, groups, strict=True):
+            if len(group.ids):
+                yield pd.DataFrame({"query_id": query_ids[begin:end][group.query], "vec_id": group.ids, "score": group.scores})
         give_back()
 
     return per_batch
@@ -170,7 +185,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, query_bytes: int
         # The first round: k-th scores from one shard, a row for each query.
         first = shards.limit(1).mapInPandas(_search(ids, matrix, k), _FOUND).groupBy("query_id").agg(F.count("*").alias("n"), F.min("score").alias("least"))
         least = {r["query_id"]: r["least"] for r in first.where(F.col("n") == k).collect()}
-        known = np.array([least.get(i, np.iinfo(np.int64).min) for i in ids.tolist()], np.int64)
+        known = np.array([least.get(i, NONE) for i in ids.tolist()], np.int64)
         part = shards.mapInPandas(_search(ids, matrix, k, known), _FOUND)
         found = part if found is None else found.unionByName(part)
     if found is None:

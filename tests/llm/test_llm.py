@@ -316,6 +316,26 @@ def test_running_threshold_keeps_all_results():
             assert all(got.get(i) == s for i, s in want.items()) and all(scores[i] == s for i, s in got.items())
 
 
+def test_queries_traverse_a_block_together():
+    random = np.random.default_rng(7)
+    block = random.integers(-20, 20, (200, 21))
+    block[random.random(block.shape) < 0.5] = 0
+    queries = random.integers(-20, 20, (40, 21))
+    scores = queries @ block.T
+    least = np.sort(scores, 1)[:, -5] + random.integers(-300, 3, 40)
+    least[:5], least[5] = top_k.NONE, 10**6
+    query, row, found = top_k.traverse(queries, block, np.maximum(block.max(0), 0), np.minimum(block.min(0), 0), least)
+    assert set(zip(query.tolist(), row.tolist(), found.tolist())) == {(q, i, s) for q, line in enumerate(scores.tolist()) for i, s in enumerate(line) if s >= least[q]}
+    best = top_k.Best(40, 10)
+    for part in np.array_split(np.arange(len(query)), 7):
+        best.add(query[part], row[part], found[part])
+    for q in range(40):
+        want = sorted((-s, i) for i, s in enumerate(scores[q].tolist()) if s >= least[q])[:10]
+        here = best.query == q
+        assert list(zip((-best.scores[here]).tolist(), best.ids[here].tolist())) == want
+        assert best.least()[q] == (-want[-1][0] if len(want) == 10 else top_k.NONE)
+
+
 def test_samples_are_the_smallest_codes(spark):
     from reelgauge.llm.common import smallest
 
