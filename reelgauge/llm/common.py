@@ -12,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelgauge.session import give_back
+
 #: Bytes of text that a task handles at once; one longer text makes a block of its own.
 BLOCK_BYTES = 4 << 20
 
@@ -49,23 +51,6 @@ def unsigned(code: int) -> int:
     return code & 0xFFFFFFFF
 
 
-@cache
-def _c_library():
-    import ctypes
-
-    try:
-        return ctypes.CDLL("libc.so.6")
-    except OSError:
-        return None
-
-
-def give_back() -> None:
-    """Return freed memory to the system; a worker is kept for later tasks, also of other stages."""
-    pa.default_memory_pool().release_unused()
-    if _c_library() is not None:
-        _c_library().malloc_trim(0)
-
-
 def smallest(rows: DataFrame, code: Column, n: int, by: list[str]) -> DataFrame:
     """The ``n`` rows with the smallest codes (uniform longs), ties by the columns ``by``; of those
     below a bound of the code, set by the number of rows, so that tasks do not send ``n`` each."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,10 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions.automaton import TokenAutomaton
 from reelgauge.operators.joins import BROADCAST_BYTES, join_lookup, kept, measured_bytes
+from reelgauge.session import give_back
 
+#: Tokens that a task looks up at once; one longer list makes a block of its own.
+BLOCK_TOKENS = 1 << 18
 MATCHES = "array<struct<start:int,size:int,value:int>>"
 _MATCH = pa.list_(pa.struct([("start", pa.int32()), ("size", pa.int32()), ("value", pa.int32())]))
 
@@ -27,6 +31,43 @@ def _automaton(name: str, phrases) -> TokenAutomaton:
     return _built[name]
 
 
+def list_blocks(columns: pa.RecordBatch | list[pa.Array], by: int | str, limit: int) -> Iterator:
+    """The rows of a batch or of parallel arrays in copies whose lists ``by`` hold at most ``limit``
+    elements together; one longer list makes a block of its own."""
+    sizes = pc.fill_null(pc.list_value_length(columns.column(by) if isinstance(columns, pa.RecordBatch) else columns[by]), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    low = 0
+    while low < len(sizes):
+        before = int(ends[low - 1]) if low else 0
+        high = max(low + 1, int(np.searchsorted(ends, before + limit, "right")))
+        rows = pa.array(np.arange(low, high))
+        yield columns.take(rows) if isinstance(columns, pa.RecordBatch) else [x.take(rows) for x in columns]
+        low = high
+
+
+def _found(automaton: TokenAutomaton, known: pa.Array, lists: pa.Array) -> pa.Array:
+    """The matches of each token list. Only runs of tokens that the dictionary has become Python
+    lists: no match goes beyond such a run."""
+    tokens = lists.flatten()
+    hit = np.flatnonzero(pc.is_in(tokens, value_set=known).to_numpy(zero_copy_only=False))
+    offsets = lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()
+    row = np.searchsorted(offsets, hit, "right") - 1
+    words = tokens.take(pa.array(hit)).to_pylist()
+    cut = [*np.flatnonzero((np.diff(hit, prepend=-2) != 1) | (np.diff(row, prepend=-1) != 0)).tolist(), len(words)]
+    start, size, value = [], [], []
+    for a, b in zip(cut, cut[1:]):
+        for s, n, v in automaton.matches(words[a:b]):
+            start.append(a + s)
+            size.append(n)
+            value.append(v)
+    at = np.array(start, np.int64)
+    count = np.bincount(row[at], minlength=len(lists))
+    place = hit[at] - offsets[row[at]]
+    columns = [pa.array(place.astype(np.int32)), pa.array(size, pa.int32()), pa.array(value, pa.int32())]
+    ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(columns, fields=list(_MATCH.value_type)))
+
+
 def _inline(df: DataFrame, phrases: list[tuple[list[str], int]], tokens: Column) -> DataFrame:
     sent, name = df.sparkSession.sparkContext.broadcast(phrases), uuid.uuid4().hex
 
@@ -34,14 +75,9 @@ def _inline(df: DataFrame, phrases: list[tuple[list[str], int]], tokens: Column)
         automaton = _automaton(name, sent)
         known = pa.array(sorted({t for words, _ in sent.value for t in words}), pa.string())
         for batch in batches:
-            batch = batch.cast(pa.list_(pa.string()))
-            # Rows without any token of the dictionary never become Python lists.
-            hit = pc.is_in(batch.flatten(), value_set=known)
-            rows = pc.unique(pc.list_parent_indices(batch).filter(hit)).to_pylist()
-            found: list[list[tuple[int, int, int]]] = [[] for _ in range(len(batch))]
-            for row, words in zip(rows, batch.take(pa.array(rows, pa.int64())).to_pylist(), strict=True):
-                found[row] = automaton.matches(words)
-            yield pa.array([[{"start": s, "size": n, "value": v} for s, n, v in x] for x in found], _MATCH)
+            for (lists,) in list_blocks([batch.cast(pa.list_(pa.string()))], 0, BLOCK_TOKENS):
+                yield _found(automaton, known, lists)
+        give_back()
 
     return df.withColumn("matches", F.arrow_udf(find, MATCHES)(tokens))
 

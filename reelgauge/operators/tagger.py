@@ -10,23 +10,30 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelgauge.functions import text as T
 from reelgauge.operators.entities import entity_mentions, name_tokens
-from reelgauge.session import stored
+from reelgauge.operators.joins import kept
+from reelgauge.operators.phrases import list_blocks
+from reelgauge.session import give_back, stored
 
 BUCKETS, BLOCK = 1 << 16, 1 << 10
 TEMPLATES = 8
 #: Training cuts token lists into sentences of about so many tokens, never inside an entity, and
 #: updates a shard's weights after so many sentences.
 SENTENCE, BATCH = 40, 8
+#: Tokens that a task holds with their features at once (one longer text makes a block of its own),
+#: distinct tokens whose codes a worker keeps, and the most updates' sentences decoded ahead.
+BLOCK_TOKENS, KEPT_CODES, AHEAD = 1 << 17, 100_000, 64
 _WIDE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -40,13 +47,31 @@ def _code(text: str) -> int:
     return zlib.crc32(text.encode("utf-8", "surrogatepass")) + 1
 
 
-def features(tokens: list[str], lengths: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
+@cache
+def _kept_codes() -> dict[str, tuple[int, int, int, int]]:
+    return {}
+
+
+def _codes(names: list[str]) -> np.ndarray:
+    """Codes of word, shape, ending and beginning of each token. A worker keeps them; the table is
+    emptied when it is full, which changes no result."""
+    known = _kept_codes()
+    if len(known) > KEPT_CODES:
+        known.clear()
+    for x in names:
+        if x not in known:
+            low = x.lower()
+            known[x] = _code(low), _code(shape(x)), _code(x[-3:].lower()), _code(x[:2].lower())
+    return np.array([known[x] for x in names], np.uint64).reshape(-1, 4)
+
+
+def features(tokens: Sequence[str] | pa.Array, lengths: np.ndarray, buckets: int = BUCKETS) -> np.ndarray:
     """Buckets of the features of each token (token x template); ``lengths`` are those of the
     sentences, which lie end to end."""
-    if not tokens:
+    if not len(tokens):
         return np.zeros((0, TEMPLATES), np.int64)
-    names, rows = np.unique(np.array(tokens, object), return_inverse=True)
-    word, form, tail, head = (np.array([_code(f(x)) for x in names], np.uint64)[rows] for f in (str.lower, shape, lambda x: x[-3:].lower(), lambda x: x[:2].lower()))
+    coded = (tokens if isinstance(tokens, pa.Array) else pa.array(tokens, pa.string())).dictionary_encode()
+    word, form, tail, head = np.ascontiguousarray(_codes(coded.dictionary.to_pylist()).T)[:, coded.indices.to_numpy(zero_copy_only=False)]
     ends = np.cumsum(lengths)
     first, last = np.zeros(len(tokens), bool), np.zeros(len(tokens), bool)
     filled = lengths > 0
@@ -110,23 +135,52 @@ class Weights:
 
     def decode(self, found: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         n, b = len(self.tags), self.buckets
-        scores = self.values[found].sum(1)
+        scores = np.zeros((len(found), n))
+        for i in range(found.shape[1]):
+            scores += self.values[found[:, i]]
         return viterbi(scores, lengths, self.values[b + n] + self.start_rule, self.values[b:b + n] + self.step_rule)
 
 
-def _sentences(rows: pd.DataFrame) -> list[tuple[list[str], list[str]]]:
-    out = []
-    for token, ner in zip(rows["token"], rows["ner"], strict=True):
-        low = 0
-        while low < len(token):
-            high = low + SENTENCE
-            while high < len(token) and ner[high].startswith("I-"):
-                high += 1
-            out.append((list(token[low:high]), list(ner[low:high])))
-            low = high
+def _sentence_lengths(gold: list[str]) -> list[int]:
+    """The lengths of the sentences that a list of tags is cut into."""
+    out, low = [], 0
+    while low < len(gold):
+        high = low + SENTENCE
+        while high < len(gold) and gold[high].startswith("I-"):
+            high += 1
+        out.append(min(high, len(gold)) - low)
+        low = high
     return out
 
 
+def _prepared(buckets: int):
+    """Each token list as its sentences' lengths, the buckets of their features and the numbers of
+    their tags in ``names``, so that no epoch looks at a token again."""
+    wide = np.dtype(np.uint16 if buckets <= 1 << 16 else np.uint32)
+
+    def per_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in list_blocks(batch, "token", BLOCK_TOKENS):
+                lists = block.column("token")
+                sizes = np.diff(lists.offsets.to_numpy())
+                coded = block.column("ner").flatten().dictionary_encode()
+                names, tags = coded.dictionary.to_pylist(), coded.indices.to_numpy(zero_copy_only=False)
+                ends = np.cumsum(sizes)
+                rows = [tags[e - n:e] for e, n in zip(ends, sizes, strict=True)]
+                lengths = [np.array(_sentence_lengths([names[i] for i in x.tolist()]), np.int32) for x in rows]
+                found = features(lists.flatten(), np.concatenate(lengths).astype(np.int64), buckets).astype(wide)
+                used, gold = [], []
+                for x in rows:
+                    some, number = np.unique(x, return_inverse=True)
+                    used.append([names[i] for i in some])
+                    gold.append(number.astype(np.uint16).tobytes())
+                columns = [pa.array([x.tobytes() for x in lengths], pa.binary()), pa.array([found[e - n:e].tobytes() for e, n in zip(ends, sizes, strict=True)], pa.binary()), pa.array(gold, pa.binary()), pa.array(used, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([block.column("shard"), block.column("_order"), *columns], names=["shard", "_order", "lengths", "found", "gold", "names"])
+        give_back()
+
+    return per_task
+
+
 def _rows_of(found: np.ndarray, lengths: np.ndarray, tags: np.ndarray, buckets: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """The cells of the weights that a tagging uses."""
     starts = (np.cumsum(lengths) - lengths)[lengths > 0]
@@ -135,42 +189,87 @@ def _rows_of(found: np.ndarray, lengths: np.ndarray, tags: np.ndarray, buckets:
     return np.concatenate([found.ravel(), before]), np.concatenate([np.repeat(tags, TEMPLATES), tags])
 
 
+class _Shard:
+    """The running weights of one shard. An update follows each ``BATCH`` sentences, but sentences
+    are decoded ahead: up to the first wrong update all guesses are those of the weights that it
+    would have met, and the guesses after it are dropped."""
+
+    def __init__(self, tags: list[str], buckets: int, first: np.ndarray):
+        self.weights, self.first = Weights(tags, buckets, first.copy()), first
+        self.later, self.steps, self.ahead = np.zeros_like(first), 0, 1
+        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.count = 0
+
+    def add(self, lengths: np.ndarray, found: np.ndarray, gold: np.ndarray) -> None:
+        self.held.append((lengths, found, gold))
+        self.count += len(lengths)
+        if self.count >= AHEAD * BATCH:
+            self.run(False)
+
+    def run(self, whole: bool) -> None:
+        """Learn from the sentences held, all of them or whole updates only."""
+        if not self.held:
+            return
+        lengths, found, gold = (np.concatenate(x) for x in zip(*self.held, strict=True))
+        at = np.concatenate([[0], np.cumsum(lengths)])
+        low, stop = 0, len(lengths) if whole else len(lengths) // BATCH * BATCH
+        while low < stop:
+            high = min(low + self.ahead * BATCH, stop)
+            guess = self.weights.decode(found[at[low]:at[high]], lengths[low:high])
+            wrong = np.flatnonzero(guess != gold[at[low]:at[high]])
+            if not len(wrong):
+                self.steps += -(-(high - low) // BATCH)
+                low, self.ahead = high, min(2 * self.ahead, AHEAD)
+                continue
+            sure = (int(np.searchsorted(at, at[low] + wrong[0], "right")) - 1 - low) // BATCH
+            self.steps += sure
+            begin = low + sure * BATCH
+            end = min(begin + BATCH, stop)
+            self._update(lengths[begin:end], found[at[begin]:at[end]], gold[at[begin]:at[end]], guess[at[begin] - at[low]:at[end] - at[low]])
+            low, self.ahead = end, max(1, min(2 * sure, AHEAD))
+        self.held = [(lengths[stop:], found[at[stop]:], gold[at[stop]:])] if stop < len(lengths) else []
+        self.count = len(lengths) - stop
+
+    def _update(self, lengths: np.ndarray, found: np.ndarray, gold: np.ndarray, guess: np.ndarray) -> None:
+        weights, n = self.weights, len(self.weights.tags)
+        (rows, tags), (other, guessed) = (_rows_of(found, lengths, x, weights.buckets, n) for x in (gold, guess))
+        differ = (rows != other) | (tags != guessed)
+        for cells, sign in (((rows[differ], tags[differ]), 1.0), ((other[differ], guessed[differ]), -1.0)):
+            np.add.at(weights.values, cells, sign)
+            np.add.at(self.later, cells, sign * self.steps)
+        self.steps += 1
+
+    def result(self) -> pa.RecordBatch:
+        self.run(True)
+        cells = BLOCK * len(self.weights.tags)
+        change = self.weights.values - self.first
+        mean = change - self.later / max(self.steps, 1)
+        touched = np.flatnonzero(np.abs(change).reshape(-1, cells).sum(1) + np.abs(mean).reshape(-1, cells).sum(1))
+        cut = lambda x: pa.array([x[i * BLOCK:(i + 1) * BLOCK].tobytes() for i in touched], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(touched.astype(np.int32)), cut(change), cut(mean)], names=["block", "change", "mean"])
+
+
 def _epoch(tags: list[str], buckets: int, sent):
-    """One pass of each shard over its sentences: by block, the change of the weights, the change
-    of their mean, and the shard's number of steps."""
+    """One pass of each shard over its sentences: by block, the change of the weights and the change
+    of their mean."""
+    wide = np.dtype(np.uint16 if buckets <= 1 << 16 else np.uint32)
 
-    def per_shard(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def per_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {t: i for i, t in enumerate(tags)}
-        first = sent.value
-        shard, weights, later, steps = None, None, None, 0
-
-        def result() -> pd.DataFrame:
-            change = weights.values - first
-            mean = change - later / max(steps, 1)
-            touched = np.flatnonzero(np.abs(change).reshape(-1, BLOCK * len(tags)).sum(1) + np.abs(mean).reshape(-1, BLOCK * len(tags)).sum(1))
-            cut = lambda x, i: x[i * BLOCK:(i + 1) * BLOCK].tobytes()
-            return pd.DataFrame({"block": touched, "change": [cut(change, i) for i in touched], "mean": [cut(mean, i) for i in touched]})
-
-        for part in parts:
-            for name, rows in part.groupby("shard", sort=False):
-                if name != shard:
-                    if weights is not None:
-                        yield result()
-                    shard, weights, later, steps = name, Weights(tags, buckets, first.copy()), np.zeros_like(first), 0
-                sentences = _sentences(rows)
-                for low in range(0, len(sentences), BATCH):
-                    some = sentences[low:low + BATCH]
-                    lengths = np.array([len(x) for x, _ in some])
-                    found = features([t for x, _ in some for t in x], lengths, buckets)
-                    gold = np.array([number[t] for _, x in some for t in x], np.int64)
-                    guess = weights.decode(found, lengths)
-                    for chosen, sign in ((gold, 1.0), (guess, -1.0)):
-                        cells = _rows_of(found, lengths, chosen, buckets, len(tags))
-                        np.add.at(weights.values, cells, sign)
-                        np.add.at(later, cells, sign * steps)
-                    steps += 1
-        if weights is not None:
-            yield result()
+        name, shard = None, None
+        for batch in batches:
+            columns = [batch.column(c) for c in ("shard", "lengths", "found", "gold", "names")]
+            for i in range(batch.num_rows):
+                of, lengths, found, gold, names = (c[i].as_py() for c in columns)
+                if of != name:
+                    if shard is not None:
+                        yield shard.result()
+                    name, shard = of, _Shard(tags, buckets, sent.value)
+                codes = np.array([number[x] for x in names], np.int64)
+                shard.add(np.frombuffer(lengths, np.int32).astype(np.int64), np.frombuffer(found, wide).reshape(-1, TEMPLATES).astype(np.int64), codes[np.frombuffer(gold, np.uint16)])
+        if shard is not None:
+            yield shard.result()
+        give_back()
 
     return per_shard
 
@@ -197,11 +296,13 @@ class TrainedTagger:
         def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             weights, names = Weights(tags, buckets, sent.value), pa.array(tags)
             for batch in batches:
-                lengths = np.diff(batch.offsets.to_numpy()).astype(np.int64)
-                found = features(batch.flatten().to_pylist(), lengths, buckets)
-                guess = weights.decode(found, lengths) if len(found) else np.zeros(0, np.int64)
-                offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                yield pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(guess)))
+                for (lists,) in list_blocks([batch], 0, BLOCK_TOKENS):
+                    lengths = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+                    found = features(lists.flatten(), lengths, buckets)
+                    guess = weights.decode(found, lengths) if len(found) else np.zeros(0, np.int64)
+                    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                    yield pa.ListArray.from_arrays(pa.array(offsets), names.take(pa.array(guess)))
+            give_back()
 
         tokens = F.explode(F.array(name_tokens(text))).alias("token")
         rows = df.where(T.has_text(text)).select("*", tokens)
@@ -240,16 +341,17 @@ def train_tagger(
     broken = F.expr("exists(sequence(0, size(ner) - 1), i -> ner[i] like 'I-%' and (i = 0 or substr(ner[i - 1], 3) <> substr(ner[i], 3) or ner[i - 1] = 'O'))")
     code = F.xxhash64("token", "ner")
     rows = tagged.where(~broken).select("token", "ner", F.pmod(code, F.lit(shards)).cast("int").alias("shard"), code.alias("_order"))
-    rows = stored(rows.repartition(shards, "shard").sortWithinPartitions("shard", "_order"), "sentences")
-    tags = sorted({"O", *(r[0] for r in rows.select(F.explode("ner")).distinct().collect())})
+    rows = stored(rows.mapInArrow(_prepared(buckets), "shard int, _order long, lengths binary, found binary, gold binary, names array<string>"), "sentences")
+    tags = sorted({"O", *(r[0] for r in rows.select(F.explode("names")).distinct().collect())})
     tags = sorted({*tags, *("I-" + t[2:] for t in tags if t.startswith("B-"))})
     names = [r[0] for r in rows.select("shard").distinct().collect()]
+    # A partition for each shard, sorted once for all epochs.
+    ordered = kept(rows.repartitionById(shards, "shard").sortWithinPartitions("shard", "_order"))
     mixed, mean = Weights(tags, buckets).values, Weights(tags, buckets).values
     for _ in range(epochs):
         sent = rows.sparkSession.sparkContext.broadcast(mixed)
-        ordered = rows.repartition(shards, "shard").sortWithinPartitions("shard", "_order")
         schema = "block int, change binary, mean binary"
-        parts = ordered.select("shard", "token", "ner").mapInPandas(_epoch(tags, buckets, sent), schema)
+        parts = ordered.mapInArrow(_epoch(tags, buckets, sent), schema)
         summed = parts.groupBy("block").applyInPandas(_mixed(len(tags)), schema).toPandas()  # a row for each block, a fixed number
         mean += mixed / epochs
         mixed = mixed.copy()
@@ -257,4 +359,5 @@ def train_tagger(
             here = slice(block * BLOCK, (block + 1) * BLOCK)
             mixed[here] += np.frombuffer(change).reshape(BLOCK, -1) / max(len(names), 1)
             mean[here] += np.frombuffer(average).reshape(BLOCK, -1) / max(len(names), 1) / epochs
+    ordered.unpersist()
     return TrainedTagger(Weights(tags, buckets, mean))

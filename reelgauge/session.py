@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -60,3 +62,20 @@ def spread(df: DataFrame, *columns: str) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores, *columns) if df.rdd.getNumPartitions() < cores else df
+
+
+@cache
+def _c_library():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def give_back() -> None:
+    """Return freed memory to the system; a worker is kept for later tasks, also of other stages."""
+    pa.default_memory_pool().release_unused()
+    if _c_library() is not None:
+        _c_library().malloc_trim(0)

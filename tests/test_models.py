@@ -153,3 +153,42 @@ def test_sums_of_signs_by_plain_loops(spark):
     want = np.divide(want, norm, out=np.zeros_like(want), where=norm > 0) * (embedding.HALF / (embedding.HALF + share))[:, None]
     got = embedding.fit_embedding(frame, size=size, buckets=buckets, window=window).vectors
     assert np.allclose(got, want)
+
+
+def test_decoding_ahead_changes_no_update():
+    """A shard that decodes many updates ahead against one update after the other, in plain loops."""
+    random = np.random.default_rng(8)
+    tags, buckets = ["B-X", "I-X", "O"], 64
+    shard = tagger._Shard(tags, buckets, tagger.Weights(tags, buckets).values)
+    plain, later, steps = tagger.Weights(tags, buckets), np.zeros_like(shard.first), 0
+    lengths = random.integers(1, 6, 8 * 300 + 3)
+    gold = [np.array([2 if x else random.integers(0, 2) * 2 for x in range(n)]) for n in lengths]
+    found = [np.where(g[:, None] == 2, 1, 33) + random.integers(0, 24 if i < 400 else 4, (len(g), tagger.TEMPLATES)) for i, g in enumerate(gold)]
+    for i in range(0, len(lengths), 7):
+        shard.add(lengths[i:i + 7], np.concatenate(found[i:i + 7]), np.concatenate(gold[i:i + 7]))
+    shard.run(True)
+    for i in range(0, len(lengths), 8):
+        n, f, g = lengths[i:i + 8], np.concatenate(found[i:i + 8]), np.concatenate(gold[i:i + 8])
+        for chosen, sign in ((g, 1.0), (plain.decode(f, n), -1.0)):
+            cells = tagger._rows_of(f, n, chosen, buckets, len(tags))
+            np.add.at(plain.values, cells, sign)
+            np.add.at(later, cells, sign * steps)
+        steps += 1
+    assert shard.steps == steps and plain.values.any()
+    assert np.array_equal(shard.weights.values, plain.values) and np.array_equal(shard.later, later)
+
+
+def test_lists_are_handled_in_blocks():
+    """No block of a large batch holds more than the limit, but for one longer list."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(9)
+    lists = [list(random.choice(list("abcx"), n)) for n in random.integers(0, 9, 200)] + [["a"] * 50, None, []]
+    held = [x for (x,) in P.list_blocks([pa.array(lists, pa.list_(pa.string())).slice(3)], 0, 20)]
+    assert [x for b in held for x in b.to_pylist()] == lists[3:]
+    assert all(len(b.flatten()) <= 20 or len(b) == 1 for b in held) and len(held) > 30
+    phrases = {("a", "b"): 0, ("a",): 1, ("b", "c", "a"): 2}
+    known = pa.array(list("abc"))
+    automaton = TokenAutomaton((list(p), v) for p, v in phrases.items())
+    got = [[tuple(m.values()) for m in x] for b in held for x in P._found(automaton, known, b).to_pylist()]
+    assert got == [plain_matches(phrases, x or []) for x in lists[3:]]
