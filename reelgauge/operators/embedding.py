@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 
 from reelgauge.functions import text as T
 from reelgauge.functions.fixed import STOP_WORDS
+from reelgauge.operators.phrases import list_blocks
+from reelgauge.session import give_back
 
 BUCKETS, WINDOW = 1 << 14, 4
 #: A bucket with this share of all words weighs one half.
 HALF = 1e-3
+#: Words whose vectors a task holds at once.
+BLOCK_WORDS = 1 << 16
 
 
 def word_buckets(value: Column | str, buckets: int = BUCKETS, stop_words: Sequence[str] = STOP_WORDS) -> Column:
@@ -44,18 +48,22 @@ def _sums(buckets: int, size: int, window: int, seed: int):
         for batch in batches:
             lists = batch.column("words")
             words = lists.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            row = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
             count += np.bincount(words, minlength=buckets)
             for apart in range(1, window + 1):
-                same = row[apart:] == row[:-apart]
-                one, two = words[:-apart][same], words[apart:][same]
-                for here, beside in ((one, two), (two, one)):
-                    order = np.argsort(here, kind="stable")
-                    cut = np.flatnonzero(np.diff(here[order], prepend=-1))
-                    if len(cut):
-                        total[here[order][cut]] += np.add.reduceat(signs[beside[order]].astype(np.int64), cut)
+                for low in range(0, len(words) - apart, BLOCK_WORDS):
+                    high = min(low + BLOCK_WORDS, len(words) - apart)
+                    same = row[low + apart:high + apart] == row[low:high]
+                    one, two = words[low:high][same], words[low + apart:high + apart][same]
+                    for here, beside in ((one, two), (two, one)):
+                        order = np.argsort(here, kind="stable")
+                        cut = np.flatnonzero(np.diff(here[order], prepend=-1))
+                        if len(cut):
+                            total[here[order][cut]] += np.add.reduceat(signs[beside[order]], cut, dtype=np.int64)
         met = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(count[met]), pa.array(total[met].tolist(), pa.list_(pa.int64()))], names=["bucket", "n", "sums"])
+        sums = pa.ListArray.from_arrays(pa.array(np.arange(len(met) + 1, dtype=np.int32) * size), pa.array(total[met].ravel()))
+        yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(count[met]), sums], names=["bucket", "n", "sums"])
+        give_back()
 
     return per_task
 
@@ -72,16 +80,22 @@ class HashedEmbedding:
         buckets, size = self.vectors.shape
 
         def mean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for lists in batches:
-                counts = np.diff(lists.offsets.to_numpy())
-                words = lists.flatten().to_numpy(zero_copy_only=False)
-                out = np.zeros((len(counts), size))
-                filled = np.flatnonzero(counts)
-                if len(filled):
-                    starts = (np.cumsum(counts) - counts)[filled]
-                    out[filled] = np.add.reduceat(sent.value[words], starts) / counts[filled, None]
-                offsets = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * size)
-                yield pa.ListArray.from_arrays(offsets, pa.array(out.astype(np.float32).ravel()))
+            for batch in batches:
+                for (lists,) in list_blocks([batch], 0, BLOCK_WORDS):
+                    counts = np.diff(lists.offsets.to_numpy())
+                    words = lists.flatten().to_numpy(zero_copy_only=False)
+                    out = np.zeros((len(counts), size))
+                    filled = np.flatnonzero(counts)
+                    if len(words) > BLOCK_WORDS:  # one long text
+                        for low in range(0, len(words), BLOCK_WORDS):
+                            out[0] += sent.value[words[low:low + BLOCK_WORDS]].sum(0)
+                        out /= len(words)
+                    elif len(filled):
+                        starts = (np.cumsum(counts) - counts)[filled]
+                        out[filled] = np.add.reduceat(sent.value[words], starts) / counts[filled, None]
+                    offsets = pa.array(np.arange(len(counts) + 1, dtype=np.int32) * size)
+                    yield pa.ListArray.from_arrays(offsets, pa.array(out.astype(np.float32).ravel()))
+            give_back()
 
         return df.withColumn(name, F.arrow_udf(mean, "array<float>")(word_buckets(text, buckets)))
 

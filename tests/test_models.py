@@ -192,3 +192,22 @@ def test_lists_are_handled_in_blocks():
     automaton = TokenAutomaton((list(p), v) for p, v in phrases.items())
     got = [[tuple(m.values()) for m in x] for b in held for x in P._found(automaton, known, b).to_pylist()]
     assert got == [plain_matches(phrases, x or []) for x in lists[3:]]
+
+
+def test_vectors_do_not_depend_on_blocks(spark, monkeypatch):
+    """Sums and means cut into small blocks, also inside one long text, against whole batches."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(10)
+    lists = [list(random.integers(0, 32, n)) for n in (5, 0, 90, 3, 1, 17, 0)]
+    batch = pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], names=["words"])
+    want = next(embedding._sums(32, 4, 3, 7)(iter([batch]))).to_pydict()
+    monkeypatch.setattr(embedding, "BLOCK_WORDS", 16)
+    assert next(embedding._sums(32, 4, 3, 7)(iter([batch]))).to_pydict() == want
+    texts = ["aa bb cc", None, " ".join(f"w{chr(97 + i % 26)}" for i in range(70)), "aa"]
+    frame = spark.createDataFrame([("v", i, t) for i, t in enumerate(texts)], COMMENT)
+    model = embedding.HashedEmbedding(random.normal(size=(64, 4)))
+    got = {r["arrival_seq"]: np.array(r["embedding"]) for r in model.transform(frame, "text").collect()}
+    for r in frame.select("arrival_seq", embedding.word_buckets("text", 64).alias("w")).collect():
+        mean = model.vectors[r["w"]].mean(0) if r["w"] else np.zeros(4)
+        assert np.allclose(got[r["arrival_seq"]], mean, atol=1e-6)
