@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +14,11 @@ from reelgauge.functions import text as T
 from reelgauge.functions.fixed import TOP_ENTITIES
 from reelgauge.operators.joins import BROADCAST_BYTES, join_lookup
 from reelgauge.operators.phrases import longest_matches
+from reelgauge.session import give_back
 
 KEY, SEQ = "video_key", "arrival_seq"
+#: Bytes of text that a user model gets at once.
+TEXT_BYTES = 1 << 20
 
 # Typed patterns; alternatives must not use capture groups or anchors.
 PATTERNS = {
@@ -138,9 +143,21 @@ class Patterns:
         )
 
 
+def text_blocks(batch: pa.Array, size: int, limit: int = TEXT_BYTES) -> Iterator[pa.Array]:
+    """The texts in blocks of at most ``size`` texts and ``limit`` bytes, or of one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < len(batch):
+        before = int(ends[low - 1]) if low else 0
+        high = min(low + size, max(low + 1, int(np.searchsorted(ends, before + limit, "right"))))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 class Hook:
     """A user model. ``load`` runs once per task and returns a function from a list of texts to
-    a list of ``(tokens, tags)`` pairs, one per text."""
+    a list of ``(tokens, tags)`` pairs, one per text. It gets at most ``batch_size`` texts at once,
+    and no more than ``TEXT_BYTES`` of them but for one longer text."""
 
     def __init__(self, load: Callable[[], Callable[[list[str]], list]], batch_size: int = 1000):
         self.load, self.batch_size = load, batch_size
@@ -148,15 +165,16 @@ class Hook:
     def tag(self, df: DataFrame, text: str) -> DataFrame:
         load, size = self.load, self.batch_size
 
-        def annotate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        def annotate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             model = load()
-            for texts in batches:
-                found: list = []
-                for at in range(0, len(texts), size):
-                    found.extend(model(texts.iloc[at : at + size].tolist()))
-                yield pd.DataFrame(found, columns=["token", "ner"])
-
-        run = F.pandas_udf(annotate, "token array<string>, ner array<string>")
+            for batch in batches:
+                for texts in text_blocks(batch, size):
+                    found = model(texts.to_pylist())
+                    columns = [pa.array([x[i] for x in found], pa.list_(pa.string())) for i in range(2)]
+                    yield pa.StructArray.from_arrays(columns, names=["token", "ner"])
+            give_back()
+
+        run = F.arrow_udf(annotate, "struct<token: array<string>, ner: array<string>>")
         rows = df.where(T.has_text(text)).withColumn("_tags", run(F.col(text)))
         return rows.select(*df.columns, "_tags.token", "_tags.ner")
 

@@ -113,3 +113,17 @@ def test_random_mentions_equal_a_counter(spark):
         types = {d[3]: d[4] for d in own}
         top = Counter(d[3] for d in own).most_common(10)
         assert got[key] == [(i + 1, t, types[t], n) for i, (t, n) in enumerate(top)]
+
+
+def test_hook_gets_few_bytes_at_once(spark):
+    """A batch of long texts goes to the model in parts, a longer text alone."""
+    sizes = [400_000, 500_000, 300_000, 2_000_000, 3, 900_000, 10]
+    frame = spark.createDataFrame([("v", i, "x" * n) for i, n in enumerate(sizes)], "video_key string, arrival_seq bigint, text string").coalesce(1)
+
+    def load():
+        return lambda texts: [([str(len(t)), str(sum(map(len, texts))), str(len(texts))], ["N", None, "N"]) for t in texts]
+
+    got = {r["arrival_seq"]: (r["token"], r["ner"]) for r in E.Hook(load, batch_size=2).tag(frame, "text").collect()}
+    assert [int(got[i][0][0]) for i in range(len(sizes))] == sizes
+    assert all((int(total) <= E.TEXT_BYTES or n == "1") and int(n) <= 2 for (_, total, n), _ in got.values())
+    assert got[0][1] == ["N", None, "N"]
