@@ -224,6 +224,32 @@ def test_language(spark, corpus, empty):
     assert {r["lang_pred"] for r in language.identified(corpus, language.fit(empty)).collect()} == {"und"}
 
 
+def test_language_learns_from_every_document(spark, monkeypatch):
+    """Many shards, against the counts of all rows; a rare language is learned although most shards
+    would have none of it."""
+    monkeypatch.setattr(language, "SHARD_ROWS", 40)
+    monkeypatch.setattr(language, "PER_LANGUAGE", 4)
+    stems = {"en": "the of and is not with".split(), "de": "der die das und ist nicht".split(), "fi": "kaikki syntyvat vapaina ihmiset".split()}
+    random = np.random.default_rng(5)
+    rows = [(i, " ".join(random.choice(stems[x], 4 + i % 9)), x) for i, x in enumerate(["fi" if i % 60 == 0 else "de" if i % 3 else "en" for i in range(900)])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    frequency = np.zeros(language.DIMENSIONS + 1)
+    for _, text, _ in learned:
+        frequency[np.unique(language.grams([text.encode()])[0])] += 1
+    frequency[-1] = len(learned)
+    assert np.allclose(model.rarity, np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1)
+    rare = np.log(frequency[-1] / np.maximum(frequency[:-1], 1)) + 1
+    means = {x: [rare[language.grams([t.encode()])[0]].mean() for _, t, of in learned if of == x] for x in stems}
+    assert np.allclose(model.usual, [np.mean(means[x]) for x in model.languages], atol=1e-6)
+    got = {r["doc_id"]: r for r in language.identified(docs, model).collect()}
+    for x in stems:
+        assert np.mean([got[i]["lang_pred"] == x for i, _, of in rows if of == x and got[i]["held_out"]]) > 0.95
+    again = language.fit(docs.repartition(7))
+    assert np.array_equal(again.table, model.table) and np.array_equal(again.limit, model.limit) and again.temperature == model.temperature
+
+
 def test_mixing(spark, corpus, empty):
     more = spark.range(3000).selectExpr("id + 5000 AS doc_id", "repeat('w ', cast(1 + id * 7919 % 90 AS int)) AS text", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('s', id % 5) END AS source")
     got = mixing.copies(corpus.select("doc_id", "text", "source").unionByName(more)).toPandas()
