@@ -115,6 +115,28 @@ def test_encoders_agree_with_the_library(texts):
     assert token_count.counter(BYTE_BPE).counts([x.encode() for x in texts]).tolist() == want
 
 
+def test_chunk_encoder_keeps_what_comes_again():
+    """A full look-up table goes on with the chunks met again and asks the library for new ones only."""
+    import pyarrow as pa
+
+    random = np.random.default_rng(11)
+    common = [f"{a}{b}o{c}" for a in "abcdefgh" for b in "aeiou" for c in ("", ".", "ß!")]
+    encoder, library, asked = ChunkEncoder(WORD_BPE, 300), tokenizer(WORD_BPE), []
+    learn = encoder.learn
+    encoder.learn = lambda chunks: (asked.extend(chunks), learn(chunks))
+    for turn in range(12):
+        own = ["".join(random.choice(list("klmnop"), 7)) for _ in range(120)]
+        texts = [" ".join(random.permutation(common + own)), None, " ".join(own[:9])]
+        ids, counts = encoder.encode(pa.array(texts, pa.string()))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert counts.tolist() == list(map(len, want)) and ids.tolist() == sum(want, [])
+        assert len(encoder.known) <= 300 + 240
+    assert sum(x in common for x in asked) <= 2 * len(common) and len(asked) >= 12 * 100
+    encoder.limit = 0
+    assert encoder.encode(pa.array(["abo."], pa.string()))[0].tolist() == library.encode("abo.", add_special_tokens=False).ids
+
+
+
 def test_token_counts(corpus, empty):
     got = token_count.token_counts(corpus, BYTE_BPE).collect()
     want = [(i, len((t or "").encode()), len(tokenizer(BYTE_BPE).encode(t or "", add_special_tokens=False).ids)) for i, t in docs_of(corpus)]
