@@ -87,10 +87,13 @@ def topic_metrics(model: TopicModel) -> DataFrame:
 
 def topic_mixture(model: TopicModel, key: str = "video_key") -> DataFrame:
     """Mean topic weights of each video's comments under the shared model, over the comments
-    that have a term of the vocabulary."""
-    weights = model.lda.transform(model.vectors).select(
-        key, vector_to_array("topicDistribution").alias("_weights")
-    )
+    that have a term of the vocabulary.
+
+    As in ``with_tokens``, the explode of a one-element array keeps the filters above the
+    inference, which would otherwise be pushed below it and run it once for each of them.
+    """
+    mixture = F.explode(F.array(vector_to_array("topicDistribution")))
+    weights = model.lda.transform(model.vectors).select(key, mixture.alias("_weights"))
     return (
         weights.where(F.exists("_weights", lambda w: w > 0))
         .select(key, F.posexplode("_weights").alias("topic", "weight"))

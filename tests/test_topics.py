@@ -131,6 +131,25 @@ def test_global_topics(token_rows, rows):
         G.fit_topics(token_rows.where("video_key = 'rare'"))
 
 
+def test_mixture_infers_each_row_once(token_rows, rows):
+    model = G.fit_topics(token_rows, k=2, max_iter=2)
+    mixture = G.topic_mixture(model)
+    plan = mixture._jdf.queryExecution().optimizedPlan().toString().split("InMemoryRelation")[0]
+    assert plan.count("UDF(features") == 1
+    weights = model.lda.transform(model.vectors).select("video_key", "topicDistribution").collect()
+    weights = [(k, w) for k, w in weights if max(w) > 0]
+    assert {k for k, _ in weights} == {"hot", "v"}
+    want = {
+        (key, i): (np.mean([w[i] for k, w in weights if k == key]), sum(k == key for k, _ in weights))
+        for key in ("hot", "v") for i in range(2)
+    }
+    found = {(r["video_key"], r["topic"]): r for r in mixture.collect()}
+    assert found.keys() == want.keys()
+    for at, (weight, comments) in want.items():
+        assert found[at]["weight"] == pytest.approx(weight)
+        assert found[at]["comments"] == comments
+
+
 def test_small_videos_are_trained_in_every_step(spark):
     data = [r for i in range(60) for r in corpus(f"v{i}", 5, i)]
     rows = spark.createDataFrame(data, "video_key string, arrival_seq bigint, tokens array<string>")
