@@ -15,8 +15,8 @@ Columns besides doc_id and text are not read.
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +34,18 @@ BLOCK_IDS = 1 << 19
 #: For each control byte the lengths of its four ranks, and where each begins in their bytes.
 LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3) + 1
 _KEEP = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+#: Which bytes of a little-endian number stay, by its length less one: four flags held as one number.
+_BYTES = (np.arange(4) <= np.arange(4)[:, None]).view("<u4").reshape(-1)
 
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit numbers."""
     values = values.astype("<u4")
-    lengths = 1 + (values > 0xFF) + (values > 0xFFFF) + (values > 0xFFFFFF)
     codes = np.zeros(-(-len(values) // 4) * 4, np.uint8)
-    codes[:len(values)] = lengths - 1
-    control = codes.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    wide = values.view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes(), wide[np.arange(4) < lengths[:, None]].tobytes()
+    for bound in (0xFF, 0xFFFF, 0xFFFFFF):
+        codes[:len(values)] += values > bound
+    control = codes[0::4] | codes[1::4] << 2 | codes[2::4] << 4 | codes[3::4] << 6
+    return control.tobytes(), values.view(np.uint8)[_BYTES[codes[:len(values)]].view(bool)].tobytes()
 
 
 def unpack(control: bytes, data: bytes, count: int) -> np.ndarray:
@@ -76,13 +77,20 @@ def encoded_texts(docs: DataFrame, tokenizer_path: str, end_id: int = 1) -> Data
 
 
 def squeeze(ids: np.ndarray) -> bytes:
-    """Compressed ids: the low bytes, then the high ones, of 16 bits where these do."""
+    """Compressed ids, of 16 bits where these do: the width, the number of bytes, zstd of level 1."""
     width = "<u2" if not len(ids) or ids.max() < 1 << 16 else "<u4"
-    return width[2].encode() + zlib.compress(ids.astype(width).tobytes(), 1)
+    plain = ids.astype(width)
+    return width[2].encode() + plain.nbytes.to_bytes(8, "little") + _zstd().compress(plain, asbytes=True)
 
 
 def expand(held: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(held[1:]), f"<u{held[:1].decode()}").astype(np.uint32)
+    plain = _zstd().decompress(memoryview(held)[9:], int.from_bytes(held[1:9], "little"))
+    return np.frombuffer(plain, f"<u{held[:1].decode()}").astype(np.uint32)
+
+
+@cache
+def _zstd() -> pa.Codec:
+    return pa.Codec("zstd", 1)
 
 
 def id_counts(encoded: DataFrame) -> DataFrame:
