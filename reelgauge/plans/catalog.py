@@ -600,7 +600,7 @@ def entity_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bio_flatten(spark: SparkSession, sf: str) -> DataFrame:
-    """Tags built by expression; the tag array is one short of the tokens."""
+    """Tags built by expression; the tag array is one short of the tokens, and empty where there are none."""
     tag = lambda t: (
         F.when(t.rlike(r"[0-9]"), F.lit("NUM"))
         .when(t.rlike(r"^\p{Lu}"), F.lit("B-CAP"))
@@ -608,7 +608,7 @@ def bio_flatten(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.lit("O"))
     )
     tagged = document_comments(spark, sf).withColumn("token", T.raw_tokens("text"))
-    short = F.slice("token", F.lit(1), F.size("token") - 1)
+    short = F.slice("token", F.lit(1), F.greatest(F.size("token") - 1, F.lit(0)))
     return E.entity_mentions(tagged.withColumn("ner", F.transform(short, tag)))
 
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from reelgauge.operators import entities as E
+from reelgauge.plans import catalog
 from reelgauge.plans.reports import entity_report
 
 MENTION = "video_key string, arrival_seq bigint, pos bigint, text string, type string"
@@ -26,6 +27,16 @@ def test_mentions_of_tagged_tokens(spark, rows):
     ]
 
 
+def test_tags_by_expression_of_texts_without_tokens(spark, rows, tmp_path):
+    texts = ["Ann has 12 dots. last", "", None, " \n ", "One"]
+    documents = [(i, t, "en", "v", 0) for i, t in enumerate(texts)]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame(documents, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    assert rows(catalog.bio_flatten(spark, str(tmp_path))) == [
+        ("v", 0, 0, "ann", "CAP"), ("v", 0, 2, "12", "NUM"), ("v", 0, 3, "dots.", "END"),
+    ]
+
+
 def test_type_is_the_last_seen_and_ties_go_by_first_appearance(spark, rows):
     mentions = spark.createDataFrame(
         [
