@@ -1,6 +1,7 @@
 """Phrases, the trained tagger and the hashed vectors."""
 
 import itertools
+import re
 
 import numpy as np
 import pytest
@@ -178,6 +179,73 @@ def test_decoding_ahead_changes_no_update():
     assert np.array_equal(shard.weights.values, plain.values) and np.array_equal(shard.later, later)
 
 
+def plain_path(emissions, start, step):
+    score, back = start + emissions[0], []
+    for row in emissions[1:]:
+        ways = score[:, None] + step
+        back.append(ways.argmax(0))
+        score = ways.max(0) + row
+    path = [int(score.argmax())]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    return path[::-1]
+
+
+def test_decoding_of_doubtful_pieces_by_plain_loops(monkeypatch):
+    """Long texts go in pieces and tokens that are O anyway are passed over, with the same tags."""
+    random = np.random.default_rng(5)
+    whole, longest, tokens = tagger._paths, [], []
+
+    def paths(emissions, at, lengths, *rest):
+        longest.append(int(lengths.max(initial=0)))
+        tokens.append(int(lengths.sum()))
+        return whole(emissions, at, lengths, *rest)
+
+    monkeypatch.setattr(tagger, "_paths", paths)
+    for turn in range(40):
+        kinds = "XYZ"[:turn % 4]
+        tags, buckets = sorted([p + x for p in ("B-", "I-") for x in kinds] + ["O"]), 64
+        weights = tagger.Weights(tags, buckets)
+        weights.values[:] = random.normal(size=weights.values.shape) * [0.3, 1, 5][turn % 3]
+        weights.values[buckets + len(tags) - 1, -1] += [0, 3, 12, 40][turn // 10]  # O after O
+        weights.values[:48, -1] += [0, 1, 4, 8][turn // 10]
+        lengths = np.array([1, 0, 2, 700, 129, 128, 40, 300, 0, 5])
+        found = random.integers(0, 48 if turn // 10 else 64, (int(lengths.sum()), tagger.TEMPLATES))
+        found[random.random(len(found)) < 0.1] = random.integers(48, 64, tagger.TEMPLATES)
+        scores = weights.values[found].sum(1)
+        start, step = (weights.values[x] + y for x, y in ((buckets + len(tags), weights.start_rule), (slice(buckets, buckets + len(tags)), weights.step_rule)))
+        ends = np.cumsum(lengths)
+        want = [t for e, n in zip(ends, lengths) if n for t in plain_path(scores[e - n:e], start, step)]
+        assert list(weights.decode(found, lengths)) == want
+    assert max(longest[-3:]) < 200 and max(tokens[-3:]) < len(found) / 2
+
+
+def test_codes_of_odd_tokens():
+    import pyarrow as pa
+
+    random = np.random.default_rng(6)
+    letters = list("aAbBzZ019.-'_\n") + list("\u00e9\u00c9\u00df\u0130\u0131\u03a3\u03c3\u03c2\u0391\u0416\u01c5\u00bd\u00b2\u0663\u6f22\u0301\U0001f600\U0001d504\ufb01\x00\x1c")
+    tokens = ["", "x", "aaa", "AAAA", "\u0391\u03a3", "a" * 70, "\u00c9" * 70, "11111a", "...."] + ["".join(random.choice(letters, random.integers(0, 9))) for _ in range(3000)]
+    code = tagger._code
+    want = [[code(x.lower()), code(tagger.shape(x)), code(x[-3:].lower()), code(x[:2].lower())] for x in tokens]
+    for low in (0, 7):
+        assert tagger._codes(pa.array(tokens, pa.string()).slice(low)).tolist() == want[low:]
+    assert tagger._codes(pa.array([], pa.string())).shape == (0, 4)
+
+
+def test_texts_are_tagged_once(spark):
+    tags = ["B-X", "I-X", "O"]
+    model = tagger.TrainedTagger(tagger.Weights(tags, 64, np.random.default_rng(1).normal(size=(tagger.BLOCK, 3))))
+    texts = ["aa Bb 12 cc", "", None, " ", "dd " * 300]
+    comments = spark.createDataFrame([("v", i, t) for i, t in enumerate(texts)] + [(None, None, "aa Bb 12 cc")], COMMENT)
+    found = E.tag_entities(comments, model)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython|MapInArrow", plan)) == 1
+    want = E.entity_mentions(model.tag(comments, "text"))
+    assert found.schema == want.schema and found.count() > 0
+    assert sorted(found.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
 def test_lists_are_handled_in_blocks():
     """No block of a large batch holds more than the limit, but for one longer list."""
     import pyarrow as pa
