@@ -71,7 +71,7 @@ class Gazetteer:
 def name_tokens(value: Column | str) -> Column:
     """Runs of letters and digits, as the dictionaries see a text."""
     text = F.col(value) if isinstance(value, str) else value
-    return T.raw_tokens(F.regexp_replace(text, r"(?U)[^\p{L}\p{N}\s]+", " "))
+    return F.array_remove(F.split(F.regexp_replace(text, r"(?U)[^\p{L}\p{N}]+", " "), " "), "")
 
 
 class PhraseGazetteer:

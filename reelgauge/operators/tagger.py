@@ -33,8 +33,8 @@ TEMPLATES = 8
 #: updates a shard's weights after so many sentences.
 SENTENCE, BATCH = 40, 8
 #: Tokens that a task holds with their features at once (one longer text makes a block of its own)
-#: and the most updates' sentences decoded ahead.
-BLOCK_TOKENS, AHEAD = 1 << 17, 64
+#: and the least and the most updates' sentences decoded ahead.
+BLOCK_TOKENS, LEAST, AHEAD = 1 << 17, 8, 64
 _WIDE = np.uint64(0x9E3779B97F4A7C15)
 #: Tokens whose emissions are summed at once; letters up to which a token's codes are found by arrays.
 SUMMED, SHORT = 1 << 12, 64
@@ -462,7 +462,7 @@ class _Shard:
             begin = low + sure * BATCH
             end = min(begin + BATCH, stop)
             self._update(lengths[begin:end], found[at[begin]:at[end]], gold[at[begin]:at[end]], guess[at[begin] - at[low]:at[end] - at[low]])
-            low, self.ahead = end, max(1, min(2 * sure, AHEAD))
+            low, self.ahead = end, max(LEAST, min(sure, AHEAD))
         self.held = [(lengths[stop:], found[at[stop]:], gold[at[stop]:])] if stop < len(lengths) else []
         self.count = len(lengths) - stop
 

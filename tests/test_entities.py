@@ -2,7 +2,9 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from reelgauge.functions import text as T
 from reelgauge.operators import entities as E
 from reelgauge.plans import catalog
 from reelgauge.plans.reports import entity_report
@@ -37,6 +39,16 @@ def test_tags_by_expression_of_texts_without_tokens(spark, rows, tmp_path):
     ]
 
 
+def test_name_tokens_are_runs_of_letters_and_digits(spark):
+    chance = random.Random(2)
+    letters = [chr(c) for c in [*range(1, 700), *range(0x300, 0x310), 0x663, 0x2028, 0x3000, 0x4E00, 0x1D504, 0x1F600]]
+    texts = [None, "", " ", "--", " a-b, c\n"] + ["".join(chance.choices(letters, k=chance.randrange(30))) for _ in range(2000)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = T.raw_tokens(F.regexp_replace("text", r"(?U)[^\p{L}\p{N}\s]+", " "))
+    assert frame.where(~E.name_tokens("text").eqNullSafe(plain)).count() == 0
+    assert frame.select(E.name_tokens("text").alias("t")).where("t = array('a', 'b', 'c')").count() == 1
+
+
 def test_type_is_the_last_seen_and_ties_go_by_first_appearance(spark, rows):
     mentions = spark.createDataFrame(
         [
